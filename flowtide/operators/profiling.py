@@ -77,82 +77,121 @@ def profile(df: DataFrame, times=(), handling=codes.SUGGESTED_HANDLING) -> DataF
 
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+STRIDE = 32
+SLICES = STRIDE * STRIDE
+SKETCH = [i / SLICES for i in range(1, SLICES)]
 
 
-def exact_quantiles(counts: DataFrame, quantiles=QUARTILES, slices=256) -> DataFrame:
-    """Exact interpolated quantiles per field from (field, x, n) rows with distinct x.
+def _numbers(df: DataFrame, columns) -> DataFrame:
+    """(field, x) rows of the numeric columns."""
+    cells = [F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("x")) for c in columns]
+    return df.select(F.inline(F.array(*cells))).filter(F.col("x").isNotNull())
 
-    A sketch first cuts each field into slices of about equal weight; only the
-    slices that hold a wanted rank are then ordered, so no task orders a whole
-    column. The sketch decides where to look, never the result.
+
+def _inside(numbers: DataFrame, targets: DataFrame) -> DataFrame:
+    """Values in the range of each target; two targets per column and quantile at most, so they are broadcast."""
+    x = F.col("x")
+    in_range = (F.col("lo").isNull() | (x > F.col("lo"))) & (F.col("hi").isNull() | (x <= F.col("hi")))
+    return numbers.join(F.broadcast(targets), "field").filter(in_range)
+
+
+def _slice_no(cuts, x):
+    """How many cuts lie below x: first among every 32nd cut, then among the 32 that follow."""
+    coarse = F.size(F.filter(F.transform(F.sequence(F.lit(1), F.lit(STRIDE - 1)),
+                                         lambda i: F.get(cuts, i * STRIDE - 1)), lambda c: c < x))
+    return coarse * STRIDE + F.size(F.filter(F.slice(cuts, coarse * STRIDE + 1, F.lit(STRIDE)), lambda c: c < x))
+
+
+def _narrow(numbers: DataFrame, targets: DataFrame) -> DataFrame:
+    """Shrink the range around each wanted rank to about a thousandth of its values.
+
+    The cuts come from a sketch but only choose where to split: whatever they
+    are, the counts below and inside the new range are exact.
     """
-    cuts = counts.groupBy("field").agg(F.percentile_approx(
-        "x", F.array(*[F.lit(i / slices) for i in range(1, slices)]), F.lit(10 * slices)).alias("cuts"))
-    # One row per column of the profiled table.
-    slice_no = F.size(F.filter("cuts", lambda c: c < F.col("x")))
-    sliced = counts.join(F.broadcast(cuts), "field").select("field", "x", "n", slice_no.alias("slice"))
-    by_slice = Window.partitionBy("field").orderBy("slice")
-    weights = (
-        sliced.groupBy("field", "slice").agg(F.sum("n").alias("w"))
-        .withColumn("upto", F.sum("w").over(by_slice))
-        .withColumn("total", F.sum("w").over(Window.partitionBy("field")))
+    cuts = _inside(numbers, targets).groupBy("field", "rank").agg(
+        F.percentile_approx("x", SKETCH, 10 * SLICES).alias("cuts"))
+    split = targets.join(cuts, ["field", "rank"])
+    slices = (
+        _inside(numbers, split)
+        .groupBy("field", "rank", _slice_no(F.col("cuts"), F.col("x")).alias("slice"))
+        .agg(F.count("*").alias("w"))
     )
-    ranks = F.array(*[
-        F.struct(F.lit(name).alias("name"), ((F.col("total") - 1) * q).alias("at")) for name, q in quantiles.items()])
-    lower, upper = F.floor("at") + 1, F.ceil("at") + 1
-    wanted = (
-        weights.select("field", "slice", "w", "upto", F.inline(ranks))
-        .filter((upper > F.col("upto") - F.col("w")) & (lower <= F.col("upto")))
+    upto = F.sum("w").over(Window.partitionBy("field", "rank").orderBy("slice"))
+    hit = (
+        slices.withColumn("upto", upto).join(split, ["field", "rank"])
+        .withColumn("before", F.col("below") + F.col("upto") - F.col("w"))
+        .filter((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("below") + F.col("upto")))
     )
-    holding = wanted.select("field", "slice", (F.col("upto") - F.col("w")).alias("before")).distinct()
-    # At most two slices per wanted rank and field hold a result.
-    in_slice = Window.partitionBy("field", "slice").orderBy("x")
-    placed = (
-        sliced.join(F.broadcast(holding), ["field", "slice"])
-        .withColumn("upto", F.col("before") + F.sum("n").over(in_slice))
+    edge = lambda i: F.when(i >= 0, F.get("cuts", i))
+    return hit.select(
+        "field", "rank",
+        F.greatest("lo", edge(F.col("slice") - 1)).alias("lo"),
+        F.least("hi", edge(F.col("slice"))).alias("hi"),
+        F.col("before").alias("below"))
+
+
+def exact_quantiles(df: DataFrame, columns, quantiles=QUARTILES, levels=1) -> DataFrame:
+    """Exact interpolated quantiles of numeric columns, one row per column.
+
+    The range that holds a wanted rank is narrowed first, about a thousandfold
+    per level, and only that range is put in order, so neither a whole column
+    nor its distinct values ever meet in one task. Use two levels beyond about
+    a billion rows.
+    """
+    numbers = _numbers(df, columns)
+    sizes = df.agg(F.array(*[
+        F.struct(F.lit(c).alias("field"), F.count(c).alias("n")) for c in columns]).alias("s")).select(F.inline("s"))
+    at = [F.struct(F.lit(name).alias("name"), ((F.col("n") - 1) * q).alias("at")) for name, q in quantiles.items()]
+    wanted = sizes.filter(F.col("n") > 0).select("field", F.inline(F.array(*at)))
+    ranks = F.array_distinct(F.array(F.floor("at") + 1, F.ceil("at") + 1))
+    none = F.lit(None).cast("double")
+    targets = wanted.select("field", F.explode(ranks).alias("rank")).distinct().select(
+        "field", "rank", none.alias("lo"), none.alias("hi"), F.lit(0).cast("long").alias("below"))
+    for _ in range(levels):
+        targets = _narrow(numbers, targets)
+    upto = F.col("below") + F.sum("n").over(Window.partitionBy("field", "rank").orderBy("x"))
+    found = (
+        _inside(numbers, targets).groupBy("field", "rank", "below", "x").agg(F.count("*").alias("n"))
+        .withColumn("upto", upto)
+        .filter(F.col("upto") >= F.col("rank"))
+        .groupBy("field", "rank").agg(F.min("x").alias("x"))
     )
-    picks = placed.join(F.broadcast(wanted.select("field", "slice", "name", "at")), ["field", "slice"])
-    first = F.col("upto") - F.col("n")
-    value_at = lambda rank: F.max(F.when((first < rank) & (rank <= F.col("upto")), F.col("x")))
-    result = picks.groupBy("field", "name").agg(
-        value_at(lower).alias("lo"), value_at(upper).alias("hi"), F.max("at").alias("at"))
-    value = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") - F.floor("at"))
-    return result.groupBy("field").agg(
-        *[F.max(F.when(F.col("name") == name, value)).alias(name) for name in quantiles])
+    value = lambda r: F.max(F.when(F.col("rank") == r, F.col("x")))
+    lower, upper = value(F.floor("at") + 1), value(F.ceil("at") + 1)
+    per_name = wanted.join(found, "field").groupBy("field", "name", "at").agg(
+        (lower + (upper - lower) * (F.col("at") - F.floor("at"))).alias("value"))
+    return per_name.groupBy("field").agg(
+        *[F.max(F.when(F.col("name") == name, F.col("value"))).alias(name) for name in quantiles])
 
 
-def describe_all(df: DataFrame) -> DataFrame:
-    """Per column: count; distinct, top and its frequency for text; moments and quartiles for numbers."""
-    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)]
+def _moments(df: DataFrame, columns) -> DataFrame:
+    """Count, mean, deviation and range of numeric columns from one scan."""
+    rows = [F.struct(
+        F.lit(c).alias("field"), F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+        F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")) for c in columns]
+    return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
+
+
+def _text_figures(df: DataFrame) -> DataFrame:
+    """Count, distinct values, the most frequent one (the smallest among equals) and its frequency."""
     counts = _value_counts(df).filter(F.col("value").isNotNull())
-    is_number = F.col("field").isin(numeric)
-    x, n = F.when(is_number, F.col("value").cast("double")), F.col("n")
-    numbers = counts.filter(is_number).select("field", x.alias("x"), "n")
-    per_field = counts.withColumn("x", x).groupBy("field").agg(
+    return counts.groupBy("field").agg(
         F.sum("n").alias("count"),
-        F.count("value").alias("_unique"),
-        F.min_by("value", F.struct(F.negate(n), F.col("value"))).alias("_top"),
-        F.max("n").alias("_freq"),
-        (F.sum(F.col("x") * n) / F.sum(n)).alias("mean"),
-        F.sum(n).alias("_n"),
-        F.min("x").alias("min"),
-        F.max("x").alias("max"),
-    )
-    spread = (
-        numbers.join(F.broadcast(per_field.select("field", "mean")), "field")
-        .groupBy("field")
-        .agg(F.sqrt(F.try_divide(
-            F.sum(F.col("n") * F.pow(F.col("x") - F.col("mean"), 2)), F.sum("n") - 1)).alias("std"))
-    )
-    text = ~is_number
-    return (
-        per_field.join(spread, "field", "left")
-        .join(exact_quantiles(numbers), "field", "left")
-        .select(
-            "field", "count",
-            F.when(text, F.col("_unique")).alias("unique"),
-            F.when(text, F.col("_top")).alias("top"),
-            F.when(text, F.col("_freq")).alias("freq"),
-            "mean", "std", "min", *QUARTILES, "max",
-        )
+        F.count("value").alias("unique"),
+        F.min_by("value", F.struct(F.negate("n"), F.col("value"))).alias("top"),
+        F.max("n").alias("freq"),
     )
+
+
+def describe_all(df: DataFrame, levels=1) -> DataFrame:
+    """Per column: count; distinct, top and its frequency for text; moments and quartiles for numbers."""
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)]
+    texts = [f.name for f in df.schema.fields if f.name not in numeric]
+    parts = []
+    if numeric:
+        parts.append(_moments(df, numeric).join(exact_quantiles(df, numeric, levels=levels), "field", "left"))
+    if texts:
+        parts.append(_text_figures(df.select(*texts)))
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    order = ["field", "count", "unique", "top", "freq", "mean", "std", "min", *QUARTILES, "max"]
+    return out.select(*[c for c in order if c in out.columns])

@@ -42,8 +42,8 @@ def escalation_rate_series(fact: DataFrame, grain="month") -> DataFrame:
     )
 
 
-def backlog_events(fact: DataFrame, by=()) -> DataFrame:
-    """Net change of the open count per day: +1 when created, -1 when closed.
+def backlog_changes(fact: DataFrame, grain="day", by=(), until=None) -> DataFrame:
+    """Net change of the open count per calendar group: +1 when created, -1 when closed.
 
     An issue closed before it was created never counts as open, so the closing
     event is not placed before the creating one.
@@ -51,28 +51,23 @@ def backlog_events(fact: DataFrame, by=()) -> DataFrame:
     opened = F.struct(F.col("created_at").alias("day"), F.lit(1).alias("delta"))
     left_at = F.when(is_set("closed_at"), F.greatest("created_at", "closed_at"))
     closed = F.struct(left_at.alias("day"), F.lit(-1).alias("delta"))
-    return (
+    events = (
         fact.filter(is_set("created_at"))
         .select(*by, F.inline(F.array(opened, closed)))
-        .filter(is_set("day"))
-        .groupBy(*by, "day")
-        .agg(F.sum("delta").alias("delta"))
+        .filter(is_set("day") if until is None else F.col("day") <= F.lit(as_date(until)))
     )
+    return events.groupBy(*by, dates.to_grain("day", grain).alias(grain)).agg(F.sum("delta").alias("delta"))
 
 
 def backlog_series(fact: DataFrame, as_of, grain="month", by=()) -> DataFrame:
     """Open issues at the end of each calendar group, the running one cut at ``as_of``.
 
     Every group with any change before ``as_of`` has a row for each calendar
-    group from its first change to ``as_of``.
+    group from its first change to ``as_of``. The ordered step sees one row per
+    calendar group and ``by`` value.
     """
     as_of = as_date(as_of)
-    changes = (
-        backlog_events(fact, by)
-        .filter(F.col("day") <= F.lit(as_of))
-        .groupBy(*by, dates.to_grain("day", grain).alias(grain))
-        .agg(F.sum("delta").alias("delta"))
-    )
+    changes = backlog_changes(fact, grain, by, until=as_of)
     in_order = Window.partitionBy(*by).orderBy(grain)
     step = F.expr({"day": "interval 1 day", "week": "interval 7 day",
                    "month": "interval 1 month", "quarter": "interval 3 month"}[grain])

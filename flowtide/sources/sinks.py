@@ -31,12 +31,14 @@ def append_history(rows: DataFrame, path, loaded_at) -> None:
     """Append rows with lineage, one partition per snapshot day and file.
 
     Writing a file again replaces that file's partition, so a run that stopped
-    before its log entry can simply be repeated.
+    before its log entry can simply be repeated. Rebalancing brings the rows of
+    a file together and still splits a file that is too large for one task.
     """
     (
         with_lineage(rows, loaded_at)
         .withColumn("_source_file", F.col("_snapshot_file"))
         .withColumn("snapshot_date", snapshot_date())
+        .hint("rebalance", "_source_file")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("snapshot_date", "_source_file").parquet(path)
     )

@@ -443,11 +443,12 @@ def _(spark, sf):
                        "assignee_name", "team_name", "updated_at", "labels", "_pos.*")
 
 
-@query("labels_join", """SELECT conv_id, string_agg(role, '|' ORDER BY turn) AS labels FROM conversations GROUP BY conv_id""")
+@query("labels_join", """SELECT p_partkey, concat_ws('|', p_name, p_type, CASE WHEN p_size > 25 THEN p_brand END)
+  AS labels FROM part""")
 def _(spark, sf):
-    # Turns of one conversation are few by nature; they are put in order inside the array.
-    turns = F.array_sort(F.collect_list(F.struct("turn", F.col("role").alias("name"))))
-    return a.table(spark, sf, "conversations").groupBy("conv_id").agg(text.join_labels(turns).alias("labels"))
+    names = ["p_name", F.lit(None).cast("string"), "p_type", F.when(F.col("p_size") > 25, F.col("p_brand"))]
+    nodes = F.array(*[F.struct((F.col(c) if isinstance(c, str) else c).alias("name")) for c in names])
+    return a.table(spark, sf, "part").select("p_partkey", text.join_labels(nodes).alias("labels"))
 
 
 @query("flatten_array", """SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n,
