@@ -3,7 +3,7 @@
 from pyspark.sql import Column, functions as F
 
 from flowtide import codes
-from flowtide.functions.text import _col, right, zero_pad
+from flowtide.functions.text import _col, literal_array, literal_map, right, zero_pad
 
 
 def add_days(c, n):
@@ -50,7 +50,7 @@ def year_week(c):
 
 
 def _name(index, names):
-    return F.element_at(F.array(*[F.lit(n) for n in names]), index)
+    return F.element_at(literal_array(names), index)
 
 
 def month_name(c, lang="en"):
@@ -169,7 +169,7 @@ def holiday_name(c, lang="en"):
     name = -2 if lang == "en" else -1
 
     def lookup(names, key):
-        return F.try_element_at(F.create_map(*[F.lit(x) for pair in names for x in pair]), key)
+        return F.try_element_at(literal_map(names), key)
 
     fixed = lookup([(h[0] * 100 + h[1], h[name]) for h in codes.FIXED_HOLIDAYS], F.month(c) * 100 + F.day(c))
     moving = lookup([(h[0], h[name]) for h in codes.EASTER_HOLIDAYS], F.datediff(c, easter(F.year(c))))

@@ -3,12 +3,11 @@
 from pyspark.sql import Column, functions as F
 
 from flowtide import codes
-from flowtide.functions.text import _col, in_codes
+from flowtide.functions.text import _col, in_codes, literal_map
 
 
 def _lookup(c, labels):
-    entries = [F.lit(x) for pair in labels.items() for x in pair]
-    return F.try_element_at(F.create_map(*entries), c)
+    return F.try_element_at(literal_map(labels), c)
 
 
 def map_label(c, labels, fallback_prefix="Other"):

@@ -7,6 +7,22 @@ def _col(c):
     return F.col(c) if isinstance(c, str) else c
 
 
+def _sql(value):
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
+def literal_array(values) -> Column:
+    return F.expr(f"array({', '.join(map(_sql, values))})")
+
+
+def literal_map(pairs) -> Column:
+    """Map column with fixed entries."""
+    entries = pairs.items() if isinstance(pairs, dict) else pairs
+    return F.expr(f"map({', '.join(_sql(x) for kv in entries for x in kv)})")
+
+
 def left(c, n):
     return F.left(_col(c), F.lit(n))
 

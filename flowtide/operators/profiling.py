@@ -7,6 +7,7 @@ anything else, so a value that fills a third of a column is one row by then.
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from flowtide import codes
+from flowtide.functions.text import literal_map
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -50,7 +51,7 @@ def profile(df: DataFrame, times=(), handling=codes.SUGGESTED_HANDLING) -> DataF
     ``times`` names text columns that should hold ISO times.
     """
     kinds = {f.name: inferred_type(f.dataType, f.name in times) for f in df.schema.fields}
-    kind = F.element_at(F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv]), F.col("field"))
+    kind = F.element_at(literal_map(kinds), F.col("field"))
     parsed = F.when(kind == "timestamp", F.try_to_timestamp("value"))
     known = F.col("value").isNotNull()
     per_field = _value_counts(df, _array_len).withColumn("_time", parsed).groupBy("field").agg(
@@ -62,7 +63,7 @@ def profile(df: DataFrame, times=(), handling=codes.SUGGESTED_HANDLING) -> DataF
         F.min("_time").alias("min_date"),
         F.max("_time").alias("max_date"),
     )
-    advice = F.element_at(F.create_map(*[F.lit(x) for kv in handling.items() for x in kv]), kind)
+    advice = F.element_at(literal_map(handling), kind)
     return per_field.select(
         "field",
         kind.alias("inferred_type"),

@@ -6,6 +6,7 @@ against, so it is written the plain way (window rank, joins, EXISTS).
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from flowtide.functions.text import contains_flag
 from flowtide.operators.current import current_issues, current_tickets
 from flowtide.operators.facts import fact_issues, fact_tickets
 
@@ -23,31 +24,19 @@ def table(spark: SparkSession, sf, name) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _iso(c):
-    return F.date_format(c, ISO)
-
-
-def _days(n):
-    return F.make_dt_interval(days=n.cast("int"))
-
-
 def ticket_history(spark, sf) -> DataFrame:
-    e = table(spark, sf, "events")
-    kind = F.col("event_type")
-    status = (F.when(kind == "error", 17).when(kind == "click", 6).when(kind == "view", 7)
-              .when(kind == "purchase", 12).otherwise(2))
-    k = F.get_json_object("props", "$.k").cast("long")
-    return e.select(
-        (F.col("user_id") * 1000 + k % 10).alias("id"),
-        kind.alias("subject"),
-        status.alias("status"),
-        (F.col("event_id") % 4 + 1).cast("int").alias("priority"),
-        _iso(F.col("ts") - _days(F.col("event_id") % 7)).alias("created_at"),
-        _iso(F.col("ts")).alias("updated_at"),
-        F.when(F.col("event_id") % 11 != 0, F.lit(14000100000) + F.col("event_id")).alias("group_id"),
-        (F.col("user_id") % 4).alias("product_id"),
-        F.col("event_id").alias("pos"),
-        F.to_date("ts").alias("snapshot_ts"),
+    return table(spark, sf, "events").selectExpr(
+        "user_id * 1000 + CAST(get_json_object(props, '$.k') AS BIGINT) % 10 AS id",
+        "event_type AS subject",
+        "CASE event_type WHEN 'error' THEN 17 WHEN 'click' THEN 6 WHEN 'view' THEN 7 WHEN 'purchase' THEN 12 "
+        "ELSE 2 END AS status",
+        "CAST(event_id % 4 + 1 AS INT) AS priority",
+        f"date_format(ts - make_dt_interval(CAST(event_id % 7 AS INT)), \"{ISO}\") AS created_at",
+        f"date_format(ts, \"{ISO}\") AS updated_at",
+        "CASE WHEN event_id % 11 <> 0 THEN 14000100000 + event_id END AS group_id",
+        "user_id % 4 AS product_id",
+        "event_id AS pos",
+        "to_date(ts) AS snapshot_ts",
     )
 
 
@@ -114,16 +103,14 @@ tf AS (
 
 def ticket_snapshots(spark, sf) -> DataFrame:
     """Rows of nightly files: the first day is a backfill, some times are missing."""
-    e = table(spark, sf, "events")
-    day = F.date_format("ts", "yyyyMMdd")
-    name = F.when(F.dayofmonth("ts") == 1, F.concat(F.lit("tickets_backfill_"), day, F.lit(".json"))).otherwise(
-        F.concat(F.lit("tickets_snapshot_"), day, F.lit("T001500Z.json")))
-    return e.select(
-        F.col("user_id").alias("id"),
-        F.when(F.col("event_id") % 23 != 0, _iso(F.col("ts") - _days(F.col("event_id") % 5))).alias("updated_at"),
-        F.length("event_type").alias("status"),
-        F.col("event_id").alias("pos"),
-        name.alias("_snapshot_file"),
+    return table(spark, sf, "events").selectExpr(
+        "user_id AS id",
+        f"CASE WHEN event_id % 23 <> 0 THEN date_format(ts - make_dt_interval(CAST(event_id % 5 AS INT)), \"{ISO}\") "
+        "END AS updated_at",
+        "length(event_type) AS status",
+        "event_id AS pos",
+        "CASE WHEN dayofmonth(ts) = 1 THEN concat('tickets_backfill_', date_format(ts, 'yyyyMMdd'), '.json') "
+        "ELSE concat('tickets_snapshot_', date_format(ts, 'yyyyMMdd'), 'T001500Z.json') END AS _snapshot_file",
     )
 
 
@@ -151,45 +138,41 @@ loaded AS (
 
 def issues(spark, sf, people=False, clean=True) -> DataFrame:
     """One issue per order, with its first and last shipping day as start and close."""
-    o = table(spark, sf, "orders")
     ships = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.min("l_shipdate").cast("date").alias("started_at"), F.max("l_shipdate").cast("date").alias("last_ship"))
-    created = F.col("o_orderdate").cast("date")
-    key = F.col("o_orderkey")
-    state_type = (
-        F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "P", "started")
-        .when(key % 4 == 0, "unstarted").when(key % 9 == 0, "canceled").otherwise("backlog"))
-    state_name = (
-        F.when(F.col("o_orderstatus") == "F", "Done").when(F.col("o_orderstatus") == "P", "In Progress")
-        .when(key % 4 == 0, "Todo").when(key % 9 == 0, "Duplicate").otherwise("Waiting for input"))
-    closed = F.when(F.col("last_ship") >= created, F.col("last_ship")) if clean else F.col("last_ship")
-    labels = F.when(key % 13 != 0, F.concat_ws(
-        "|", F.when(F.col("o_orderpriority") == "1-URGENT", "Incident"), "o_orderpriority"))
-    rows = o.join(ships, "o_orderkey", "left").select(
-        key.cast("string").alias("id"),
-        F.concat(F.lit("ISS-"), key.cast("string")).alias("identifier"),
-        F.concat("o_orderpriority", F.lit(" order "), key.cast("string")).alias("title"),
-        state_name.alias("state_name"),
-        state_type.alias("state_type"),
-        (F.left("o_orderpriority", F.lit(1)).cast("int") - 1).alias("priority"),
-        created.alias("created_at"),
-        "started_at",
-        closed.alias("closed_at"),
-        F.col("last_ship").alias("updated_at"),
-        labels.alias("labels"),
-        F.lower(labels).contains("incident").alias("_incident"),
-        "o_custkey",
-    ).withColumn("is_incident", F.coalesce("_incident", F.lit(False))).drop("_incident")
-    if not people:
-        return rows.drop("o_custkey").withColumns(
-            {"project_name": F.lit(None).cast("string"), "assignee_name": F.lit(None).cast("string")})
-    c = table(spark, sf, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("project_name"), "c_nationkey")
-    n = table(spark, sf, "nation").select(
-        F.col("n_nationkey").alias("c_nationkey"),
-        F.nullif("n_name", F.lit("NATION_7")).alias("assignee_name"),
-        F.when(F.col("n_name") != "NATION_7", F.col("n_nationkey").cast("string")).alias("assignee_id"))
-    return rows.join(c.join(n, "c_nationkey", "left"), "o_custkey", "left").drop("o_custkey", "c_nationkey")
+        F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
+    closed = "CASE WHEN last_ship >= o_orderdate THEN CAST(last_ship AS DATE) END" if clean else "CAST(last_ship AS DATE)"
+    who = ["project_name", "assignee_name"] if people else [
+        "CAST(NULL AS STRING) AS project_name", "CAST(NULL AS STRING) AS assignee_name"]
+    rows = table(spark, sf, "orders").join(ships, "o_orderkey", "left")
+    if people:
+        n = table(spark, sf, "nation").selectExpr(
+            "n_nationkey AS c_nationkey", "nullif(n_name, 'NATION_7') AS assignee_name",
+            "CASE WHEN n_name <> 'NATION_7' THEN CAST(n_nationkey AS STRING) END AS assignee_id")
+        c = table(spark, sf, "customer").selectExpr("c_custkey AS o_custkey", "c_mktsegment AS project_name", "c_nationkey")
+        rows = rows.join(c.join(n, "c_nationkey", "left"), "o_custkey", "left")
+        who.append("assignee_id")
+    rows = rows.selectExpr(
+        "*", "CASE WHEN o_orderkey % 13 <> 0 THEN concat_ws('|', "
+        "CASE WHEN o_orderpriority = '1-URGENT' THEN 'Incident' END, o_orderpriority) END AS labels")
+    return rows.select(
+        *[F.expr(e) for e in (
+            "CAST(o_orderkey AS STRING) AS id",
+            "concat('ISS-', o_orderkey) AS identifier",
+            "concat(o_orderpriority, ' order ', o_orderkey) AS title",
+            "CASE WHEN o_orderstatus = 'F' THEN 'Done' WHEN o_orderstatus = 'P' THEN 'In Progress' "
+            "WHEN o_orderkey % 4 = 0 THEN 'Todo' WHEN o_orderkey % 9 = 0 THEN 'Duplicate' "
+            "ELSE 'Waiting for input' END AS state_name",
+            "CASE WHEN o_orderstatus = 'F' THEN 'completed' WHEN o_orderstatus = 'P' THEN 'started' "
+            "WHEN o_orderkey % 4 = 0 THEN 'unstarted' WHEN o_orderkey % 9 = 0 THEN 'canceled' "
+            "ELSE 'backlog' END AS state_type",
+            "CAST(left(o_orderpriority, 1) AS INT) - 1 AS priority",
+            "CAST(o_orderdate AS DATE) AS created_at",
+            "CAST(first_ship AS DATE) AS started_at",
+            f"{closed} AS closed_at",
+            "CAST(last_ship AS DATE) AS updated_at",
+            "labels", *who)],
+        contains_flag("labels", "incident").alias("is_incident"),
+    )
 
 
 def issue_fact(spark, sf, people=False, clean=True, as_of=ISSUE_AS_OF) -> DataFrame:
@@ -267,7 +250,10 @@ def issue_history(spark, sf) -> DataFrame:
     kinds = {"AO": ("backlog", "Backlog"), "NO": ("unstarted", "Todo"), "RO": ("started", "In Progress"),
              "AF": ("completed", "Done"), "NF": ("canceled", "Duplicate"), "RF": ("triage", "Waiting")}
     pick = lambda i: F.element_at(F.create_map(*[F.lit(x) for k, v in kinds.items() for x in (k, v[i])]), flags)
-    ship = _iso(F.col("l_shipdate"))
+    # Shipping times are whole days, so the ISO text is put together from the date.
+    day_text = lambda c: F.concat(c.cast("date").cast("string"), F.lit("T00:00:00.000000Z"))
+    ship_day = F.col("l_shipdate").cast("date").cast("string")
+    ship = day_text(F.col("l_shipdate"))
     return l.select(
         key.cast("string").alias("id"),
         F.when(key % 17 == 0, F.lit(None)).when(key % 5 == 0, F.concat(F.lit("dev-"), key.cast("string")))
@@ -276,9 +262,9 @@ def issue_history(spark, sf) -> DataFrame:
         pick(0).alias("state_type"),
         pick(1).alias("state_name"),
         (F.col("l_linenumber") % 6).alias("priority"),
-        _iso(F.date_add(F.lit("1995-01-01").cast("date"), (key % 2000).cast("int")).cast("timestamp_ntz"))
-        .alias("created_at"),
-        _iso(F.col("l_shipdate") + F.make_dt_interval(hours=F.col("l_linenumber"))).alias("updated_at"),
+        day_text(F.date_add(F.lit("1995-01-01").cast("date"), (key % 2000).cast("int"))).alias("created_at"),
+        F.concat(ship_day, F.lit("T"), F.lpad(F.col("l_linenumber").cast("string"), 2, "0"),
+                 F.lit(":00:00.000000Z")).alias("updated_at"),
         F.when(flags.isin("RO", "AF"), ship).alias("started_at"),
         F.when(flags == "AF", ship).alias("completed_at"),
         F.when(flags == "NF", ship).alias("canceled_at"),

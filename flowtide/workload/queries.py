@@ -22,13 +22,13 @@ ORACLE = {}
 def present(df: DataFrame) -> DataFrame:
     out = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            c = c.cast("string")
+            out.append(f"CAST(`{f.name}` AS STRING) AS `{f.name}`")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c, 6)
-        out.append(c.alias(f.name))
-    return df.select(*out)
+            out.append(f"round(`{f.name}`, 6) AS `{f.name}`")
+        else:
+            out.append(f"`{f.name}`")
+    return df.selectExpr(*out)
 
 
 def query(name, sql=None):
