@@ -76,14 +76,19 @@ def working_flags(days: DataFrame) -> DataFrame:
     )
 
 
+# A calendar this long stays below 30 MB, so joins may broadcast it.
+MAX_DAYS = 200_000
+
+
 def date_dim(spark: SparkSession, start, end, holidays: DataFrame | None = None, pad: bool = True) -> DataFrame:
     """Calendar with 17 columns, one row per day.
 
-    The table is as long as the date range and no longer, so Spark's own size
-    check decides on broadcasting it. ``pad`` counts working days over whole
-    weeks at the ends of the range; without it the end weeks are cut short.
+    ``pad`` counts working days over whole weeks at the ends of the range;
+    without it the end weeks are cut short.
     """
     start, end = as_date(start), as_date(end)
+    if (end - start).days >= MAX_DAYS:
+        raise ValueError(f"a calendar has at most {MAX_DAYS} days")
     first, last = start, end
     if pad:
         first = start - dt.timedelta(days=start.weekday())
@@ -154,5 +159,5 @@ def last_completed_week(dim: DataFrame, as_of) -> DataFrame:
 def per_working_day(volume: DataFrame, dim: DataFrame, count_col="count") -> DataFrame:
     """Weekly volume divided by the working days of that week; ``volume`` has one row per year_week."""
     weeks = dim.groupBy("year_week").agg(F.max("working_days_in_week").alias("working_days"))
-    return volume.join(weeks, "year_week").withColumn(
+    return volume.join(F.broadcast(weeks), "year_week").withColumn(
         "per_working_day", F.try_divide(F.col(count_col), F.col("working_days")))

@@ -1,4 +1,8 @@
-"""Joins of facts with the calendar and other dimensions, and set operations."""
+"""Joins of facts with the calendar and other dimensions, and set operations.
+
+Calendars come from ``date_dim``, which limits their length, and are broadcast;
+for other dimensions the choice is left to Spark's size check.
+"""
 
 from functools import reduce
 
@@ -9,7 +13,7 @@ from flowtide.functions.periods import add_months, as_date
 
 def by_calendar(fact: DataFrame, dim: DataFrame, role="created_at", how="inner") -> DataFrame:
     """Fact rows with the calendar columns of one of their dates."""
-    return fact.join(dim, fact[role] == dim["date_key"], how)
+    return fact.join(F.broadcast(dim), fact[role] == dim["date_key"], how)
 
 
 def by_two_roles(fact: DataFrame, dim: DataFrame, role_a, role_b, columns=("date_key",)) -> DataFrame:
@@ -17,7 +21,7 @@ def by_two_roles(fact: DataFrame, dim: DataFrame, role_a, role_b, columns=("date
     out = fact
     for role in (role_a, role_b):
         part = dim.select(F.col("date_key").alias("_day"), *[F.col(c).alias(f"{role}_{c}") for c in columns])
-        out = out.join(part, out[role] == part["_day"]).drop("_day")
+        out = out.join(F.broadcast(part), out[role] == part["_day"]).drop("_day")
     return out
 
 

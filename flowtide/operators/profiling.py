@@ -80,7 +80,7 @@ def profile(df: DataFrame, times=(), handling=codes.SUGGESTED_HANDLING) -> DataF
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 STRIDE = 32
 SLICES = STRIDE * STRIDE
-SKETCH = [i / SLICES for i in range(1, SLICES)]
+SHARES = ", ".join(f"{i / SLICES}D" for i in range(1, SLICES))
 
 
 def _numbers(df: DataFrame, columns) -> DataFrame:
@@ -89,11 +89,8 @@ def _numbers(df: DataFrame, columns) -> DataFrame:
     return df.select(F.inline(F.array(*cells))).filter(F.col("x").isNotNull())
 
 
-def _inside(numbers: DataFrame, targets: DataFrame) -> DataFrame:
-    """Values in the range of each target; two targets per column and quantile at most, so they are broadcast."""
-    x = F.col("x")
-    in_range = (F.col("lo").isNull() | (x > F.col("lo"))) & (F.col("hi").isNull() | (x <= F.col("hi")))
-    return numbers.join(F.broadcast(targets), "field").filter(in_range)
+def _sketch(column):
+    return F.expr(f"percentile_approx(CAST(`{column}` AS DOUBLE), array({SHARES}), {10 * SLICES}) AS cuts")
 
 
 def _slice_no(cuts, x):
@@ -103,66 +100,71 @@ def _slice_no(cuts, x):
     return coarse * STRIDE + F.size(F.filter(F.slice(cuts, coarse * STRIDE + 1, F.lit(STRIDE)), lambda c: c < x))
 
 
-def _narrow(numbers: DataFrame, targets: DataFrame) -> DataFrame:
-    """Shrink the range around each wanted rank to about a thousandth of its values.
+def _slices(rows: DataFrame, keys) -> DataFrame:
+    """Rows per slice with the exact range of the slice and the exact count below it.
 
-    The cuts come from a sketch but only choose where to split: whatever they
-    are, the counts below and inside the new range are exact.
+    Range and counts travel in one row, so they belong together even if the
+    sketch behind the cuts is computed anew elsewhere in the plan.
     """
-    cuts = _inside(numbers, targets).groupBy("field", "rank").agg(
-        F.percentile_approx("x", SKETCH, 10 * SLICES).alias("cuts"))
-    split = targets.join(cuts, ["field", "rank"])
-    slices = (
-        _inside(numbers, split)
-        .groupBy("field", "rank", _slice_no(F.col("cuts"), F.col("x")).alias("slice"))
-        .agg(F.count("*").alias("w"))
-    )
-    upto = F.sum("w").over(Window.partitionBy("field", "rank").orderBy("slice"))
-    hit = (
-        slices.withColumn("upto", upto).join(split, ["field", "rank"])
-        .withColumn("before", F.col("below") + F.col("upto") - F.col("w"))
-        .filter((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("below") + F.col("upto")))
-    )
+    no = F.col("slice")
     edge = lambda i: F.when(i >= 0, F.get("cuts", i))
-    return hit.select(
-        "field", "rank",
-        F.greatest("lo", edge(F.col("slice") - 1)).alias("lo"),
-        F.least("hi", edge(F.col("slice"))).alias("hi"),
-        F.col("before").alias("below"))
+    upto = F.sum("w").over(Window.partitionBy(*keys).orderBy("slice"))
+    return (
+        rows.withColumn("slice", _slice_no(F.col("cuts"), F.col("x")))
+        .withColumns({"lo": F.greatest("lo", edge(no - 1)), "hi": F.least("hi", edge(no))})
+        .groupBy(*keys, "below", "slice")
+        .agg(F.count("*").alias("w"), F.first("lo").alias("lo"), F.first("hi").alias("hi"))
+        .withColumn("upto", F.col("below") + upto)
+        .withColumn("below", F.col("upto") - F.col("w"))
+    )
+
+
+def _inside(numbers: DataFrame, targets: DataFrame) -> DataFrame:
+    """Values in the range of each target; a column has two targets per quantile, so they are broadcast."""
+    x = F.col("x")
+    in_range = (F.col("lo").isNull() | (x > F.col("lo"))) & (F.col("hi").isNull() | (x <= F.col("hi")))
+    return numbers.join(F.broadcast(targets), "field").filter(in_range)
 
 
 def exact_quantiles(df: DataFrame, columns, quantiles=QUARTILES, levels=1) -> DataFrame:
-    """Exact interpolated quantiles of numeric columns, one row per column.
+    """Exact interpolated quantiles of numeric columns, one row per column with values.
 
     The range that holds a wanted rank is narrowed first, about a thousandfold
     per level, and only that range is put in order, so neither a whole column
-    nor its distinct values ever meet in one task. Use two levels beyond about
-    a billion rows.
+    nor its distinct values ever meet in one task. The sketch used for that
+    decides where to split, never the result. Use two levels beyond about a
+    billion rows.
     """
     numbers = _numbers(df, columns)
-    sizes = df.agg(F.array(*[
-        F.struct(F.lit(c).alias("field"), F.count(c).alias("n")) for c in columns]).alias("s")).select(F.inline("s"))
-    at = [F.struct(F.lit(name).alias("name"), ((F.col("n") - 1) * q).alias("at")) for name, q in quantiles.items()]
-    wanted = sizes.filter(F.col("n") > 0).select("field", F.inline(F.array(*at)))
-    ranks = F.array_distinct(F.array(F.floor("at") + 1, F.ceil("at") + 1))
     none = F.lit(None).cast("double")
-    targets = wanted.select("field", F.explode(ranks).alias("rank")).distinct().select(
-        "field", "rank", none.alias("lo"), none.alias("hi"), F.lit(0).cast("long").alias("below"))
-    for _ in range(levels):
-        targets = _narrow(numbers, targets)
-    upto = F.col("below") + F.sum("n").over(Window.partitionBy("field", "rank").orderBy("x"))
+    hit = (F.col("below") < F.col("rank")) & (F.col("rank") <= F.col("upto"))
+    place = {name: (F.col("n") - 1) * q for name, q in quantiles.items()}
+    ranks = F.array_distinct(F.array(*[r for at in place.values() for r in (F.floor(at) + 1, F.ceil(at) + 1)]))
+
+    # One row per column of the table.
+    start = df.agg(F.array(*[
+        F.struct(F.lit(c).alias("field"), F.count(c).alias("n"), _sketch(c)) for c in columns
+    ]).alias("s")).select(F.inline("s"), none.alias("lo"), none.alias("hi"), F.lit(0).cast("long").alias("below"))
+    first = _slices(numbers.join(F.broadcast(start), "field"), ["field", "n"])
+    targets = first.withColumn("rank", F.explode(ranks)).filter(hit).select("field", "n", "rank", "lo", "hi", "below")
+    for _ in range(levels - 1):
+        cuts = _inside(numbers, targets).groupBy("field", "rank").agg(_sketch("x"))
+        finer = _inside(numbers, targets.join(cuts, ["field", "rank"]))
+        targets = _slices(finer, ["field", "n", "rank"]).filter(hit).select("field", "n", "rank", "lo", "hi", "below")
+
+    upto = F.col("below") + F.sum("w").over(Window.partitionBy("field", "rank").orderBy("x"))
     found = (
-        _inside(numbers, targets).groupBy("field", "rank", "below", "x").agg(F.count("*").alias("n"))
+        _inside(numbers, targets).groupBy("field", "n", "rank", "below", "x").agg(F.count("*").alias("w"))
         .withColumn("upto", upto)
         .filter(F.col("upto") >= F.col("rank"))
-        .groupBy("field", "rank").agg(F.min("x").alias("x"))
+        .groupBy("field", "n", "rank").agg(F.min("x").alias("x"))
     )
-    value = lambda r: F.max(F.when(F.col("rank") == r, F.col("x")))
-    lower, upper = value(F.floor("at") + 1), value(F.ceil("at") + 1)
-    per_name = wanted.join(found, "field").groupBy("field", "name", "at").agg(
-        (lower + (upper - lower) * (F.col("at") - F.floor("at"))).alias("value"))
-    return per_name.groupBy("field").agg(
-        *[F.max(F.when(F.col("name") == name, F.col("value"))).alias(name) for name in quantiles])
+    value = lambda rank: F.max(F.when(F.col("rank") == rank, F.col("x")))
+    lower = [value(F.floor(at) + 1).alias(f"{name}_lo") for name, at in place.items()]
+    upper = [value(F.ceil(at) + 1).alias(f"{name}_hi") for name, at in place.items()]
+    return found.groupBy("field", "n").agg(*lower, *upper).select("field", *[
+        (F.col(f"{name}_lo") + (F.col(f"{name}_hi") - F.col(f"{name}_lo")) * (at - F.floor(at))).alias(name)
+        for name, at in place.items()])
 
 
 def _moments(df: DataFrame, columns) -> DataFrame:
