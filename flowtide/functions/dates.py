@@ -140,6 +140,16 @@ def snapshot_ts(file_name):
     return F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyyMMdd'T'HHmmss'Z'"))
 
 
+def uniform_time(c):
+    """ISO time text at one precision, so that text order is time order.
+
+    Feeds that mix whole and fractional seconds need it: as text,
+    ``...51.968Z`` sorts before ``...51Z``. Unreadable text becomes NULL.
+    """
+    utc = F.to_utc_timestamp(F.try_to_timestamp(_col(c)), F.current_timezone())
+    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
 def _div(a, n):
     return F.floor(a / n).cast("int")
 

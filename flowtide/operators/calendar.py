@@ -133,6 +133,8 @@ def report_columns(dim: DataFrame, as_of) -> DataFrame:
         "month_start": dates.month_start(d),
         "month_end": dates.month_end(d),
         "day_number": zero_pad(F.dayofmonth(d)),
+        "holiday_name": dates.holiday_name(d),
+        "holiday_name_sv": dates.holiday_name(d, "sv"),
     })
 
 

@@ -46,7 +46,7 @@ def load_files(spark: SparkSession, feed: Feed, raw, history_path, log_path, loa
     """Load all files not yet logged; returns how many. Each run must bring rows."""
     log = sinks.read_or_empty(spark, log_path, schemas.IMPORT_LOG)
     plan = readers.plan_files(readers.list_files(spark, raw, prefix or feed.name), log)
-    # The reader takes paths as a list: one short string per pending file.
+    # The reader takes paths as a list: one short string per pending snapshot.
     paths = [r.path for r in plan.select("path").collect()]
     if not paths:
         return 0

@@ -100,15 +100,20 @@ def explode_json(df: DataFrame, col, schema) -> DataFrame:
 
 
 def list_files(spark: SparkSession, folder, prefix) -> DataFrame:
-    """Data files of one feed; sidecars are left out and contents are not read."""
+    """Snapshots of one feed, a file or a folder of part files each.
+
+    Sidecars are left out and contents are not read.
+    """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json").load(folder)
     )
     name = F.col("file_name")
+    root = F.regexp_extract("path", r"^(.*?/[^/]+\.json)(/|$)", 1)
     return (
-        files.select("path", snapshot_name("path").alias("file_name"), "length")
+        files.select(root.alias("path"), snapshot_name("path").alias("file_name"), "length")
         .filter(name.startswith(f"{prefix}_") & ~name.endswith(".meta.json"))
+        .groupBy("path", "file_name").agg(F.sum("length").alias("length"))
     )
 
 

@@ -274,6 +274,14 @@ def _(spark, sf):
     return current.drop_suffix(a.ticket_history(spark, sf), "group_id", suffixes).select("id", "group_id", "pos")
 
 
+@query("uniform_time", """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS t FROM events""")
+def _(spark, sf):
+    # Every second time is cut to whole seconds where that loses nothing.
+    mixed = "CASE WHEN event_id % 2 = 0 THEN concat(replace(CAST(ts AS STRING), ' ', 'T'), 'Z') " \
+            "ELSE date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\") END AS t"
+    return a.table(spark, sf, "events").selectExpr("event_id", mixed).withColumn("t", dates.uniform_time("t"))
+
+
 @query("window_filter", f"""WITH {a.TH}
 SELECT id, updated_at, pos FROM th WHERE left(updated_at, 10) >= '2024-01-10' AND left(updated_at, 10) < '2024-01-17'""")
 def _(spark, sf):
@@ -998,12 +1006,14 @@ SELECT {d('date_key')}, CAST(date_key <= DATE '1998-06-12' AS INTEGER) AS is_pas
   CAST(year * 10 + quarter_num AS INTEGER) AS quarter_sort,
   CAST(strftime(date_key, '%Y%m%d') AS INTEGER) AS date_key_int,
   CAST(CAST(date_trunc('month', date_key) AS DATE) AS VARCHAR) AS month_start,
-  CAST(CAST(last_day(date_key) AS DATE) AS VARCHAR) AS month_end, strftime(date_key, '%d') AS day_number
-FROM dim""")
+  CAST(CAST(last_day(date_key) AS DATE) AS VARCHAR) AS month_end, strftime(date_key, '%d') AS day_number,
+  h.name AS holiday_name, h.name_sv AS holiday_name_sv
+FROM dim LEFT JOIN (SELECT holiday, min(name) AS name, min(name_sv) AS name_sv FROM hol GROUP BY holiday) h
+  ON h.holiday = date_key""")
 def _(spark, sf):
     return calendar.report_columns(_order_calendar(spark, sf), a.ISSUE_AS_OF).select(
         "date_key", "is_past_or_today", "is_current_month", "month_label", "week_starting", "quarter_label",
-        "quarter_sort", "date_key_int", "month_start", "month_end", "day_number")
+        "quarter_sort", "date_key_int", "month_start", "month_end", "day_number", "holiday_name", "holiday_name_sv")
 
 
 @query("calendar_summary", f"""WITH {a.CALENDAR}

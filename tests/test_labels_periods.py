@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from flowtide.functions import labels, periods, text
+from flowtide.functions import dates, labels, periods, text
 from flowtide.operators import joins
 
 
@@ -138,3 +138,9 @@ def test_ensure_columns_and_ranked(spark):
     assert [r.id for r in joins.ranked_table(df, "v").collect()] == [3, 1, 2]
     assert [r.id for r in joins.head(df, 2, ["id"]).collect()] == [1, 2]
     assert [r.id for r in joins.order_by_sort_key(df, "id").collect()] == [1, 2, 3]
+
+
+def test_uniform_time_orders_mixed_precision(spark):
+    mixed = ["2026-06-04T11:14:51.968Z", "2026-06-04T11:14:51Z", "2026-06-04T13:14:51.5+02:00", "junk"]
+    assert column(spark, mixed, "string", dates.uniform_time("v")) == [
+        "2026-06-04T11:14:51.968000Z", "2026-06-04T11:14:51.000000Z", "2026-06-04T11:14:51.500000Z", None]
