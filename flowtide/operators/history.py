@@ -113,7 +113,11 @@ def newer_only(rows: DataFrame, stored: DataFrame, key="id", ts="updated_at") ->
     """Rows of one file that are new or newer than the stored mark."""
     time = F.coalesce(F.col(ts), F.lit(""))
     fresh = F.col("high_water").isNull() | (time > F.col("high_water"))
-    return rows.join(stored, key, "left").filter(fresh).drop("high_water")
+    # Marks come grouped by key. Joining on the key and its hash gives them a shuffle of
+    # their own, without which AQE would not split a hot key on the other side.
+    split = F.xxhash64(key).alias("_split")
+    joined = rows.select("*", split).join(stored.select("*", split), [key, "_split"], "left")
+    return joined.filter(fresh).drop("high_water", "_split")
 
 
 def merge_latest(chunks: DataFrame, key="id", ts="updated_at", order=("_snapshot_file", "_pos")) -> DataFrame:

@@ -25,33 +25,34 @@ TICKETS = Feed("tickets", readers.read_tickets, schemas.RAW_TICKET, readers.proj
 ISSUES = Feed("issues", readers.read_issues, schemas.RAW_ISSUE, readers.flatten_issue, schemas.ISSUE_HISTORY)
 
 
-def load_rows(rows: DataFrame, files: DataFrame, feed: Feed, history_path, log_path, loaded_at) -> None:
-    """Apply the keep-only-newer rule to rows of pending files, append them, log the files.
+def load_rows(rows: DataFrame, names, feed: Feed, history_path, log_path, loaded_at) -> None:
+    """Apply the keep-only-newer rule to rows of the named files, append them, log the files.
 
     Stored marks come from logged files only: rows of an unlogged file are left
-    over from a run that stopped half-way and are written again.
+    over from a run that stopped half-way and are written again. The names are
+    plain values, so reading the history prunes partitions instead of joining.
     """
     spark = rows.sparkSession
     schema = sinks.history_schema(feed.schema)
-    names = files.select(F.col("file_name").alias("_source_file"))
-    stored = sinks.read_or_empty(spark, history_path, schema).join(names, "_source_file", "left_anti")
+    pending = F.col("_source_file").isin(names)
+    stored = sinks.read_or_empty(spark, history_path, schema).filter(~pending)
     kept = replay_snapshots(rows, high_water_mark(stored))
     sinks.append_history(kept, history_path, loaded_at)
-    written = sinks.read_or_empty(spark, history_path, schema).join(names, "_source_file", "left_semi")
+    written = sinks.read_or_empty(spark, history_path, schema).filter(pending)
+    files = spark.createDataFrame([(n,) for n in names], "file_name string")
     sinks.log_import(sinks.file_counts(files, written, feed.name, loaded_at), log_path)
 
 
 def load_files(spark: SparkSession, feed: Feed, raw, history_path, log_path, loaded_at,
                prefix=None, multi_line=True) -> int:
-    """Load all files not yet logged; returns how many. Each run must bring rows."""
+    """Load all snapshots not yet logged; returns how many. Each run must bring rows."""
     log = sinks.read_or_empty(spark, log_path, schemas.IMPORT_LOG)
     plan = readers.plan_files(readers.list_files(spark, raw, prefix or feed.name), log)
     # The reader takes paths as a list: one short string per pending snapshot.
-    paths = [r.path for r in plan.select("path").collect()]
-    if not paths:
+    files = plan.select("path", "file_name").collect()
+    if not files:
         return 0
-    files = plan.select("file_name").distinct()
-    rows = feed.read(spark, paths, multi_line)
+    rows = feed.read(spark, [f.path for f in files], multi_line)
     require_rows(rows, feed.name)
-    load_rows(rows, files, feed, history_path, log_path, loaded_at)
-    return len(paths)
+    load_rows(rows, [f.file_name for f in files], feed, history_path, log_path, loaded_at)
+    return len(files)

@@ -31,10 +31,11 @@ def write_history(stream: DataFrame, feed: Feed, history_path, log_path, checkpo
     and the marks per id live in the history itself.
     """
     def load(batch: DataFrame, batch_id: int) -> None:
-        # The batch is read three times below; keep its rows for that long.
+        # The batch is read several times below; keep its rows for that long.
         batch = with_position(batch).persist()
-        files = batch.select(F.col("_snapshot_file").alias("file_name")).distinct()
-        load_rows(feed.flatten(batch), files, feed, history_path, log_path, loaded_at)
+        # One short string per snapshot of the batch.
+        names = [r[0] for r in batch.select("_snapshot_file").distinct().collect()]
+        load_rows(feed.flatten(batch), names, feed, history_path, log_path, loaded_at)
         batch.unpersist()
 
     return (

@@ -1240,18 +1240,19 @@ def _(spark, sf):
     return quality.fk_coverage(a.issue_fact(spark, sf, clean=False), "closed_at", _order_calendar(spark, sf))
 
 
-@query("freshness", f"""WITH {a.CALENDAR},
-due AS (SELECT max(date_key) AS d FROM dim WHERE is_working_day AND date_key < DATE '2001-08-01'),
+@query("freshness", f"""WITH {a.CALENDAR.replace("o_orderdate", "l_shipdate").replace("FROM orders", "FROM lineitem")},
+due AS (SELECT max(date_key) AS d FROM dim WHERE is_working_day AND date_key < DATE '2001-11-05'),
 l AS (SELECT 'orders' AS table_name, max(o_orderdate) AS t FROM orders
       UNION ALL SELECT 'events', max(ts) FROM events
-      UNION ALL SELECT 'shipped', max(l_shipdate) FROM lineitem WHERE l_shipdate < '2001-06-01')
-SELECT table_name, CAST(date_diff('day', CAST(t AS DATE), DATE '2001-08-01') AS INTEGER) AS age_days,
+      UNION ALL SELECT 'lineitem', max(l_shipdate) FROM lineitem)
+SELECT table_name, CAST(date_diff('day', CAST(t AS DATE), DATE '2001-11-05') AS INTEGER) AS age_days,
   coalesce(CAST(t AS DATE) >= d, false) AS is_fresh FROM l, due""")
 def _(spark, sf):
     load = lambda name, c: a.table(spark, sf, name).select(F.col(c).alias("_loaded_at"))
     tables = {"orders": load("orders", "o_orderdate"), "events": load("events", "ts"),
-              "shipped": load("lineitem", "l_shipdate").filter(F.col("_loaded_at") < "2001-06-01")}
-    return quality.freshness(tables, "2001-08-01", _order_calendar(spark, sf)).drop("last_load")
+              "lineitem": load("lineitem", "l_shipdate")}
+    lo, hi = tables["lineitem"].agg(F.min("_loaded_at").cast("date"), F.max("_loaded_at").cast("date")).first()
+    return quality.freshness(tables, "2001-11-05", calendar.date_dim(spark, lo, hi)).drop("last_load")
 
 
 @query("last_load", """SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_load FROM events""")
