@@ -71,14 +71,11 @@ def _(spark, sf):
     return a.tickets(spark, sf)
 
 
-@query("ticket_silver_filter_after", f"""WITH {a.TICKETS}, newest AS (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY updated_at DESC, pos DESC) AS rn FROM th)
-SELECT r.id, r.status, CAST(TRY_CAST(left(r.created_at, 10) AS DATE) AS VARCHAR) AS created_at,
-  CAST(TRY_CAST(left(r.updated_at, 10) AS DATE) AS VARCHAR) AS updated_at, r.product_id,
-  left(fw.t, 10) AS first_waiting_at, left(fp.t, 10) AS first_passed_at,
-  dn.id IS NOT NULL AS denied_triage, left(dn.t, 10) AS denied_triage_at
-FROM newest r LEFT JOIN fw ON fw.id = r.id LEFT JOIN fp ON fp.id = r.id LEFT JOIN dn ON dn.id = r.id
-WHERE r.rn = 1 AND (group_id IS NULL OR right(CAST(group_id AS VARCHAR), 1) NOT IN ('3'))""")
+@query("ticket_silver_filter_after", f"""WITH {a.TICKETS},
+last AS (SELECT DISTINCT ON (id) * FROM th ORDER BY id, updated_at DESC, pos DESC)
+SELECT id, status, created_at[:10] AS created_at, updated_at[:10] AS updated_at, product_id,
+  waited[:10] AS first_waiting_at, passed[:10] AS first_passed_at, t IS NOT NULL AS denied_triage, t[:10] AS denied_triage_at
+FROM last JOIN firsts USING (id) LEFT JOIN back USING (id) WHERE group_id IS NULL OR group_id % 10 <> 3""")
 def _(spark, sf):
     return current.current_tickets(
         a.ticket_history(spark, sf), suffixes=a.SUFFIXES, order=a.TICKET_ORDER, filter_after=True)
@@ -111,7 +108,7 @@ def _(spark, sf):
     return history.first_in_state(a.ticket_history(spark, sf), codes.PASSED_CODES)
 
 
-@query("first_regression", f"""WITH {a.TICKETS} SELECT id, left(t, 10) AS regressed_on FROM dn""")
+@query("first_regression", f"""WITH {a.TICKETS} SELECT id, t[:10] AS regressed_on FROM back""")
 def _(spark, sf):
     return history.first_regression(a.ticket_history(spark, sf), codes.PASSED_CODES, codes.WAITING_CODES)
 
@@ -536,12 +533,9 @@ def _(spark, sf):
 
 
 @query("issue_state_labels", f"""WITH {a.IH}
-SELECT state_type, CASE state_type WHEN 'backlog' THEN 'Backlog / Unstarted' WHEN 'unstarted' THEN 'Backlog / Unstarted'
-  WHEN 'started' THEN 'In Progress' WHEN 'completed' THEN 'Completed' WHEN 'canceled' THEN 'Cancelled'
-  ELSE 'Other' END AS label,
-  CASE state_type WHEN 'backlog' THEN 'Backlog / Unstarted' WHEN 'unstarted' THEN 'Backlog / Unstarted'
-  WHEN 'started' THEN 'In Progress' WHEN 'completed' THEN 'Completed' ELSE 'Other' END AS strict_label,
-  {n('count(*)', 'versions')} FROM ih GROUP BY 1, 2, 3""")
+SELECT state_type, {a.STATE_LABEL} AS label,
+  CASE WHEN state_type = 'canceled' THEN 'Other' ELSE {a.STATE_LABEL} END AS strict_label,
+  {n('count(*)', 'versions')} FROM ih GROUP BY state_type""")
 def _(spark, sf):
     return a.issue_history(spark, sf).groupBy(
         "state_type", labels.state_label("state_type").alias("label"),
@@ -549,8 +543,7 @@ def _(spark, sf):
 
 
 @query("issue_priority_labels", f"""WITH {a.IH}
-SELECT priority, CASE priority WHEN 0 THEN 'No priority' WHEN 1 THEN 'Urgent' WHEN 2 THEN 'High' WHEN 3 THEN 'Medium'
-  WHEN 4 THEN 'Low' ELSE 'Unknown' END AS label, {n('count(*)', 'versions')} FROM ih GROUP BY 1, 2""")
+SELECT priority, {a.PRIORITY_LABEL} AS label, {n('count(*)', 'versions')} FROM ih GROUP BY priority""")
 def _(spark, sf):
     return a.issue_history(spark, sf).groupBy("priority", labels.priority_label("priority").alias("label")).agg(
         F.count("*").alias("versions"))
