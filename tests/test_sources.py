@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from flowtide import schemas
 from flowtide.operators.current import current_tickets
-from flowtide.plans.pipeline import run_pipeline
+from flowtide.plans.pipeline import register_views, run_pipeline
 from flowtide.sources import ingest, readers, sinks
 from flowtide.streaming import ingest as stream
 
@@ -212,10 +212,18 @@ def test_pipeline(spark, tmp_path):
         [ticket(1, "2026-06-01T10:00:00Z", 17), ticket(2, "2026-06-02T10:00:00Z", 6)])
     put(raw / "issues", "issues_snapshot_20260601T001500Z.json", [issue("a"), issue("b", completedAt="2026-06-03T00:00:00Z")])
     run_pipeline(spark, str(raw), out, "2026-06-12", AT, projects=["Alpha"])
-    row = sinks.read_table(spark, f"{out}/reports/summary").first()
+    report = lambda name: sinks.read_table(spark, f"{out}/reports/{name}")
+    row = report("summary_week").first()
     assert (row.issue_created, row.issue_closed, row.issue_open, row.ticket_waiting, row.ticket_passed) == (2, 1, 1, 1, 1)
+    assert [(r.project_group, r["count"]) for r in report("project_volume").collect()] == [("Alpha", 2)]
+    assert report("drill").filter("level = 15").first()["count"] == 2
+    assert sinks.read_table(spark, f"{out}/load_report/tickets").first().total == 2
+    register_views(spark, out, "2026-06-12")
+    counted = spark.sql("""select year_week, count(*) n from fact_issues join date_dim on date_key = created_at
+                           group by year_week""")
+    assert [tuple(r) for r in counted.collect()] == [("2026-W23", 2)]
     put(raw / "issues", "issues_snapshot_20260613T001500Z.json",
         [issue("a", "2026-06-13T00:00:00.000Z", completedAt="2026-06-05T00:00:00Z")])
-    run_pipeline(spark, str(raw), out, "2026-06-12", AT + dt.timedelta(days=1))
-    assert sinks.read_table(spark, f"{out}/reports/summary").first().issue_closed == 2
+    run_pipeline(spark, str(raw), out, "2026-06-12", AT + dt.timedelta(days=1), names=["summary_week"])
+    assert report("summary_week").first().issue_closed == 2
     assert sinks.read_table(spark, f"{out}/current/issues").count() == 2
