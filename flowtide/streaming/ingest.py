@@ -8,7 +8,11 @@ from flowtide.sources.readers import lineage, with_position
 
 
 def ingest_stream(spark: SparkSession, feed: Feed, raw, prefix=None, multi_line=True, max_files=None) -> DataFrame:
-    """Rows of new files, each file once; progress lives in the query's checkpoint."""
+    """Rows of new files, each file once; progress lives in the query's checkpoint.
+
+    Files of one micro-batch count in name order. ``max_files`` bounds a batch
+    for a long backlog; batches then follow the order in which files landed.
+    """
     reader = (
         spark.readStream.schema(feed.raw_schema)
         .option("multiLine", multi_line)

@@ -4,7 +4,12 @@ import re
 
 import pytest
 
-from flowtide.operators import history
+from pyspark.sql import functions as F
+
+from flowtide import schemas
+from flowtide.operators import calendar, history
+from flowtide.operators.joins import in_window
+from flowtide.sources import sinks
 from flowtide.workload import adapters as a
 from flowtide.workload.queries import ORACLE, QUERIES
 
@@ -63,11 +68,32 @@ def test_kpis_scan_the_fact_once(no_broadcast):
 def test_scans_read_needed_columns_and_push_filters(no_broadcast):
     text = plan(QUERIES["issue_kpis_week"](no_broadcast, SF))
     assert "ReadSchema: struct<l_orderkey:bigint,l_shipdate:timestamp_ntz>" in text
-    from flowtide.operators.joins import in_window
     rows = no_broadcast.read.parquet(f"{SF}/documents.parquet")
     text = in_window(rows, "lang", "2026-01-01", "2026-02-01")._jdf.queryExecution().toString()
     assert "PushedFilters: [IsNotNull(lang), GreaterThanOrEqual(lang,2026-01-01), LessThan(lang,2026-02-01)]" in text
 
 
+def test_calendar_joins_never_shuffle_the_fact(no_broadcast):
+    text = plan(QUERIES["by_calendar"](no_broadcast, SF))
+    join = next(line for line in text.splitlines() if "closed_at" in line and "BroadcastHashJoin" in line)
+    assert "BuildRight" in join
+
+
+def test_calendar_length_is_limited(no_broadcast):
+    with pytest.raises(ValueError):
+        calendar.date_dim(no_broadcast, "1400-01-01", "2100-01-01")
+
+
+def test_history_scan_is_pruned_by_file(no_broadcast, tmp_path):
+    path = str(tmp_path / "h")
+    rows = a.ticket_snapshots(no_broadcast, SF).selectExpr(
+        "id", "updated_at", "_snapshot_file", "'p' AS _part", "0L AS _block", "pos AS _pos")
+    sinks.append_history(rows, path, "2024-02-01 00:00:00")
+    names = ["tickets_snapshot_20240105T001500Z.json"]
+    schema = sinks.history_schema(schemas.TICKET_HISTORY)
+    text = plan(sinks.read_or_empty(no_broadcast, path, schema).filter(F.col("_source_file").isin(names)).select("id"))
+    assert re.search(r"PartitionFilters: \[.*_source_file", text) and "ReadSchema: struct<id:bigint>" in text
+
+
 def test_every_query_has_sql():
     assert set(ORACLE) == set(QUERIES)
