@@ -198,3 +198,14 @@ def describe_all(df: DataFrame, levels=1) -> DataFrame:
     out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
     order = ["field", "count", "unique", "top", "freq", "mean", "std", "min", *QUARTILES, "max"]
     return out.select(*[c for c in order if c in out.columns])
+
+
+def describe_times(df: DataFrame, levels=1) -> DataFrame:
+    """Per time column: count, mean, first, quartiles and last, without regard to the session time zone."""
+    epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, TIMES)]
+    micros = df.selectExpr(*[
+        f"timestampdiff(MICROSECOND, {epoch}, CAST(`{c}` AS TIMESTAMP_NTZ)) AS `{c}`" for c in names])
+    figures = _moments(micros, names).join(exact_quantiles(micros, names, levels=levels), "field", "left")
+    time = lambda c: F.expr(f"{epoch} + make_dt_interval(0, 0, 0, CAST({c} / 1000000 AS DECIMAL(18, 6)))").alias(c)
+    return figures.select("field", "count", *[time(c) for c in ("mean", "min", *QUARTILES, "max")])

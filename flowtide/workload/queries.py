@@ -1212,6 +1212,22 @@ def _(spark, sf):
     return profiling.describe_all(a.table(spark, sf, "part"))
 
 
+def _times_sql(table, c):
+    second = lambda x: f"strftime(make_timestamp(CAST({x} AS BIGINT)), '%Y-%m-%d %H:%M:%S')"
+    at = {"mean": "avg(u)", "min": "min(u)", "max": "max(u)",
+          **{k: f"quantile_cont(u, {v})" for k, v in profiling.QUARTILES.items()}}
+    figures = ", ".join(f"{second(f'floor({x})')} AS {k}" for k, x in at.items())
+    return f"SELECT '{c}' AS field, {n('count(u)', 'count')}, {figures} FROM (SELECT epoch_us({c}) AS u FROM {table})"
+
+
+@query("describe_times", f"""{_times_sql('lineitem', 'l_shipdate')}
+UNION ALL {_times_sql('orders', 'o_orderdate')} UNION ALL {_times_sql('events', 'ts')}""")
+def _(spark, sf):
+    parts = joins.union_all([profiling.describe_times(a.table(spark, sf, t)) for t in ("lineitem", "orders", "events")])
+    return parts.select("field", "count", *[
+        F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("mean", "min", *profiling.QUARTILES, "max")])
+
+
 @query("duplicate_ids", f"""SELECT {n('count(*)', 'row_count')}, {n('count(DISTINCT l_orderkey)', 'key_count')},
   {n('count(*) - count(DISTINCT l_orderkey)', 'duplicate_count')} FROM lineitem""")
 def _(spark, sf):

@@ -91,3 +91,12 @@ def test_reconcile_and_coverage(spark):
     dim = calendar.date_dim(spark, "2026-01-01", "2026-01-31")
     fact = spark.createDataFrame([(dt.date(2026, 1, 5),), (dt.date(2025, 12, 31),), (dt.date(2025, 12, 31),), (None,)], "d date")
     assert [(str(r.date_key), r.row_count) for r in quality.fk_coverage(fact, "d", dim).collect()] == [("2025-12-31", 2)]
+
+
+def test_describe_times(spark):
+    df = spark.sql("""select cast(t as timestamp_ntz) t, cast(t as date) d, 1 n from values
+      ('2026-03-01 00:00:00'), ('2026-03-03 12:00:00.5'), (null), ('2026-03-04 00:00:00') as x(t)""")
+    got = {r.field: r for r in profiling.describe_times(df).collect()}
+    assert set(got) == {"t", "d"} and got["t"]["count"] == 3
+    assert str(got["t"].p50) == "2026-03-03 12:00:00.500000" and str(got["t"].p75) == "2026-03-03 18:00:00.250000"
+    assert str(got["d"].min) == "2026-03-01 00:00:00" and str(got["d"].max) == "2026-03-04 00:00:00"
