@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from flowtide.session import scratch_dir
 
-from . import bpe, packing, repetition, tokenfiles
+from . import bpe, langid, ordinal, packing, repetition, tokenfiles
 from .common import table
 
 
@@ -16,6 +16,14 @@ def op3_packing(spark, sf_dir):
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op4_language(spark, sf_dir):
+    """Language of every document, learned from four fifths of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
+    model = langid.learned(docs.where(~held_out))
+    return langid.predict(docs.withColumn("held_out", held_out), model, ("doc_id", "held_out"))
+
+
 def op6_bpe(spark, sf_dir):
     """Encode and decode every document."""
     ids = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
@@ -32,10 +40,19 @@ def op7_token_files(spark, sf_dir):
     return tokenfiles.read(spark, path, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_quality(spark, sf_dir):
+    """Expected grade of every document, and whether it is selected: more probably good than not."""
+    docs = table(spark, sf_dir, "documents")
+    scored = ordinal.score(docs, ordinal.fit(ordinal.rated(docs, table(spark, sf_dir, "labels"))))
+    return scored.select("doc_id", "expected_grade", F.get("reaches", F.lit(0)).alias("p_not_low"),
+                         F.get("reaches", F.lit(1)).alias("p_good"), ordinal.selected().alias("selected"))
+
+
 def op10_repetition(spark, sf_dir):
     """Repetition measures and verdict for every document."""
     return repetition.judge(repetition.measure(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op6_bpe, op7_token_files, op10_repetition)}
+QUERIES = {f.__name__: f for f in (
+    op3_packing, op4_language, op6_bpe, op7_token_files, op8_quality, op10_repetition)}
 ORACLE: dict[str, str] = {}
