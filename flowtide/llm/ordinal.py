@@ -20,6 +20,8 @@ SAMPLE = 12_000
 #: A feature must occur in so many documents of the sample; the most telling ones are used, at most so many.
 LEAST_DOCS, FEATURES = 5, 4096
 STEPS, RATE, DECAY = 600, 0.05, 3e-5
+#: A text is selected if it is good with at least this probability: a little less than even, so that clean texts stay.
+LEAST_GOOD = 0.45
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _UPPER = np.zeros(256, bool)
@@ -125,7 +127,7 @@ def score(df: DataFrame, model, id_cols=("doc_id",), text_col="text") -> DataFra
     return out.withColumnsRenamed({f"__id{i}": c for i, c in enumerate(id_cols)})
 
 
-def selected(least=0.5):
+def selected(least=LEAST_GOOD):
     """Whether a scored text reaches the highest grade with at least this probability. Where there are no two grades to
     tell apart, every text is selected."""
     return F.coalesce(F.try_element_at("reaches", F.lit(-1)), F.lit(1.0)) >= least

@@ -41,7 +41,7 @@ def op7_token_files(spark, sf_dir):
 
 
 def op8_quality(spark, sf_dir):
-    """Expected grade of every document, and whether it is selected: more probably good than not."""
+    """Expected grade of every document, and whether it is selected as good."""
     docs = table(spark, sf_dir, "documents")
     scored = ordinal.score(docs, ordinal.fit(ordinal.rated(docs, table(spark, sf_dir, "labels"))))
     return scored.select("doc_id", "expected_grade", F.get("reaches", F.lit(0)).alias("p_not_low"),
