@@ -6,10 +6,23 @@ from pyspark.sql import functions as F
 
 from flowtide.session import scratch_dir
 
-from . import bpe, langid, ordinal, packing, repetition, tokenfiles
+from . import bpe, jaccard, langid, ordinal, packing, repeats, repetition, tokenfiles, topk, warc
 from .common import table
 
 
+def op1_jaccard(spark, sf_dir):
+    """Component of every document under Jaccard links of five-word shingles."""
+    return jaccard.components(table(spark, sf_dir, "documents"))
+
+
+def op2_warc(spark, sf_dir):
+    """Write a WARC capture of every page, read the archives and put the captures together again."""
+    path = f"{scratch_dir(spark)}/warc"
+    archives = warc.write(warc.deduplicated(table(spark, sf_dir, "pages")), path)
+    captures = warc.transactions(warc.read(spark, path, archives), payload=False)
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri")
+
+
 def op3_packing(spark, sf_dir):
     """Place of every piece of every document in sequences of 4096 tokens."""
     packed = packing.packed(table(spark, sf_dir, "documents"), keep_ids=False)
@@ -24,6 +37,12 @@ def op4_language(spark, sf_dir):
     return langid.predict(docs.withColumn("held_out", held_out), model, ("doc_id", "held_out"))
 
 
+def op5_topk(spark, sf_dir):
+    """The 20 vectors of the greatest integer inner product for every 20th vector."""
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.search(vectors, F.col("id") % 20 == 0, 20)
+
+
 def op6_bpe(spark, sf_dir):
     """Encode and decode every document."""
     ids = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
@@ -48,11 +67,18 @@ def op8_quality(spark, sf_dir):
                          F.get("reaches", F.lit(1)).alias("p_good"), ordinal.selected().alias("selected"))
 
 
+def op9_repeats(spark, sf_dir):
+    """Remove every byte covered by a 400-byte string that also starts elsewhere."""
+    cut = repeats.removed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_repetition(spark, sf_dir):
     """Repetition measures and verdict for every document."""
     return repetition.judge(repetition.measure(table(spark, sf_dir, "documents")))
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_packing, op4_language, op6_bpe, op7_token_files, op8_quality, op10_repetition)}
+    op1_jaccard, op2_warc, op3_packing, op4_language, op5_topk, op6_bpe, op7_token_files, op8_quality, op9_repeats,
+    op10_repetition)}
 ORACLE: dict[str, str] = {}
