@@ -150,7 +150,7 @@ def _need(n, share):
 def _levels(texts: DataFrame, n) -> np.ndarray:
     """For each counter of a sketch over all texts, how far the number of texts that have one of its shingles exceeds
     the usual number: 0, or the logarithm."""
-    parts = 64
+    parts = 16
     width = SKETCH // parts
 
     def count(batches):
