@@ -22,6 +22,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from . import common
@@ -99,7 +100,6 @@ def components(df: DataFrame, id_col="doc_id", text_col="text", n=SHINGLE, share
 
 def links(texts: DataFrame, sets: DataFrame, n=SHINGLE, share=SHARE) -> DataFrame:
     """Links (a, b) between nodes that connect what the join connects."""
-    spark = texts.sparkSession
     levels = _levels(texts, n)
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(1, -(-int(total * (100 - share) * 1.15 / 100) // BUCKET))
@@ -110,18 +110,17 @@ def links(texts: DataFrame, sets: DataFrame, n=SHINGLE, share=SHARE) -> DataFram
     # A node that could link shares at least so many of its first shingles.
     sums = shared.groupBy("node").agg(F.sum("c").alias("c")).join(nodes, "node")
     able = sums.where(F.col("c") >= F.col("copies") * F.expr(_need("n", share))).select("node", "n", "th")
-    member = shared.select("node", "lead").join(able, "node")
+    member = _without_inner(common.staged(shared.select("node", "lead").join(able, "node"), "members"))
     sizes = member.groupBy("lead").agg(F.count("*").alias("size"), F.sum("n").alias("shingles")).where("size > 1")
     fits = (F.col("size") <= REGION) & (F.col("shingles") <= REGION_SHINGLES)
     member = common.staged(member.join(sizes.select("lead", fits.alias("fits")), "lead"), "regions")
     asked = member.groupBy("th").agg(F.first("node").alias("node"), F.collect_set(F.struct("lead", "fits")).alias("asked"))
     wanted = texts.withColumn("th", F.xxhash64("__text")).join(asked, "th").dropDuplicates(["th"])
     items = common.mapped(wanted.select("__text", "node", "asked"), _items(n), ITEM + ", fits boolean")
-    large = not member.where(~F.col("fits")).isEmpty()
-    items = common.staged(items, "items") if large else items
-    found = [_joined(items.where("fits").drop("fits"), share)]
-    if large:
-        left = items.where(~F.col("fits")).drop("fits")
+    made = common.staged(_joined(items, share), "joined")
+    found = [made.where("region IS NULL").select("a", "b")]
+    if not member.where(~F.col("fits")).isEmpty():
+        left = made.where("region IS NOT NULL").select("region", "node", "shingles")
         for round_ in range(ROUNDS):
             edges, left = _cells(left, share, round_)
             found.append(edges)
@@ -129,18 +128,30 @@ def links(texts: DataFrame, sets: DataFrame, n=SHINGLE, share=SHARE) -> DataFram
             small = (F.col("s") <= REGION) & (F.col("e") <= REGION_SHINGLES)
             left = common.staged(left.join(sizes.where("s > 1").select("region", "s", small.alias("small")), "region"),
                                  "cells")
-            found.append(_joined(left.where("small").select("region", "node", "shingles"), share))
+            found.append(_edges_of(left.where("small"), share))
             left = left.where(~F.col("small")).select("region", "node", "shingles", "s")
             if left.isEmpty():
                 break
         else:
-            found.append(_joined(_blocks(left), share))
+            found.append(_edges_of(_blocks(left), share))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
     return common.staged(out.distinct(), "links")
 
 
+def _without_inner(member: DataFrame) -> DataFrame:
+    """``member`` (node, lead, ...) without the regions all of whose nodes also lie in the region of the least pivot of
+    their own pivot: what they would join is joined there."""
+    outer = member.groupBy("node").agg(F.min("lead").alias("outer")).where("outer < node").select(
+        F.col("node").alias("lead"), "outer")
+    there = member.select(F.col("node").alias("x"), F.col("lead").alias("l"))
+    both = member.select("node", "lead").join(outer, "lead").join(
+        there, (F.col("node") == F.col("x")) & (F.col("outer") == F.col("l")), "left")
+    inner = both.groupBy("lead").agg(F.count("*").alias("s"), F.count("l").alias("c")).where("s = c").select("lead")
+    return member.join(inner, "lead", "left_anti")
+
+
 def _need(n, share):
     return f"1 + ceil({n} * {share} / 100) div 32"
 
@@ -197,18 +208,22 @@ def _pivots(texts: DataFrame, n, share, levels, buckets) -> DataFrame:
     """
     sent = texts.sparkSession.sparkContext.broadcast(levels)
 
-    def split(batches):
+    def prefixes(batches):
         for batch in common.slices(batches, "__text"):
             sets = [s for s in shingle_sets(batch.column("__text"), n) if len(s)]
-            if not sets:
-                continue
-            found = [_prefix(s, sent.value, share) for s in sets]
-            nodes = np.array([node_of(s) for s in sets], np.int64)
-            size = [len(p) for p, _ in found]
-            s, level = (np.concatenate(x) for x in zip(*found))
-            own = np.repeat(nodes, size)
-            yield from _hot_rows(s[level > 0], own[level > 0])
-            s, own = s[level == 0], own[level == 0]
+            if sets:
+                found = [_prefix(s, sent.value, share) for s in sets]
+                nodes = np.array([node_of(s) for s in sets], np.int64)
+                s, level = (np.concatenate(x) for x in zip(*found))
+                yield s, np.repeat(nodes, [len(p) for p, _ in found]), level > 0
+
+    def many(batches):
+        for s, own, hot in prefixes(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(s[hot].view(np.int64)), pa.array(own[hot])], ["hot", "node"])
+
+    def split(batches):
+        for s, own, hot in prefixes(batches):
+            s, own = s[~hot], own[~hot]
             bucket = (s >> np.uint64(32)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -221,14 +236,7 @@ def _pivots(texts: DataFrame, n, share, levels, buckets) -> DataFrame:
                 names.append(some.tobytes())
             yield pa.RecordBatch.from_arrays([
                 pa.array(used, pa.int64()), pa.array([s[cut[b]:cut[b + 1]].tobytes() for b in used], pa.binary()),
-                pa.array(places, pa.binary()), pa.array(names, pa.binary()), pa.nulls(len(used), pa.int64()),
-                pa.nulls(len(used), pa.int64())], ["bucket", "s", "place", "nodes", "hot", "node"])
-
-    def _hot_rows(s, own):
-        if len(s):
-            none = pa.nulls(len(s), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(s), pa.int64()), none, none, none, pa.array(s.view(np.int64)),
-                                              pa.array(own)], ["bucket", "s", "place", "nodes", "hot", "node"])
+                pa.array(places, pa.binary()), pa.array(names, pa.binary())], ["bucket", "s", "place", "nodes"])
 
     def meet(batches):
         held, last = [], None
@@ -242,12 +250,10 @@ def _pivots(texts: DataFrame, n, share, levels, buckets) -> DataFrame:
         if held:
             yield _met(held)
 
-    schema = "bucket bigint, s binary, place binary, nodes binary, hot bigint, node bigint"
-    rows = common.staged(common.mapped(texts, split, schema), "prefixes")
-    cold = rows.where("bucket IS NOT NULL").select("bucket", "s", "place", "nodes")
+    cold = common.mapped(texts, split, "bucket bigint, s binary, place binary, nodes binary")
     cold = cold.repartition(max(buckets, _partitions(texts)), "bucket").sortWithinPartitions("bucket")
     pairs = common.mapped(cold, meet, "node bigint, lead bigint, c bigint")
-    hot = rows.where("hot IS NOT NULL").select("hot", "node")
+    hot = common.staged(common.mapped(texts, many, "hot bigint, node bigint"), "frequent")
     leads = hot.groupBy("hot").agg(F.min("node").alias("lead"), F.max("node").alias("top")).where("lead < top")
     leads = leads.select(F.col("hot").alias("h"), "lead")
     common_ = hot.join(leads, F.col("hot") == F.col("h")).groupBy("node", "lead").agg(F.count("*").alias("c"))
@@ -298,10 +304,16 @@ def _items(n):
 
 
 def _joined(items: DataFrame, share) -> DataFrame:
-    """Links within small regions; a task sees the regions one after another."""
+    """Links (a, b) within the regions that fit, and the rows of the others as they are; a task sees the regions one
+    after another, and rows that are only passed on are dealt evenly."""
     def run(batches):
         held, last, out = [], None, []
         for batch in batches:
+            aside = batch.filter(pc.invert(batch.column("fits"))).select(["region", "node", "shingles"])
+            if aside.num_rows:
+                none = pa.nulls(aside.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, *aside.columns], ["a", "b", "region", "node", "shingles"])
+            batch = batch.filter(batch.column("fits"))
             for row in zip(*(batch.column(c).to_pylist() for c in ("region", "node", "shingles"))):
                 if row[0] != last and held:
                     out += region_links(held, share)
@@ -313,13 +325,21 @@ def _joined(items: DataFrame, share) -> DataFrame:
                 held.append(row[1:])
         yield _edges(out + (region_links(held, share) if held else []))
 
-    dealt = items.repartition("region").sortWithinPartitions("region")
-    return common.mapped(dealt, run, "a bigint, b bigint")
+    deal = F.when(F.col("fits"), F.col("region")).otherwise(F.col("node"))
+    dealt = items.withColumn("deal", deal).repartition("deal").sortWithinPartitions("region").drop("deal")
+    return common.mapped(dealt, run, f"a bigint, b bigint, {ITEM}")
+
+
+def _edges_of(items: DataFrame, share) -> DataFrame:
+    rows = items.select("region", "node", "shingles", F.lit(True).alias("fits"))
+    return _joined(rows, share).select("a", "b")
 
 
 def _edges(pairs):
     a, b = zip(*pairs) if pairs else ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    none = pa.nulls(len(a), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), none, none,
+                                       pa.nulls(len(a), pa.binary())], ["a", "b", "region", "node", "shingles"])
 
 
 def region_links(rows, share) -> list[tuple[int, int]]:

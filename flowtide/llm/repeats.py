@@ -54,7 +54,8 @@ def repeated_spans(df: DataFrame, text_col="text", least=LEAST) -> DataFrame:
             halves = common.staged(common.mapped(
                 large.drop("m", "key", "ctx"), _halved(least),
                 "key bigint, ctx bigint, tk binary, lo bigint, n int, many boolean, bytes binary"), "halves")
-            found, open_ = _settled(halves, least)
+            # Two anchors of one text may have led to the same windows.
+            found, open_ = _settled(halves.dropDuplicates(["tk", "lo", "n"]), least)
             sets.append(found)
             if open_ is None:
                 break
@@ -184,8 +185,14 @@ def _anchored(least):
             text = np.searchsorted(offsets, anchors, "right") - 1
             lo = np.maximum(anchors - (least - k), offsets[text])
             last = np.minimum(anchors, offsets[text + 1] - least)
-            ctx = _run_hash(sums, lo, last + least)
             key = _run_hash(sums, anchors, anchors + k)
+            # A short text may have several anchors of one key for the same windows: one of them counts.
+            whole = np.flatnonzero((lo == offsets[text]) & (last == offsets[text + 1] - least))
+            _, first = np.unique(np.stack([text[whole], key[whole].view(np.int64)]), axis=1, return_index=True)
+            keep = np.ones(len(anchors), bool)
+            keep[np.delete(whole, first)] = False
+            text, lo, last, key = text[keep], lo[keep], last[keep], key[keep]
+            ctx = _run_hash(sums, lo, last + least)
             yield pa.RecordBatch.from_arrays([
                 pa.array(key.view(np.int64)), pa.array(ctx.view(np.int64)), digests.take(pa.array(text)),
                 pa.array(lo - offsets[text]), pa.array((last - lo + 1).astype(np.int32))],
@@ -343,33 +350,42 @@ def shared_prefix(codes, order, least):
     """Whether each suffix shares its first ``least`` symbols with the one before it in order: boundaries to which no
     interval of a shorter common prefix extends."""
     n = len(order)
-    where = np.empty(n, np.int64)
-    where[order] = np.arange(n)
     before = order - 1
-    symbol = np.where(before >= 0, codes[before], 256)
-    mapped = where[before]
+    symbol = np.where(before >= 0, codes[before], 256 + n)
+    # Where the suffix with the preceding symbol lies: after those of smaller symbols, in order among those of its own.
+    mapped = np.empty(n, np.int64)
+    mapped[np.argsort(symbol, kind="stable")] = np.arange(n)
+    # Equal neighbours of the transform are one run; repetitive text has few.
+    begin = np.flatnonzero(np.concatenate([[True], symbol[1:] != symbol[:-1]]))
+    stop = np.append(begin[1:], n)
+    run = np.repeat(np.arange(len(begin)), stop - begin)
+    sign = symbol[begin]
     open_ = np.ones(n + 1, bool)  # boundaries without a length yet
     open_[[0, n]] = False
-    first = codes[order]
-    edge = np.flatnonzero(np.diff(first)) + 1
+    edge = np.flatnonzero(np.diff(codes[order])) + 1
     open_[edge] = False
     lo, hi = np.concatenate([[0], edge]), np.concatenate([edge, [n]])
     lo, hi = lo[hi < n], hi[hi < n]
     for _ in range(1, least):
         if not len(lo):
             break
-        size = hi - lo
-        at = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-        keep = symbol[at] < 256
-        at, interval = at[keep], np.repeat(np.arange(len(lo)), size)[keep]
-        key = interval << 8 | symbol[at]
-        by = np.argsort(key, kind="stable")
-        key, to = key[by], mapped[at[by]]
-        if not len(key):
+        head = run[lo]
+        size = run[hi - 1] - head + 1
+        interval = np.repeat(np.arange(len(lo)), size)
+        at = np.arange(len(interval)) - np.repeat(np.cumsum(size) - size - head, size)
+        inner = sign[at] < 256  # nothing extends across an end
+        at, interval = at[inner], interval[inner]
+        if not len(at):
             break
-        head = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
-        lo, hi = np.minimum.reduceat(to, head), np.maximum.reduceat(to, head) + 1
-        fresh = open_[hi]
-        lo, hi = lo[fresh], hi[fresh]
+        first = mapped[np.maximum(begin[at], lo[interval])]
+        last = mapped[np.minimum(stop[at], hi[interval]) - 1] + 1
+        if (size > 1).any():
+            # Runs of one symbol within an interval are one extension.
+            key = interval << 8 | sign[at]
+            by = np.argsort(key, kind="stable")
+            same = np.flatnonzero(np.concatenate([[True], np.diff(key[by]) != 0]))
+            first, last = np.minimum.reduceat(first[by], same), np.maximum.reduceat(last[by], same)
+        fresh = open_[last]
+        lo, hi = first[fresh], last[fresh]
         open_[hi] = False
     return open_[:n]
