@@ -21,9 +21,12 @@ from . import common
 
 LEAST = 400
 #: Different surroundings that one transform takes of one region; more are split. Bytes that it takes of all regions.
-REGION, TRANSFORM_BYTES = 256, 600_000
+REGION, TRANSFORM_BYTES = 256, 150_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: ``n`` windows of text ``tk`` from byte ``lo`` on, under a key. Under it, windows are numbered alike in all texts, and
+#: the first of these has the number ``off``: texts that begin or end near an anchor lack some.
+ITEM = "key bigint, ctx bigint, tk binary, lo bigint, n int, off int"
 SPANS = "tk binary, lo bigint, hi bigint"
 
 
@@ -35,27 +38,27 @@ def repeated_spans(df: DataFrame, text_col="text", least=LEAST) -> DataFrame:
     each of its windows elsewhere.
     """
     rows = common.texts(df, text=text_col)
-    places = common.staged(common.mapped(rows, _anchored(least), "key bigint, ctx bigint, tk binary, lo bigint, n int"),
-                           "anchors")
+    places = common.staged(common.mapped(rows, _anchored(least), ITEM), "anchors")
     found, open_ = _settled(places, least)
     sets = [found]
     if open_ is not None:
         texts = common.texts(df, text=text_col).withColumn("tk", F.unhex(F.md5("__text")))
-        asked = open_.groupBy("tk").agg(F.collect_set(F.struct("key", "ctx", "lo", "n", "many", "m")).alias("asked"))
+        asked = open_.groupBy("tk").agg(F.collect_set(F.struct("key", "ctx", "lo", "n", "off", "many", "m")).alias("asked"))
         cut = common.mapped(texts.join(asked, "tk"), _surroundings(least),
-                            "key bigint, ctx bigint, tk binary, lo bigint, n int, many boolean, m bigint, bytes binary")
+                            ITEM + ", many boolean, m bigint, bytes binary")
         # Copies of a text give the same surroundings.
         items = common.staged(cut.dropDuplicates(["key", "ctx", "tk", "lo"]), "surroundings")
+        width = least - max(1, least // 2) + 1
         while True:
             sets.append(_transformed(items.where(F.col("m") <= REGION), least))
             large = items.where(F.col("m") > REGION)
             if large.isEmpty():
                 break
-            halves = common.staged(common.mapped(
-                large.drop("m", "key", "ctx"), _halved(least),
-                "key bigint, ctx bigint, tk binary, lo bigint, n int, many boolean, bytes binary"), "halves")
-            # Two anchors of one text may have led to the same windows.
-            found, open_ = _settled(halves.dropDuplicates(["tk", "lo", "n"]), least)
+            width = -(-width // 2)
+            halves = common.mapped(large.drop("m", "key", "ctx"), _halved(least, width), ITEM + ", many boolean, bytes binary")
+            # Two anchors of one text may lead to the same windows under one key: they are one place.
+            halves = common.staged(halves.dropDuplicates(["key", "tk", "lo", "n"]), "halves")
+            found, open_ = _settled(halves, least)
             sets.append(found)
             if open_ is None:
                 break
@@ -191,12 +194,12 @@ def _anchored(least):
             _, first = np.unique(np.stack([text[whole], key[whole].view(np.int64)]), axis=1, return_index=True)
             keep = np.ones(len(anchors), bool)
             keep[np.delete(whole, first)] = False
-            text, lo, last, key = text[keep], lo[keep], last[keep], key[keep]
+            text, lo, last, key, anchors = (x[keep] for x in (text, lo, last, key, anchors))
             ctx = _run_hash(sums, lo, last + least)
             yield pa.RecordBatch.from_arrays([
                 pa.array(key.view(np.int64)), pa.array(ctx.view(np.int64)), digests.take(pa.array(text)),
-                pa.array(lo - offsets[text]), pa.array((last - lo + 1).astype(np.int32))],
-                ["key", "ctx", "tk", "lo", "n"])
+                pa.array(lo - offsets[text]), pa.array((last - lo + 1).astype(np.int32)),
+                pa.array((lo - anchors + least - k).astype(np.int32))], ["key", "ctx", "tk", "lo", "n", "off"])
 
     return run
 
@@ -215,34 +218,35 @@ def _surroundings(least):
                 begin = offsets[own] + lo
                 cut = [data[a:a + b - 1 + least].tobytes() for a, b in zip(begin, n)]
                 tk = batch.column("tk").take(pa.array(own))
-                names = ["key", "ctx", "tk", "lo", "n", "many", "m", "bytes"]
+                names = ["key", "ctx", "tk", "lo", "n", "off", "many", "m", "bytes"]
                 columns = [tk if c == "tk" else pa.array(cut, pa.binary()) if c == "bytes" else part.field(c) for c in names]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
-def _halved(least):
-    """Each surroundings as two with half of the windows; their key is the hash of what all their windows share."""
+def _halved(least, width):
+    """Each surroundings as those of the windows numbered below ``width`` and of the others; the key of either is the
+    hash of what all windows of its numbers share."""
     def run(batches):
         for batch in batches:
-            tks, los, ns, many, cuts = [], [], [], [], []
-            for tk, lo, n, more, data in zip(*(batch.column(c).to_pylist() for c in ("tk", "lo", "n", "many", "bytes"))):
-                half = (n + 1) // 2
-                for first, count in ((0, half), (half, n - half)):
-                    if count:
-                        tks.append(tk)
-                        los.append(lo + first)
-                        ns.append(count)
-                        many.append(more)
-                        cuts.append(data[first:first + count - 1 + least])
-            core = [hashlib.blake2b(x[n - 1:least], digest_size=8).digest() for x, n in zip(cuts, ns)]
-            whole = [hashlib.blake2b(x, digest_size=8).digest() for x in cuts]
+            rows, core, whole = [], [], []
+            for tk, lo, n, off, many, data in zip(*(
+                    batch.column(c).to_pylist() for c in ("tk", "lo", "n", "off", "many", "bytes"))):
+                for begin in (0, width):
+                    first, stop = max(off, begin), min(off + n, begin + width)
+                    if first < stop:
+                        part = data[first - off:stop - 1 - off + least]
+                        # Shared by the windows numbered begin to begin + width - 1, seen from the first one here.
+                        shared = part[begin + width - 1 - first:begin - first + least]
+                        rows.append((tk, lo + first - off, stop - first, first - begin, many, part))
+                        core.append(hashlib.blake2b(shared, digest_size=8).digest())
+                        whole.append(hashlib.blake2b(part, digest_size=8).digest())
             key, ctx = (pa.array(np.frombuffer(b"".join(x), np.int64)) for x in (core, whole))
-            yield pa.RecordBatch.from_arrays(
-                [key, ctx, pa.array(tks, pa.binary()), pa.array(los, pa.int64()), pa.array(ns, pa.int32()),
-                 pa.array(many, pa.bool_()), pa.array(cuts, pa.binary())],
-                ["key", "ctx", "tk", "lo", "n", "many", "bytes"])
+            kinds = [pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, kinds)]
+            yield pa.RecordBatch.from_arrays([key, ctx, *columns],
+                                             ["key", "ctx", "tk", "lo", "n", "off", "many", "bytes"])
 
     return run
 
