@@ -63,7 +63,7 @@ def search(vectors: DataFrame, is_query, k=20) -> DataFrame:
     lookup = lambda d: F.create_map(*(F.lit(x) for p in d.items() for x in p))
     own = (lookup(first)[step] + F.pmod(F.monotonically_increasing_id(), lookup(parts)[step])).cast("int")
     candidates = common.staged(rows.withColumn("block", own), "candidates")
-    tops = candidates.groupBy("block").agg(F.max("norm").alias("top"))
+    tops = candidates.groupBy(F.col("block").alias("at")).agg(F.max("norm").alias("top"))
     queries = rows.where(is_query).dropDuplicates(["id", "v"])
     number = max(1, -(-queries.count() // QUERIES))
     queries = common.staged(queries.withColumn("group", F.pmod(F.xxhash64("id", F.lit(5)), F.lit(number)).cast("int")),
@@ -78,9 +78,9 @@ def search(vectors: DataFrame, is_query, k=20) -> DataFrame:
     bound = F.coalesce(F.col("least"), F.lit(float("-inf")))
     later = queries.join(least, queries["id"] == least["query_id"], "left").select(
         "id", "v", "r", "norm", "tail", "group", bound.cast("double").alias("least"))
-    tops = F.broadcast(tops.where("block > 0"))  # one row per block of thousands of vectors
+    tops = F.broadcast(tops.where("at > 0"))  # one row per block of thousands of vectors
     reach = F.col("norm") * F.col("top") * (1 + ROOM) >= F.col("least")
-    visits = later.join(tops, reach).drop("top")
+    visits = later.join(tops, reach).withColumn("block", F.col("at")).drop("top", "at")
     rest = _met(candidates.where("block > 0"), visits, k)
     return _best(head.unionByName(rest), k)
 
@@ -150,7 +150,8 @@ def _met(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """The best ``k`` of each block for the queries that visit it. A task has one block and one group of queries, both
     of bounded size."""
     groups = queries.select(F.col("block").alias("b"), F.col("group").alias("g")).distinct()
-    left = candidates.join(groups, candidates["block"] == F.col("b")).drop("b").groupBy("block", "g")
+    left = candidates.withColumn("own", F.col("block")).drop("block")
+    left = left.join(groups, F.col("own") == F.col("b")).drop("own").groupBy("b", "g")
 
     def run(key, left, right):
         names = ["query_id", "vec_id", "score"]
