@@ -137,7 +137,7 @@ def to_grain(c, grain):
 def snapshot_ts(file_name):
     """Time stamp in a snapshot file name such as ``x_snapshot_20260614T001509Z.json``."""
     stamp = F.regexp_extract(_col(file_name), r"(\d{8}T\d{6}Z)", 1)
-    return F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyyMMdd'T'HHmmss'Z'"))
+    return F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyyMMdd'T'HHmmssX"))
 
 
 def uniform_time(c):
@@ -146,7 +146,9 @@ def uniform_time(c):
     Feeds that mix whole and fractional seconds need it: as text,
     ``...51.968Z`` sorts before ``...51Z``. Unreadable text becomes NULL.
     """
-    utc = F.to_utc_timestamp(F.try_to_timestamp(_col(c)), F.current_timezone())
+    # Counted from the epoch, so that no session zone with summer time shifts the clock.
+    micros = F.unix_micros(F.try_to_timestamp(_col(c)))
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=micros / F.lit(1000000).cast("decimal(18,6)"))
     return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 

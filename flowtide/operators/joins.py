@@ -11,17 +11,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from flowtide.functions.periods import add_months, as_date
 
 
-def by_calendar(fact: DataFrame, dim: DataFrame, role="created_at", how="inner") -> DataFrame:
-    """Fact rows with the calendar columns of one of their dates."""
+def by_calendar(fact: DataFrame, dim: DataFrame, role="created_at", how="left") -> DataFrame:
+    """Fact rows with the calendar columns of one of their dates, NULL where the date is missing or outside."""
     return fact.join(F.broadcast(dim), fact[role] == dim["date_key"], how)
 
 
 def by_two_roles(fact: DataFrame, dim: DataFrame, role_a, role_b, columns=("date_key",)) -> DataFrame:
-    """Fact rows with calendar columns of two of their dates, prefixed by the role."""
+    """Fact rows with calendar columns of two of their dates, prefixed by the role; NULL where a date is missing or outside."""
     out = fact
     for role in (role_a, role_b):
         part = dim.select(F.col("date_key").alias("_day"), *[F.col(c).alias(f"{role}_{c}") for c in columns])
-        out = out.join(F.broadcast(part), out[role] == part["_day"]).drop("_day")
+        out = out.join(F.broadcast(part), out[role] == part["_day"], "left").drop("_day")
     return out
 
 

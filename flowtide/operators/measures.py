@@ -211,12 +211,10 @@ def top_assignee(fact: DataFrame, by="assignee", n=1) -> DataFrame:
 
 
 def person_dim(issues: DataFrame) -> DataFrame:
-    """Distinct people by id."""
-    return (
-        issues.filter(is_set("assignee_id"))
-        .select(F.col("assignee_id").alias("person_id"), F.col("assignee_name").alias("person_name"))
-        .distinct()
-    )
+    """One row per person id, with the name that the newest issue gives; equal or unknown times go by name."""
+    newest = F.struct(*(c for c in ("updated_at", "assignee_name") if c in issues.columns))
+    return issues.filter(is_set("assignee_id")).groupBy(F.col("assignee_id").alias("person_id")).agg(
+        F.max(newest)["assignee_name"].alias("person_name"))
 
 
 def lead_time_exclusive(fact: DataFrame, state=codes.DONE_STATE) -> DataFrame:

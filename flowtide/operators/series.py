@@ -143,9 +143,10 @@ def with_previous(df: DataFrame, value, order, by=(), kind="ratio") -> DataFrame
 
 
 def drill(fact: DataFrame, dim: DataFrame, role="created_at") -> DataFrame:
-    """Totals along quarter, month, week and day; counted per day before the rollup."""
-    daily = fact.filter(is_set(role)).groupBy(F.col(role).alias("date_key")).agg(F.count("*").alias("n"))
-    labelled = daily.join(F.broadcast(dim), "date_key").select(
+    """Totals along quarter, month, week and day; counted per day before the rollup. Rows whose date is missing or
+    outside the calendar are counted under NULL, so the grand total is the number of rows."""
+    daily = fact.groupBy(F.col(role).alias("_day")).agg(F.count("*").alias("n"))
+    labelled = daily.join(F.broadcast(dim), F.col("_day") == F.col("date_key"), "left").select(
         dates.quarter_sort("date_key").alias("quarter_sort"), "month_sort", "year_week", "date_key", "n")
     levels = ["quarter_sort", "month_sort", "year_week", "date_key"]
     return labelled.rollup(*levels).agg(

@@ -26,9 +26,12 @@ def local_session(cores=8, shuffle_partitions=8, memory="16g") -> SparkSession:
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder below the shared one the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in local tests, a local temporary folder is used.
+    Only a local session may leave that unset and gets a temporary folder; elsewhere executors would each write to
+    their own disk, which is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="flowtide-")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

@@ -28,8 +28,9 @@ ISSUES = Feed("issues", readers.read_issues, schemas.RAW_ISSUE, readers.flatten_
 def load_rows(rows: DataFrame, names, feed: Feed, history_path, log_path, loaded_at) -> None:
     """Apply the keep-only-newer rule to rows of the named files, append them, log the files.
 
-    Stored marks come from logged files only: rows of an unlogged file are left
-    over from a run that stopped half-way and are written again. The names are
+    Stored marks leave out the named files: their rows are left over from a run
+    that stopped half-way and are written again, or are other parts of the same
+    snapshot, which stay and do not outdate each other. The names are
     plain values, so reading the history prunes partitions instead of joining.
     """
     spark = rows.sparkSession

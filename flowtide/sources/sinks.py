@@ -4,7 +4,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowtide import schemas
-from flowtide.functions.text import matched
 from flowtide.sources.readers import snapshot_date
 
 
@@ -28,26 +27,29 @@ def with_lineage(rows: DataFrame, loaded_at) -> DataFrame:
 
 
 def append_history(rows: DataFrame, path, loaded_at) -> None:
-    """Append rows with lineage, one partition per snapshot day and file.
+    """Append rows with lineage, one partition per snapshot day, snapshot and part file.
 
-    Writing a file again replaces that file's partition, so a run that stopped
-    before its log entry can simply be repeated. Rebalancing brings the rows of
-    a file together and still splits a file that is too large for one task.
+    Writing a part file again replaces its own partition only, so a run that
+    stopped before its log entry can simply be repeated, and a snapshot may
+    arrive in several batches. Rebalancing brings the rows of a part together
+    and still splits one that is too large for one task.
     """
     (
         with_lineage(rows, loaded_at)
         .withColumn("_source_file", F.col("_snapshot_file"))
+        .withColumn("_source_part", F.col("_row_id.part"))
         .withColumn("snapshot_date", snapshot_date())
-        .hint("rebalance", "_source_file")
+        .hint("rebalance", "_source_file", "_source_part")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("snapshot_date", "_source_file").parquet(path)
+        .partitionBy("snapshot_date", "_source_file", "_source_part").parquet(path)
     )
 
 
 def history_schema(schema):
     """History columns plus the partition columns."""
     return T.StructType(schema.fields + [
-        T.StructField("snapshot_date", T.DateType()), T.StructField("_source_file", T.StringType())])
+        T.StructField("snapshot_date", T.DateType()), T.StructField("_source_file", T.StringType()),
+        T.StructField("_source_part", T.StringType())])
 
 
 def file_counts(files: DataFrame, rows: DataFrame, source, loaded_at) -> DataFrame:
@@ -60,10 +62,14 @@ def file_counts(files: DataFrame, rows: DataFrame, source, loaded_at) -> DataFra
 
 
 def log_import(entries: DataFrame, path) -> None:
-    """Append log entries, leaving out files already logged."""
+    """Append log entries. A file already logged gets another entry for the rows that came since, if any: the
+    entries of a file add up to its rows, however often an import is repeated."""
     spark = entries.sparkSession
-    logged = read_or_empty(spark, path, schemas.IMPORT_LOG).select("file_name", F.lit(True).alias("_seen"))
-    fresh = entries.join(logged, "file_name", "left").filter(~matched("_seen")).drop("_seen")
+    logged = read_or_empty(spark, path, schemas.IMPORT_LOG).groupBy("file_name").agg(
+        F.sum("row_count").alias("_logged"))
+    more = F.col("row_count") - F.coalesce("_logged", F.lit(0))
+    fresh = entries.join(logged, "file_name", "left").withColumn("row_count", more).filter(
+        F.col("_logged").isNull() | (F.col("row_count") > 0))
     fresh.select(*schemas.IMPORT_LOG.fieldNames()).coalesce(1).write.mode("append").parquet(path)
 
 

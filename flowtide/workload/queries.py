@@ -821,7 +821,8 @@ def _(spark, sf):
 
 
 @query("person_dim", f"""WITH {a.ISSUES}
-SELECT DISTINCT assignee_id AS person_id, assignee_name AS person_name FROM f WHERE assignee_id IS NOT NULL""")
+SELECT assignee_id AS person_id, arg_max(assignee_name, (updated_at, assignee_name)) AS person_name FROM f
+WHERE assignee_id IS NOT NULL GROUP BY assignee_id""")
 def _(spark, sf):
     return m.person_dim(a.issues(spark, sf, people=True))
 
@@ -1067,7 +1068,7 @@ def _(spark, sf):
 
 
 @query("by_calendar", f"""WITH {a.CALENDAR}, {a.ISSUES}
-SELECT quarter_name, day_name, is_working_day, {n('count(*)', 'issues')} FROM f JOIN dim ON closed_at = date_key
+SELECT quarter_name, day_name, is_working_day, {n('count(*)', 'issues')} FROM f LEFT JOIN dim ON closed_at = date_key
 GROUP BY 1, 2, 3""")
 def _(spark, sf):
     rows = joins.by_calendar(a.issue_fact(spark, sf), _order_calendar(spark, sf), "closed_at")
@@ -1076,7 +1077,7 @@ def _(spark, sf):
 
 @query("by_two_roles", f"""WITH {a.CALENDAR}, {a.ISSUES}
 SELECT x.year AS created_at_year, y.year AS closed_at_year, {n('count(*)', 'issues')}
-FROM f JOIN dim x ON created_at = x.date_key JOIN dim y ON closed_at = y.date_key GROUP BY 1, 2""")
+FROM f LEFT JOIN dim x ON created_at = x.date_key LEFT JOIN dim y ON closed_at = y.date_key GROUP BY 1, 2""")
 def _(spark, sf):
     rows = joins.by_two_roles(
         a.issue_fact(spark, sf), _order_calendar(spark, sf), "created_at", "closed_at", ["year"])
@@ -1087,7 +1088,7 @@ def _(spark, sf):
 SELECT CAST(year * 10 + quarter_num AS INTEGER) AS quarter_sort, month_sort, year_week, {d('date_key')},
   CAST(grouping(quarter_sort) * 8 + grouping(month_sort) * 4 + grouping(year_week) * 2 + grouping(date_key) AS INTEGER)
     AS level, {n('count(*)', 'count')}
-FROM (SELECT *, year * 10 + quarter_num AS quarter_sort FROM f JOIN dim ON created_at = date_key)
+FROM (SELECT *, year * 10 + quarter_num AS quarter_sort FROM f LEFT JOIN dim ON created_at = date_key)
 GROUP BY ROLLUP (quarter_sort, month_sort, year_week, date_key)""".replace(
     "CAST(year * 10 + quarter_num AS INTEGER) AS quarter_sort, month_sort,",
     "CAST(quarter_sort AS INTEGER) AS quarter_sort, month_sort,"))

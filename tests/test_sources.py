@@ -180,6 +180,19 @@ def test_stream_equals_batch(spark, tmp_path):
         (1, "b"), (2, "b"), (2, "c"), (3, "")]
 
 
+@pytest.mark.parametrize("options", [{}, {"max_files": 1}])
+def test_stream_keeps_all_parts_of_a_snapshot(spark, tmp_path, options):
+    folder = tmp_path / "raw" / "tickets_snapshot_20260601T001500Z.json"
+    put(folder, "part-0.json", [ticket(i, "b") for i in (1, 2, 3)])
+    put(folder, "part-1.json", [ticket(i, "b") for i in (4, 5, 6)])
+    run_stream(spark, tmp_path, **options)
+    put(folder, "part-2.json", [ticket(7, "b")])
+    run_stream(spark, tmp_path, **options)
+    assert sorted(r.id for r in stored(spark, tmp_path).collect()) == [1, 2, 3, 4, 5, 6, 7]
+    log = sinks.read_or_empty(spark, str(tmp_path / "log"), schemas.IMPORT_LOG)
+    assert sum(r.row_count for r in log.collect()) == 7
+
+
 def test_newer_only_batch(spark):
     batch = spark.createDataFrame([(1, "a"), (1, "c"), (2, None), (3, "x")], "id long, updated_at string")
     marks = spark.createDataFrame([(1, "b"), (2, "")], "id long, high_water string")
