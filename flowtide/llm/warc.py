@@ -219,19 +219,24 @@ def transactions(records: DataFrame, payload=True) -> DataFrame:
     the full payload. Records whose partner is missing keep nulls in its place; captures that repeat in every respect
     each give their row. With ``payload`` off the nested response has no payload, and none passes through a shuffle.
     """
+    stated = F.regexp_extract("http", r"(?im)^content-length:\s*(\d+)", 1)
+    is_response, is_metadata = F.col("warc_type") == "response", F.col("warc_type") == "metadata"
+    # The archives are parsed once: what follows reads this table, in which only responses may carry a payload.
+    records = common.staged(records.select(
+        "record_id", "target_uri", "warc_type", "concurrent_to", "refers_to", "http",
+        F.when(is_response, _digest32(F.sha1("block"))).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        F.when(is_response, F.octet_length("block")).otherwise(stated.try_cast("bigint")).cast("bigint").alias(
+            "payload_bytes"),
+        F.when(is_metadata, F.decode("block", "utf-8")).alias("fields"),
+        *([F.when(is_response | (F.col("warc_type") == "revisit"), F.col("block")).alias("block")] if payload else [])),
+        "records")
     # The few hundred bytes of request and metadata records; equal ids are equal records, so one of each is enough.
     said = records.where("concurrent_to IS NOT NULL").groupBy("concurrent_to").agg(
         F.max(F.when(F.col("warc_type") == "request", F.struct("record_id", "http"))).alias("request"),
-        F.max(F.when(F.col("warc_type") == "metadata", F.struct(
-            F.col("record_id"), F.decode("block", "utf-8").alias("fields")))).alias("metadata"))
-    stated = F.regexp_extract("http", r"(?im)^content-length:\s*(\d+)", 1)
-    is_response = F.col("warc_type") == "response"
+        F.max(F.when(is_metadata, F.struct("record_id", "fields"))).alias("metadata"))
     main = records.where(F.col("warc_type").isin("response", "revisit")).select(
         "record_id", "target_uri", F.col("warc_type").alias("record_type"), F.col("refers_to").alias("__refers"),
-        F.when(is_response, _digest32(F.sha1("block"))).otherwise(F.col("payload_digest")).alias("payload_digest"),
-        F.when(is_response, F.octet_length("block")).otherwise(stated.cast("bigint")).cast("bigint").alias(
-            "payload_bytes"),
-        F.struct("http", *(["block"] if payload else [])).alias("response"))
+        "payload_digest", "payload_bytes", F.struct("http", *(["block"] if payload else [])).alias("response"))
     page = F.regexp_extract("metadata.fields", r"(?m)^page-id: (\d+|-\d+)\r", 1)
     name = F.regexp_extract("metadata.fields", r"(?m)^page: (\S+)\r", 1)
     captures = main.join(said, F.col("record_id") == F.col("concurrent_to"), "left").drop("concurrent_to").withColumns(
