@@ -3,7 +3,8 @@
 1. Every text becomes the set of its word shingles. Equal sets are one node from here on.
 2. A pair that links shares shingles among the first quarter of both sets, in any one order of all shingles; the order
    used puts those that very many texts have last. Nodes that share one of these get its least node as a pivot; a node
-   that shares too few can link with nothing and is done, and so is one that no region joins with another.
+   that shares too few can link with nothing and is done, and so is one that no region joins with another. A node
+   leaves the regions with which it shares too little to miss a link there.
 3. A pivot's region is every node that has it as a pivot. A small region is joined in one task: the nodes are pivots in
    turn, the one with the most common shingles first, and a pivot is compared only with nodes whose distance from the
    first one differs by no more than the linking distance (triangle inequality) and that are not yet connected with it.
@@ -23,7 +24,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from . import common
 
@@ -109,8 +110,10 @@ def links(texts: DataFrame, sets: DataFrame, n=SHINGLE, share=SHARE) -> DataFram
         F.first("n_shingles").alias("n"), F.count("*").alias("copies"), F.min("th").alias("th"))
     # A node that could link shares at least so many of its first shingles.
     sums = shared.groupBy("node").agg(F.sum("c").alias("c")).join(nodes, "node")
-    able = sums.where(F.col("c") >= F.col("copies") * F.expr(_need("n", share))).select("node", "n", "th")
-    member = _without_inner(common.staged(shared.select("node", "lead").join(able, "node"), "members"))
+    need = F.col("copies") * F.expr(_need("n", share))
+    able = sums.where(F.col("c") >= need).select("node", "n", "th", need.alias("need"))
+    member = common.staged(shared.join(able, "node"), "members")
+    member = _without_inner(common.staged(_needed_regions(member), "needed"))
     sizes = member.groupBy("lead").agg(F.count("*").alias("size"), F.sum("n").alias("shingles")).where("size > 1")
     fits = (F.col("size") <= REGION) & (F.col("shingles") <= REGION_SHINGLES)
     member = common.staged(member.join(sizes.select("lead", fits.alias("fits")), "lead"), "regions")
@@ -140,6 +143,19 @@ def links(texts: DataFrame, sets: DataFrame, n=SHINGLE, share=SHARE) -> DataFram
     return common.staged(out.distinct(), "links")
 
 
+def _needed_regions(member: DataFrame) -> DataFrame:
+    """``member`` (node, lead, c, need, ...) without the regions that a node can do without.
+
+    All regions have one order, in which those come first whose nodes share most with them. A node leaves the last of
+    its regions as long as it shares fewer than ``need`` shingles with all it leaves. Of the regions that two nodes have
+    in common when they link, the first in order is kept by both: with it and those behind it they share ``need``.
+    """
+    rank = member.groupBy(F.col("lead").alias("l")).agg(F.avg(F.col("c") / F.col("need")).alias("rank"))
+    last_first = Window.partitionBy("node").orderBy("rank", "lead").rowsBetween(Window.unboundedPreceding, 0)
+    left = member.join(rank, F.col("lead") == F.col("l")).withColumn("behind", F.sum("c").over(last_first))
+    return left.where("behind >= need").select("node", "lead", "n", "th")
+
+
 def _without_inner(member: DataFrame) -> DataFrame:
     """``member`` (node, lead, ...) without the regions all of whose nodes also lie in the region of the least pivot of
     their own pivot: what they would join is joined there."""
