@@ -125,14 +125,14 @@ def links(texts: DataFrame, sets: DataFrame, n=SHINGLE, share=SHARE) -> DataFram
     if not member.where(~F.col("fits")).isEmpty():
         left = made.where("region IS NOT NULL").select("region", "node", "shingles")
         for round_ in range(ROUNDS):
-            edges, left = _cells(left, share, round_)
-            found.append(edges)
+            edges, left, undivided = _cells(left, share, round_)
+            found += [edges, _edges_of(_blocks(undivided), share)]
             sizes = left.groupBy("region").agg(F.count("*").alias("s"), F.sum(F.length("shingles") / 8).alias("e"))
             small = (F.col("s") <= REGION) & (F.col("e") <= REGION_SHINGLES)
-            left = common.staged(left.join(sizes.where("s > 1").select("region", "s", small.alias("small")), "region"),
+            left = common.staged(left.join(sizes.where("s > 1").select("region", "s", "e", small.alias("small")), "region"),
                                  "cells")
             found.append(_edges_of(left.where("small"), share))
-            left = left.where(~F.col("small")).select("region", "node", "shingles", "s")
+            left = left.where(~F.col("small")).select("region", "node", "shingles", "s", "e")
             if left.isEmpty():
                 break
         else:
@@ -402,7 +402,8 @@ def region_links(rows, share) -> list[tuple[int, int]]:
 
 
 def _cells(items: DataFrame, share, round_):
-    """Links with pivots of large regions, and the cells that are left to join."""
+    """Links with pivots of large regions; the cells that are left to join; and the rows of regions that their pivots do
+    not divide, with the region's nodes ``s`` and shingles ``e``: their cells would have over half as many pairs."""
     items = common.staged(items.select("region", "node", "shingles"), "large")
     slot = F.pmod(F.xxhash64("node", F.lit(round_)), F.lit(PIVOTS))
     chosen = items.groupBy("region", slot.alias("slot")).agg(
@@ -426,7 +427,7 @@ def _cells(items: DataFrame, share, round_):
                     union = [len(own) + len(s) - b for b, (_, s) in zip(both, known[region])]
                     d = np.array([1 - b / u for b, u in zip(both, union)])
                     tied = [p for (p, _), b, u in zip(known[region], both, union) if 100 * b >= share * u and p != node]
-                    out += [(None, node, None, p, None, None) for p in tied]
+                    out += [(None, node, None, p, None, None, region) for p in tied]
                     if any(p == node for p, _ in known[region]):
                         continue  # a pivot has met all of its region
                     home = int(d.argmin())
@@ -434,24 +435,31 @@ def _cells(items: DataFrame, share, round_):
                         # A cell reaches to twice the linking distance; its boundary is once more as wide.
                         if (j == home and d[j] <= 2 * far) or (
                                 j != home and d[j] <= min(d[home] + 2 * far, 3 * far) + 1e-9):
-                            out.append((_cell(region, known[region][j][0]), node, data, None, d[j], bool(d[j] > far)))
+                            out.append((_cell(region, known[region][j][0]), node, data, None, d[j], bool(d[j] > far),
+                                        region))
                     if d[home] > far:
-                        out.append((_cell(region, 0), node, data, None, d[home], True))
+                        out.append((_cell(region, 0), node, data, None, d[home], True, region))
                 for i in range(0, len(out), 1024):
                     columns = zip(*out[i:i + 1024])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.int64(),
-                                                                  pa.float64(), pa.bool_()))],
-                        ["region", "node", "shingles", "pivot", "d", "outer"])
+                                                                  pa.float64(), pa.bool_(), pa.int64()))],
+                        ["region", "node", "shingles", "pivot", "d", "outer", "parent"])
 
     made = common.staged(common.mapped(items.join(chosen, "region"), run,
-                                       ITEM + ", pivot bigint, d double, outer boolean"), "met")
+                                       ITEM + ", pivot bigint, d double, outer boolean, parent bigint"), "met")
     edges = made.where("pivot IS NOT NULL").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     cells = made.where("pivot IS NULL")
     # Nodes within the linking distance of the pivot are connected by it: they are needed only near those beyond it.
     edge = cells.where("outer").groupBy("region").agg(F.min("d").alias("nearest"))
     left = cells.join(edge, "region").where(F.col("outer") | (F.col("d") >= F.col("nearest") - far - 1e-9))
-    return edges, left.select("region", "node", "shingles")
+    pairs = left.groupBy("parent", "region").agg(F.count("*").alias("c")).groupBy("parent").agg(
+        F.sum(F.col("c").cast("double") * F.col("c")).alias("pairs"))
+    whole = items.groupBy("region").agg(F.count("*").alias("s"), F.sum(F.length("shingles") / 8).alias("e"))
+    undivided = whole.join(pairs, F.col("region") == F.col("parent")).where(
+        2 * F.col("pairs") > F.col("s").cast("double") * F.col("s")).select("region", "s", "e")
+    left = left.join(undivided.select(F.col("region").alias("parent")), "parent", "left_anti")
+    return edges, left.select("region", "node", "shingles"), items.join(undivided, "region")
 
 
 def _cell(region, pivot):
@@ -460,8 +468,9 @@ def _cell(region, pivot):
 
 def _blocks(left: DataFrame) -> DataFrame:
     """Every two blocks of a region as a small region of its own: exact for regions that no pivots divide."""
-    half = REGION // 2
-    number = F.greatest(F.lit(2), F.ceil(F.col("s") * 1.3 / half).cast("int"))
+    half, shingles = REGION // 2, REGION_SHINGLES // 2
+    number = F.greatest(F.lit(2), F.ceil(F.col("s") * 1.3 / half).cast("int"),
+                        F.ceil(F.col("e") * 1.3 / shingles).cast("int"))
     rows = left.withColumn("b", F.pmod(F.xxhash64("node", F.lit(9)), F.col("s") * 0 + number).cast("int")).withColumn("k", number)
     other = F.explode(F.sequence(F.lit(0), F.col("k") - 1))
     rows = rows.withColumn("o", other)
