@@ -48,9 +48,9 @@ def repeated_spans(df: DataFrame, text_col="text", least=LEAST) -> DataFrame:
                             ITEM + ", many boolean, m bigint, bytes binary")
         # Copies of a text give the same surroundings.
         items = common.staged(cut.dropDuplicates(["key", "ctx", "tk", "lo"]), "surroundings")
-        width = least - max(1, least // 2) + 1
+        width = least - max(1, least // 2) + 1  # windows that hold an anchor
         while True:
-            sets.append(_transformed(items.where(F.col("m") <= REGION), least))
+            sets.append(_transformed(items.where(F.col("m") <= REGION), least, width))
             large = items.where(F.col("m") > REGION)
             if large.isEmpty():
                 break
@@ -253,33 +253,37 @@ def _halved(least, width):
 
 # --- transform -----------------------------------------------------------------------------------------------------
 
-def _transformed(items: DataFrame, least: int) -> DataFrame:
+def _transformed(items: DataFrame, least: int, width: int) -> DataFrame:
     """Spans of windows that occur twice among the surroundings of one region. Regions are small and are taken many at
     a time; a task sees them in order of their keys."""
     def run(batches):
         held, size, last = [], 0, None
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "tk", "lo", "many", "bytes"))):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "tk", "lo", "off", "many", "bytes"))):
                 if size > TRANSFORM_BYTES and row[0] != last:
-                    yield _spans(held, least)
+                    yield _spans(held, least, width)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[4])
+                size += len(row[5])
                 last = row[0]
         if held:
-            yield _spans(held, least)
+            yield _spans(held, least, width)
 
-    dealt = items.select("key", "tk", "lo", "many", "bytes").repartition("key").sortWithinPartitions("key")
+    dealt = items.select("key", "tk", "lo", "off", "many", "bytes").repartition("key").sortWithinPartitions("key")
     return common.mapped(dealt, run, SPANS)
 
 
-def _spans(rows, least):
+def _spans(rows, least, width):
+    """Spans of the rows (key, tk, lo, off, many, bytes). The windows of a key are numbered below ``width``, and all of
+    them hold the bytes from the start of the last one to the end of the first one: these are its core."""
+    keys, tks, lo, off, many, cuts = zip(*rows)
     number: dict = {}
-    text = [number.setdefault(r[1], len(number)) for r in rows]
-    cuts = [r[4] for r in rows]
-    starts = repeated_starts(cuts, np.array(text), np.array([r[2] for r in rows]), np.array([r[3] for r in rows]), least)
+    text = np.array([number.setdefault(tk, len(number)) for tk in tks])
+    _, region = np.unique(np.array(keys), return_inverse=True)
+    starts = repeated_starts(cuts, text, np.array(lo), np.array(many), least, region, width - 1 - np.array(off, np.int64),
+                             least - width + 1)
     out = []
-    for (_, tk, lo, _, _), at in zip(rows, starts):
+    for tk, lo, at in zip(tks, lo, starts):
         if len(at):
             edges = np.flatnonzero(np.diff(at) > 1)
             for a, b in zip(np.concatenate([[at[0]], at[edges + 1]]), np.concatenate([at[edges], [at[-1]]])):
@@ -289,76 +293,86 @@ def _spans(rows, least):
         [pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.int64()))], ["tk", "lo", "hi"])
 
 
-def repeated_starts(cuts, text, lo, many, least) -> list[np.ndarray]:
+def repeated_starts(cuts, text, lo, many, least, region=None, core=None, width=1) -> list[np.ndarray]:
     """For each piece of bytes, the places in it where a string of ``least`` bytes starts that also starts elsewhere.
-    Piece i lies in text ``text[i]`` from ``lo[i]`` on; equal places of a text are one, unless the piece is ``many``."""
+    Piece i lies in text ``text[i]`` from ``lo[i]`` on; equal places of a text are one, unless the piece is ``many``.
+
+    Where pieces come from regions, all strings of piece i hold its bytes from ``core[i]`` on, ``width`` of them, which
+    are the same in all of ``region[i]``. They are one symbol then, which no other region has.
+    """
     size = np.array([len(c) for c in cuts], np.int64)
     begin = np.concatenate([[0], np.cumsum(size + 1)])
-    codes = np.zeros(begin[-1], np.int64)
-    flat = np.frombuffer(b"".join(cuts), np.uint8)
-    owner = np.repeat(np.arange(len(cuts)), size)
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
-    codes[begin[owner] + place] = flat
-    ends = begin[1:] - 1
-    codes[ends] = 256 + np.arange(len(cuts))  # each end is a symbol of its own
+    codes = np.zeros(begin[-1], np.int64)  # 0 ends a piece
+    inside = np.ones(len(codes), bool)
+    inside[begin[1:] - 1] = False
+    codes[inside] = np.frombuffer(b"".join(cuts), np.uint8) + np.int64(1)
+    if region is not None:
+        codes[begin[:-1] + core] = 257 + region
+        gone = np.zeros(len(codes) + 1, np.int64)
+        gone[begin[:-1] + core + 1] += 1
+        gone[begin[:-1] + core + width] -= 1
+        codes = codes[np.cumsum(gone[:-1]) == 0]
+        least, size = least - width + 1, size - width + 1
+        begin = np.concatenate([[0], np.cumsum(size + 1)])
+    used = np.bincount(codes) > 0
+    codes = (np.cumsum(used) - 1)[codes]
     order = suffix_order(codes, least)
-    equal = np.flatnonzero(shared_prefix(codes, order, least))
+    shared = shared_prefix(codes, order, least)
     out = [np.zeros(0, np.int64)] * len(cuts)
-    if not len(equal):
-        return out
-    run = np.cumsum(np.concatenate([[1], np.diff(equal) > 1]))
     # A run of neighbours that share a window: the suffixes at and before its boundaries.
-    suffix = np.concatenate([order[equal], order[equal - 1]])
-    group = np.concatenate([run, run])
-    suffix, first = np.unique(suffix, return_index=True)
-    group = group[first]
+    member = shared.copy()
+    member[:-1] |= shared[1:]
+    suffix, group = order[member], np.cumsum(member & ~shared)[member]
     piece = np.searchsorted(begin, suffix, "right") - 1
     at = suffix - begin[piece]
+    whole = at + least <= size[piece]  # what runs across an end is no window
+    group, piece, at = group[whole], piece[whole], at[whole]
+    if not len(group):
+        return out
     # Count different places of a group.
-    key = np.stack([group, text[piece], lo[piece] + at], 1)
-    different = np.unique(key, axis=0)[:, 0]
+    place = lo[piece] + at
+    _, place = np.unique(text[piece] * (place.max() + 1) + place, return_inverse=True)
+    different = np.unique(group * (place.max() + 1) + place) // (place.max() + 1)
     count = np.bincount(different, minlength=group.max() + 1) + np.bincount(
         group, many[piece], minlength=group.max() + 1)
     good = count[group] > 1
     piece, at = piece[good], at[good]
-    order = np.lexsort((at, piece))
+    order = np.argsort(begin[piece] + at)
     piece, at = piece[order], at[order]
     cut = np.searchsorted(piece, np.arange(len(cuts) + 1))
     return [at[a:b] for a, b in zip(cut[:-1], cut[1:])]
 
 
 def suffix_order(codes, least):
-    """Suffixes in order of their first ``least`` symbols at least, by doubling."""
+    """Suffixes in order of their first ``least`` symbols at least, by multiplying the length that is in order."""
     n = len(codes)
-    padded = np.concatenate([codes + 1, np.zeros(3, np.int64)])
-    width = int(padded.max()).bit_length()
-    key, step = padded[:n].copy(), 1
-    while step < 4 and (step + 1) * width <= 62:
-        key = key << width | padded[step:step + n]
-        step += 1
+    key, width, step = codes + 1, (int(codes.max()) + 1).bit_length(), 1
     while True:
-        order = np.argsort(key)
-        ranked = key[order]
+        join = min(62 // width, -(-least // step))
+        parts = np.concatenate([key, np.zeros(join * step, np.int64)])
+        joined = key
+        for i in range(1, join):
+            joined = joined << width | parts[i * step:i * step + n]
+        total = step * join  # symbols that these keys tell apart
+        order = np.argsort(joined)
+        ranked = joined[order]
         fresh = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
-        if step >= least or fresh[-1] == n - 1:
+        if total >= least or fresh[-1] == n - 1:
             return order
-        rank = np.empty(n, np.int64)
-        rank[order] = fresh
-        after = np.zeros(n, np.int64)
-        after[:max(0, n - step)] = rank[step:] + 1
-        key = rank * (n + 1) + after
-        step *= 2
+        key = np.empty(n, np.int64)
+        key[order] = fresh + 1
+        width, step = n.bit_length(), total
 
 
 def shared_prefix(codes, order, least):
     """Whether each suffix shares its first ``least`` symbols with the one before it in order: boundaries to which no
-    interval of a shorter common prefix extends."""
+    interval of a shorter common prefix extends. Not told for suffixes whose first symbols hold an end, a 0."""
     n = len(order)
-    before = order - 1
-    symbol = np.where(before >= 0, codes[before], 256 + n)
+    count = int(codes.max()) + 1
+    symbol = codes[order - 1]  # before the first one stands the last one, an end
     # Where the suffix with the preceding symbol lies: after those of smaller symbols, in order among those of its own.
     mapped = np.empty(n, np.int64)
-    mapped[np.argsort(symbol, kind="stable")] = np.arange(n)
+    mapped[np.argsort(symbol.astype(np.uint16) if count < 1 << 16 else symbol, kind="stable")] = np.arange(n)
     # Equal neighbours of the transform are one run; repetitive text has few.
     begin = np.flatnonzero(np.concatenate([[True], symbol[1:] != symbol[:-1]]))
     stop = np.append(begin[1:], n)
@@ -377,7 +391,7 @@ def shared_prefix(codes, order, least):
         size = run[hi - 1] - head + 1
         interval = np.repeat(np.arange(len(lo)), size)
         at = np.arange(len(interval)) - np.repeat(np.cumsum(size) - size - head, size)
-        inner = sign[at] < 256  # nothing extends across an end
+        inner = sign[at] > 0  # nothing extends across an end
         at, interval = at[inner], interval[inner]
         if not len(at):
             break
@@ -385,7 +399,7 @@ def shared_prefix(codes, order, least):
         last = mapped[np.minimum(stop[at], hi[interval]) - 1] + 1
         if (size > 1).any():
             # Runs of one symbol within an interval are one extension.
-            key = interval << 8 | sign[at]
+            key = interval * count + sign[at]
             by = np.argsort(key, kind="stable")
             same = np.flatnonzero(np.concatenate([[True], np.diff(key[by]) != 0]))
             first, last = np.minimum.reduceat(first[by], same), np.maximum.reduceat(last[by], same)
