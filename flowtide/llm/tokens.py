@@ -79,12 +79,14 @@ class Chunks:
     def split(self, text: str) -> list[str]:
         """Chunks that can be encoded alone. With white space kept, a chunk starts with the white space before it."""
         if not self.spaced:
-            # Lower case first makes more chunks equal; within Latin-1 it commutes with composition.
-            try:
-                text.encode("latin-1")
-                text = text.lower()
-            except UnicodeEncodeError:
-                pass
+            # Lower case first makes more chunks equal; within Latin-1 it commutes with composition. Special tokens are
+            # matched in the raw text, where case counts, so a text that may hold one is left as it is.
+            if "<|" not in text:
+                try:
+                    text.encode("latin-1")
+                    text = text.lower()
+                except UnicodeEncodeError:
+                    pass
             return text.replace("\n", " ").split(" ")
         if _GAP.search(text):
             return _CUT.split(text)

@@ -190,6 +190,21 @@ def test_bpe_equals_the_library(docs, empty):
     assert bpe.decode(bpe.encode(empty)).collect() == []
 
 
+def test_special_tokens_are_matched_with_their_case(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(common.vocabulary("word_bpe_49k.json"))
+    texts = ["<|ENDOFTEXT|>", "<|EndOfText|> End", "A <|endoftext|>B <|Endoftext|>", "<|STARTOFTEXT|>É\n<|startoftext|>",
+             "Ω <|ENDOFTEXT|>", "ENDOFTEXT |> <| x"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    ids = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids[0] == [27, 347, 40786, 4160, 91, 285] and 49407 in ids[2]
+    got = rows_of(bpe.decode(bpe.encode(rows)))
+    assert got == [(i, x, tokenizer.decode(x, skip_special_tokens=False)) for i, x in enumerate(ids)]
+    cut = packing.packed(rows).select("doc_id", "start", "length", "ids_crc32")
+    assert rows_of(cut) == [(i, 0, len(x) + 1, zlib.crc32(np.array([*x, 1], "<u4").tobytes())) for i, x in enumerate(ids)]
+
+
 def test_token_files(spark, docs, empty):
     from tokenizers import Tokenizer
 
