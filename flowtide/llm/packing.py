@@ -71,27 +71,29 @@ def plan(counts: dict[int, int], capacity=CAPACITY) -> list[tuple[int, int, int,
     while large:
         n = large[0]
         at = bisect.bisect_right(ascending, capacity - n) - 1
+        if at >= 0 and ascending[at] == n and left[n] == 1:
+            # The last piece of its length takes the next shorter one.
+            at -= 1
         partner = ascending[at] if at >= 0 else None
         if partner is None:
             take = left[n]
             runs.append((n, used[n], bins, 1, 0))
             add(capacity - n, bins, take)
+            bins += take
             pairs = []
         elif partner == n:
-            take = left[n]
+            take = left[n] - left[n] % 2
             runs.append((n, used[n], bins, 2, 0))
             add(capacity - 2 * n, bins, take // 2)
-            if take % 2:
-                add(capacity - n, bins + take // 2, 1)
-            bins -= take // 2
+            bins += take // 2
             pairs = []
         else:
             take = min(left[n], left[partner])
             runs.append((n, used[n], bins, 1, 0))
             runs.append((partner, used[partner], bins, 1, n))
             add(capacity - n - partner, bins, take)
+            bins += take
             pairs = [partner]
-        bins += take
         for m in [n, *pairs]:
             left[m] -= take
             used[m] += take

@@ -178,6 +178,44 @@ def test_packing_plan_places_each_piece_once():
         assert len(used) <= 1.5 * -(-total // capacity) + 1
 
 
+def _bins_piece_by_piece(counts, capacity):
+    """Bins of the same greedy packing, one piece after the other: each large piece, longest first, with the longest
+    other large one that fits; then each smaller one into the smallest gap that holds it."""
+    sizes = sorted(Counter(counts).elements())
+    large, gaps = [n for n in sizes if 3 * n > capacity], []
+    while large:
+        gap = capacity - large.pop()
+        partner = max((i for i, m in enumerate(large) if m <= gap), default=None)
+        gaps.append(gap - (large.pop(partner) if partner is not None else 0))
+    for n in reversed([n for n in sizes if 3 * n <= capacity]):
+        fitting = [g for g in gaps if g >= n]
+        if fitting:
+            gaps.remove(min(fitting))
+        gaps.append((min(fitting) if fitting else capacity) - n)
+    return len(gaps)
+
+
+def _bins_of(counts, capacity):
+    out = 0
+    runs = sorted(packing.plan(dict(counts), capacity))
+    for i, (n, number, first, each, _) in enumerate(runs):
+        last = runs[i + 1][1] if i + 1 < len(runs) and runs[i + 1][0] == n else counts[n]
+        out = max(out, first + -(-(last - number) // each))
+    return out
+
+
+def test_packing_plan_matches_large_pieces_as_one_by_one():
+    assert _bins_of({2000: 1, 1999: 1, 1998: 1, 1997: 1}, 4096) == 2
+    assert _bins_of({2000: 3, 1999: 1}, 4096) == 2
+    rng = random.Random(9)
+    for _ in range(60):
+        capacity = rng.choice([30, 100])
+        counts = {rng.randint(capacity // 3 + 1, capacity // 2 + 3): rng.randint(1, 9) for _ in range(rng.randint(1, 15))}
+        assert _bins_of(counts, capacity) == _bins_piece_by_piece(counts, capacity)
+        small = counts | {rng.randint(1, capacity // 3): rng.randint(1, 9) for _ in range(5)}
+        assert _bins_of(small, capacity) <= _bins_piece_by_piece(small, capacity) + 1
+
+
 def test_bpe_equals_the_library(docs, empty):
     from tokenizers import Tokenizer
 
