@@ -18,13 +18,14 @@ from pyspark.sql import DataFrame, functions as F
 from . import common
 
 VOCABULARY = "piece_bpe_32k.model"
-#: Documents to learn from, for each language about so many, chosen by a hash of their text.
+#: Different texts to learn from, for each language about so many, chosen by their hash.
 SAMPLE = 600
 ROUNDS = 3
-#: Pieces of more characters are left out; probability of a character that is no piece; added to expected counts.
-LONGEST, UNKNOWN, PRIOR = 8, 1e-7, 0.05
-#: Letters of a word that are scored together; a longer word is several.
+#: Characters of the vocabulary's longest piece; probability of a character that is no piece; added to expected counts.
+LONGEST, UNKNOWN, PRIOR = 16, 1e-7, 0.05
+#: Words of more characters are handled together with somewhat longer ones.
 WORD = 32
+#: Most words a scorer keeps, and as many times WORD characters.
 CACHE = 300_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -79,8 +80,8 @@ def _maximised(words: DataFrame, hashes, weights) -> np.ndarray:
         total = np.zeros(weights.shape)
         for batch in batches:
             langs, n = batch.column("lang").to_numpy(), batch.column("n").to_numpy()
-            for some, codes in by_length(batch.column("word").to_pylist()):
-                expected(codes, hashes, weights, langs[some], n[some], total)
+            for some, codes, size in by_length(batch.column("word").to_pylist()):
+                expected(codes, hashes, weights, langs[some], n[some], total, size)
         piece, lang = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(piece), pa.array(total[piece, lang])],
                                          ["lang", "piece", "n"])
@@ -132,6 +133,7 @@ class Scorer:
     def __init__(self, hashes, logs):
         self.hashes, self.weights = hashes, np.exp(logs)
         self.known: dict[str, int] = {}
+        self.letters = 0
         self.scores = np.zeros((0, logs.shape[1]))
 
     def best(self, texts):
@@ -140,15 +142,16 @@ class Scorer:
         wanted = set()
         for words in found:
             wanted.update(words)
-        if len(self.known) > CACHE:
-            self.known, self.scores = {}, self.scores[:0]
+        if len(self.known) > CACHE or self.letters > WORD * CACHE:
+            self.known, self.scores, self.letters = {}, self.scores[:0], 0
         fresh = [w for w in wanted if w not in self.known]
         if fresh:
             added = np.zeros((len(fresh), self.scores.shape[1]))
-            for some, codes in by_length(fresh):
-                added[some] = forward(codes, self.hashes, self.weights)
+            for some, codes, size in by_length(fresh):
+                added[some] = forward(codes, self.hashes, self.weights, size)
             self.known.update(zip(fresh, range(len(self.scores), len(self.scores) + len(fresh))))
             self.scores = np.concatenate([self.scores, added])
+            self.letters += sum(map(len, fresh))
         best, score = np.full(len(texts), -1), np.zeros(len(texts))
         if not self.scores.shape[1]:
             return best, score
@@ -161,39 +164,40 @@ class Scorer:
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters in lower case, each marked at its start; a very long one is cut, not shortened."""
-    out = []
-    for w in _LETTERS.findall(text.lower()):
-        w = "▁" + w
-        if len(w) <= WORD:
-            out.append(w)
-        else:
-            out += [w[i:i + WORD] for i in range(0, len(w), WORD)]
-    return out
+    """Runs of letters in lower case, each marked at its start."""
+    return ["▁" + w for w in _LETTERS.findall(text.lower())]
 
 
 def by_length(words: list[str]):
-    """(places, characters as a matrix) of the words of each length."""
+    """(places, characters as a matrix, lengths) of the words of each length; those above ``WORD`` go together with up
+    to a quarter longer ones, filled up with zeros."""
     size = np.array([len(w) for w in words], np.int64)
-    for n in np.unique(size).tolist():
-        places = np.flatnonzero(size == n)
-        for start in range(0, len(places), 50_000):
-            some = places[start:start + 50_000]
-            data = "".join([words[i] for i in some.tolist()]).encode("utf-32-le", "surrogatepass")
-            yield some, np.frombuffer(data, np.uint32).reshape(len(some), n)
+    order = np.argsort(size, kind="stable")
+    start = 0
+    while start < len(order):
+        least = int(size[order[start]])
+        most = least if least <= WORD else least + least // 4
+        stop = min(int(np.searchsorted(size, most, "right", sorter=order)), start + max(1, 50_000 * WORD // max(most, WORD)))
+        some = order[start:stop]
+        width = int(size[some[-1]])
+        data = "".join([words[i].ljust(width, "\0") for i in some.tolist()]).encode("utf-32-le", "surrogatepass")
+        yield some, np.frombuffer(data, np.uint32).reshape(len(some), width), size[some]
+        start = stop
 
 
 def piece_hashes(path: str) -> np.ndarray:
-    """Hashes of the vocabulary's pieces of up to ``LONGEST`` characters, in lower case, in ascending order."""
+    """Hashes of the vocabulary's pieces, in lower case, in ascending order."""
     import sentencepiece
 
     processor = sentencepiece.SentencePieceProcessor(model_file=path)
     found = set()
     for i in range(processor.get_piece_size()):
         piece = processor.id_to_piece(i).lower()
-        if not (processor.is_control(i) or processor.is_unknown(i) or processor.is_byte(i)) and len(piece) <= LONGEST:
+        if not (processor.is_control(i) or processor.is_unknown(i) or processor.is_byte(i)):
+            if len(piece) > LONGEST:
+                raise ValueError(f"the vocabulary has a piece of more than {LONGEST} characters")
             found.add(piece)
-    hashes = [_hashed(codes) for _, codes in by_length(sorted(found))]
+    hashes = [_hashed(codes) for _, codes, _ in by_length(sorted(found))]
     return np.unique(np.concatenate(hashes))
 
 
@@ -204,47 +208,58 @@ def _hashed(codes: np.ndarray) -> np.ndarray:
     return common.mix(out)
 
 
-def _pieces(codes, hashes):
-    """For each end j and length n: the words whose last n characters before j are a piece, and the pieces."""
+def _pieces(codes, hashes, j):
+    """For each length n: the words whose last n characters before j are a piece, and the pieces."""
+    raw = np.zeros(len(codes), np.uint64)
+    for n in range(1, min(j, LONGEST) + 1):
+        raw = raw + (codes[:, j - n] + np.uint64(1)) * _POWERS[n - 1]
+        key = common.mix(raw)
+        at = np.minimum(np.searchsorted(hashes, key), len(hashes) - 1)
+        hit = np.flatnonzero(hashes[at] == key)
+        if len(hit):
+            yield n, hit, at[hit]
+
+
+def forward(codes, hashes, weights, size=None) -> np.ndarray:
+    """Log probabilities of words (rows of characters, the first ``size`` of each) under each language (columns of
+    ``weights``)."""
     rows, width = codes.shape
-    for j in range(1, width + 1):
-        raw, found = np.zeros(rows, np.uint64), []
-        for n in range(1, min(j, LONGEST) + 1):
-            raw = raw + (codes[:, j - n] + np.uint64(1)) * _POWERS[n - 1]
-            key = common.mix(raw)
-            at = np.minimum(np.searchsorted(hashes, key), len(hashes) - 1)
-            hit = np.flatnonzero(hashes[at] == key)
-            found.append((n, hit, at[hit]))
-        yield j, found
-
-
-def forward(codes, hashes, weights) -> np.ndarray:
-    """Log probabilities of words (rows of characters) under each language (columns of ``weights``)."""
-    alpha = np.zeros((codes.shape[1] + 1, len(codes), weights.shape[1]))
+    size = np.full(rows, width) if size is None else size
+    # The last sums only, brought back to 1 before they can become too small.
+    ring = LONGEST + 1
+    alpha = np.zeros((ring, rows, weights.shape[1]))
     alpha[0] = 1
-    for j, found in _pieces(codes, hashes):
-        alpha[j] = alpha[j - 1] * UNKNOWN
-        for n, hit, piece in found:
-            alpha[j, hit] += alpha[j - n, hit] * weights[piece]
-    return np.log(alpha[-1])
+    scale, out = np.zeros(alpha.shape[1:]), np.zeros(alpha.shape[1:])
+    for j in range(1, width + 1):
+        now = alpha[j % ring]
+        now[:] = alpha[(j - 1) % ring] * UNKNOWN
+        for n, hit, piece in _pieces(codes, hashes, j):
+            now[hit] += alpha[(j - n) % ring, hit] * weights[piece]
+        done = np.flatnonzero(size == j)
+        if len(done):
+            out[done] = np.log(now[done]) + scale[done]
+        if j % LONGEST == 0 and j < width:
+            scale += np.log(now)
+            alpha /= now.copy()
+    return out
 
 
-def expected(codes, hashes, weights, langs, n, total) -> None:
+def expected(codes, hashes, weights, langs, n, total, size=None) -> None:
     """Add to ``total`` (pieces by languages) the expected number of each piece in words of a known language."""
-    width = codes.shape[1]
-    cuts = list(_pieces(codes, hashes))
-    alpha, beta = np.zeros((width + 1, len(codes))), np.zeros((width + 1, len(codes)))
-    alpha[0], beta[width] = 1, 1
-    for j, found in cuts:
-        alpha[j] = alpha[j - 1] * UNKNOWN
-        for k, hit, piece in found:
-            alpha[j, hit] += alpha[j - k, hit] * weights[piece, langs[hit]]
-    for j, found in reversed(cuts):
-        beta[j - 1] += beta[j] * UNKNOWN
-        for k, hit, piece in found:
-            beta[j - k, hit] += beta[j, hit] * weights[piece, langs[hit]]
-    for j, found in cuts:
-        for k, hit, piece in found:
+    rows, width = codes.shape
+    size = np.full(rows, width) if size is None else size
+    logs, unknown, every = np.log(weights), np.log(UNKNOWN), np.arange(rows)
+    alpha, beta = np.full((width + 1, rows), -np.inf), np.full((width + 1, rows), -np.inf)
+    alpha[0], beta[size, every] = 0, 0
+    for j in range(1, width + 1):
+        alpha[j] = alpha[j - 1] + unknown
+        for k, hit, piece in _pieces(codes, hashes, j):
+            alpha[j, hit] = np.logaddexp(alpha[j, hit], alpha[j - k, hit] + logs[piece, langs[hit]])
+    whole = alpha[size, every]
+    for j in range(width, 0, -1):
+        beta[j - 1] = np.logaddexp(beta[j - 1], beta[j] + unknown)
+        for k, hit, piece in _pieces(codes, hashes, j):
             lang = langs[hit]
-            share = alpha[j - k, hit] * beta[j, hit] * weights[piece, lang] / alpha[width, hit] * n[hit]
-            np.add.at(total, (piece, lang), share)
+            after = beta[j, hit] + logs[piece, lang]
+            beta[j - k, hit] = np.logaddexp(beta[j - k, hit], after)
+            np.add.at(total, (piece, lang), np.exp(alpha[j - k, hit] + after - whole[hit]) * n[hit])

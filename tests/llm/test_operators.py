@@ -289,6 +289,44 @@ def test_language_forward_sums_all_segmentations():
     assert np.exp(langid.forward(word, hashes, weights))[0, 0] == pytest.approx(0.5**3 + 2 * 0.5 * 0.25, rel=1e-5)
 
 
+def test_language_sums_long_pieces_and_words():
+    assert len(langid.piece_hashes(common.vocabulary(langid.VOCABULARY))) == len(_language_pieces())
+    rng = random.Random(11)
+    pieces = ["a", "b", "ab", "ba", "aab", "abababab" * 2, "ab" * 6]
+    of = {langid._hashed(np.array([[ord(c) for c in p]], np.uint32))[0]: p for p in pieces}
+    hashes = np.array(sorted(of), np.uint64)
+    order = [of[h] for h in hashes]
+    weights = np.array([[rng.uniform(0.01, 0.2), rng.uniform(0.01, 0.2)] for _ in pieces])
+    words = ["ab" * 9, "a" * 33 + "b", "ab" * 20, "ab" * 23 + "a", "b" * 300, "aabx" * 60, "ab" * 1500]
+    for some, codes, size in langid.by_length(words):
+        got = langid.forward(codes, hashes, weights, size)
+        for row, place in enumerate(some):
+            for lang in (0, 1):
+                a, word = [0.0], words[place]
+                for j in range(1, len(word) + 1):
+                    ways = [a[j - 1] + np.log(langid.UNKNOWN)]
+                    ways += [a[j - len(p)] + np.log(weights[i, lang]) for i, p in enumerate(order) if word[:j].endswith(p)]
+                    a.append(np.logaddexp.reduce(ways))
+                assert got[row, lang] == pytest.approx(a[-1], rel=1e-9)
+        # Each expected count is the derivative of the log probability by the logarithm of the piece's probability.
+        total = np.zeros(weights.shape)
+        langid.expected(codes, hashes, weights, np.zeros(len(some), np.int64), np.ones(len(some), np.int64), total, size)
+        for i in range(len(pieces)):
+            more, less = weights.copy(), weights.copy()
+            more[i] *= 1 + 1e-5
+            less[i] *= 1 - 1e-5
+            change = langid.forward(codes, hashes, more, size) - langid.forward(codes, hashes, less, size)
+            assert total[i, 0] == pytest.approx(change[:, 0].sum() / 2e-5, rel=1e-4, abs=1e-4)
+
+
+def _language_pieces():
+    import sentencepiece
+
+    p = sentencepiece.SentencePieceProcessor(model_file=common.vocabulary(langid.VOCABULARY))
+    return {p.id_to_piece(i).lower() for i in range(p.get_piece_size())
+            if not (p.is_control(i) or p.is_unknown(i) or p.is_byte(i))}
+
+
 def test_quality(spark, docs, empty):
     rng = random.Random(6)
     plain = [f"w{i}" for i in range(50)]
