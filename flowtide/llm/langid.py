@@ -40,16 +40,20 @@ def learned(df: DataFrame, text_col="text", lang_col="lang", vocabulary=VOCABULA
     """
     rows = common.texts(df, F.col(lang_col).cast("string").alias("__lang"), text=text_col, empty=False).where(
         F.col("__lang").isNotNull() & F.col("__text").isNotNull())
-    sizes = {r[0]: r[1] for r in rows.groupBy("__lang").count().collect()}
+    rows = rows.withColumn("__hash", F.xxhash64("__text"))
+    # Copies of a text count once, so they neither crowd out other texts nor stay out together.
+    sizes = {r[0]: r[1] for r in rows.select("__lang", "__hash").distinct().groupBy("__lang").count().collect()}
     languages = sorted(sizes)
     hashes = piece_hashes(common.vocabulary(vocabulary))
     if not languages:
         return [], hashes, np.zeros((len(hashes), 0))
     share = F.create_map(*(F.lit(x) for k in languages for x in (k, min(1.0, sample / sizes[k]))))
-    chosen = F.pmod(F.xxhash64("__text"), F.lit(1_000_000)) < share[F.col("__lang")] * 1_000_000
+    # With at most ``sample`` texts the share is 1; above, about ``sample`` are drawn.
+    chosen = F.pmod("__hash", F.lit(10**15)) < share[F.col("__lang")] * 10**15
     index = F.create_map(*(F.lit(x) for i, k in enumerate(languages) for x in (k, i)))
-    words = common.mapped(rows.where(chosen).select(index[F.col("__lang")].alias("__lang"), "__text"), _counted,
-                          "lang int, word string, n bigint")
+    drawn = common.mapped(rows.where(chosen).select(index[F.col("__lang")].alias("__lang"), "__hash", "__text"), _once,
+                          "__lang int, __hash bigint, __text string").dropDuplicates(["__lang", "__hash"])
+    words = common.mapped(drawn.select("__lang", "__text"), _counted, "lang int, word string, n bigint")
     words = common.staged(words.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     weights = np.full((len(hashes), len(languages)), 1 / len(hashes))
     for _ in range(rounds):
@@ -57,6 +61,18 @@ def learned(df: DataFrame, text_col="text", lang_col="lang", vocabulary=VOCABULA
     return languages, hashes, np.log(weights)
 
 
+def _once(batches):
+    """The rows without those whose language and text this task met before."""
+    seen = set()
+    for batch in batches:
+        keep = []
+        for i, key in enumerate(zip(batch.column("__lang").to_pylist(), batch.column("__hash").to_pylist())):
+            if key not in seen:
+                seen.add(key)
+                keep.append(i)
+        yield batch.take(pa.array(keep, pa.int64()))
+
+
 def _counted(batches):
     from collections import Counter
 

@@ -319,6 +319,22 @@ def test_language_sums_long_pieces_and_words():
             assert total[i, 0] == pytest.approx(change[:, 0].sum() / 2e-5, rel=1e-4, abs=1e-4)
 
 
+def test_language_sample_counts_copies_once(spark):
+    rng = random.Random(12)
+    kinds = {"aa": ["the", "thing", "with", "other", "that"], "bb": ["der", "schein", "und", "nicht", "heit"]}
+    say = lambda k: " ".join(rng.choice(kinds[k]) + rng.choice(kinds[k]) for _ in range(30))
+    few = [("bb", say("bb")) for _ in range(3)]
+    texts = [("aa", say("aa")) for _ in range(200)] + few
+    schema = "lang string, text string"
+    once = langid.learned(spark.createDataFrame(texts, schema), sample=60)
+    copies = spark.createDataFrame([*texts, *few * 400, *texts[:1] * 300], schema).repartition(5)
+    languages, _, logs = langid.learned(copies, sample=60)
+    assert languages == ["aa", "bb"] and np.allclose(logs, once[2], rtol=0, atol=1e-9)
+    assert np.ptp(logs, axis=0).min() > 1
+    asked = spark.createDataFrame([(i, say("bb")) for i in range(20)], "doc_id long, text string")
+    assert {r.lang_pred for r in langid.predict(asked, once).collect()} == {"bb"}
+
+
 def _language_pieces():
     import sentencepiece
 
