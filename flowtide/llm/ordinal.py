@@ -17,7 +17,8 @@ from . import common
 BITS = 22
 #: Rated documents to learn from, about so many, chosen by a hash of their id.
 SAMPLE = 12_000
-#: A feature must occur in so many documents of the sample; the most telling ones are used, at most so many.
+#: A feature must occur in so many documents of the sample; for each threshold the most telling ones are used, at most so
+#: many.
 LEAST_DOCS, FEATURES = 5, 4096
 STEPS, RATE, DECAY = 600, 0.05, 3e-5
 #: A text is selected if it is good with at least this probability: a little less than even, so that clean texts stay.
@@ -39,12 +40,17 @@ def fit(rated: DataFrame, text_col="text", grade_col="grade", sample=SAMPLE):
     grades = [r[0] for r in rows.select("__grade").distinct().orderBy("__grade").collect()]
     if len(grades) < 2:
         return np.zeros(0, np.int64), np.zeros(0), np.zeros(0), grades or [0]
-    # How far the mean grade of the documents with a feature lies from the mean, in standard errors.
-    mean, spread = rows.agg(F.avg("__grade"), F.stddev_pop("__grade")).first()
+    # For each threshold, how far the share above it of the documents with a feature lies from that of all documents,
+    # in standard errors: a feature of a middle grade tells nothing by its mean grade.
+    above = [F.avg((F.col("__grade") > g).cast("int")).alias(f"above{i}") for i, g in enumerate(grades[:-1])]
+    share = rows.agg(*above).first()
     met = rows.select("__grade", F.explode("__features").alias("f")).groupBy("f").agg(
-        F.count("*").alias("n"), F.avg("__grade").alias("mean")).where(F.col("n") >= LEAST_DOCS)
-    telling = met.withColumn("z", F.abs(F.col("mean") - mean) * F.sqrt("n") / spread).orderBy(F.desc("z"), "f")
-    chosen = np.sort(np.array([r[0] for r in telling.limit(FEATURES).select("f").collect()], np.int64))
+        F.count("*").alias("n"), *above).where(F.col("n") >= LEAST_DOCS)
+    met, found = common.staged(met, "met"), set()
+    for i, overall in enumerate(share):
+        telling = met.withColumn("z", F.abs(F.col(f"above{i}") - overall) * F.sqrt("n")).orderBy(F.desc("z"), "f")
+        found.update(r[0] for r in telling.limit(FEATURES).select("f").collect())
+    chosen = np.array(sorted(found), np.int64)
 
     def narrow(batches):
         for batch in batches:

@@ -363,6 +363,19 @@ def test_quality(spark, docs, empty):
     assert {r.expected_grade for r in ordinal.score(docs, single).collect()} == {1.0}
 
 
+def test_quality_features_tell_the_middle_grade(spark, monkeypatch):
+    monkeypatch.setattr(ordinal, "FEATURES", 8)
+    rng = random.Random(13)
+    more = {0: ["%%%"] * 9, 1: ["rude", "nasty"], 2: []}
+    text = lambda g: " ".join([f"w{rng.randrange(50)}" for _ in range(40)] + more[g])
+    # The mean grade is 1, that of the documents with a rude word.
+    rows = [(i, text(i % 3), i % 3) for i in range(600)]
+    model = ordinal.fit(spark.createDataFrame(rows, "doc_id long, text string, grade int"))
+    asked = spark.createDataFrame([(i, text(i % 3)) for i in range(90)], "doc_id long, text string")
+    scored = ordinal.score(asked, model).select("doc_id", ordinal.selected().alias("good")).collect()
+    assert sum(r.good == (r.doc_id % 3 == 2) for r in scored) >= 85
+
+
 @pytest.mark.parametrize("region", [256, 2])
 def test_repeats(docs, empty, monkeypatch, region):
     monkeypatch.setattr(repeats, "REGION", region)

@@ -57,6 +57,22 @@ def test_run_equals_its_stages(spark, sf_dir):
     assert rows.count() > 40
 
 
+def test_quality_stage_rejects_low_and_toxic(spark):
+    rng = random.Random(14)
+    more = {0: ["%%%"] * 9, 1: ["rude", "nasty"], 2: []}
+    text = lambda g: " ".join([f"w{rng.randrange(50)}" for _ in range(40)] + more[g])
+    rows = [(i, text(i % 3), "en") for i in range(450)]
+    path = scratch_dir(spark)
+    # A third of the documents have no rating.
+    labels = [(i, int(i % 3 > 0), int(i % 3 == 1)) for i in range(300)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    kept = {r.doc_id for r in corpus_pipeline.classify_quality(spark, docs, path).collect()}
+    unrated = range(300, 450)
+    assert [sum(i in kept for i in unrated if i % 3 == g) for g in (0, 1)] == [0, 0]
+    assert sum(i in kept for i in unrated if i % 3 == 2) >= 45
+
+
 def test_empty_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
