@@ -78,7 +78,8 @@ STAGES = [
     ("language", identify_language), ("quality", classify_quality), ("near duplicates", drop_near_duplicates),
     ("repeats", remove_repeats), ("packing", pack_documents),
 ]
-#: Tokenising, learning and suffix order have no form in SQL; the tests compare each stage with a plain version.
+#: Tokenising, learning and suffix order have no form in SQL. The tests look at which rows each stage keeps; they have no
+#: plain version of the language, quality and packing stages.
 ORACLE_SQL = None
 
 
