@@ -98,7 +98,8 @@ class Chunks:
         new, tails = self.new, []
         plain = set()
         for w in missing:
-            if len(w) > 2 and w[-1] in _TAIL and w[-2].isalnum() and w[-2] < "ƀ":
+            # The letter may not grow in lower case: a combining mark would join the punctuation after it.
+            if len(w) > 2 and w[-1] in _TAIL and w[-2] < "ƀ" and w[-2].lower().isalnum():
                 tails.append(w)
                 if w[:-1] not in new:
                     plain.add(w[:-1])
