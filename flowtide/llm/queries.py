@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from flowtide.session import scratch_dir
 
-from . import bpe, jaccard, langid, ordinal, packing, repeats, repetition, tokenfiles, topk, warc
+from . import (
+    bpe, centroids, divergence, jaccard, langid, ordinal, packing, quantised, repeats, repetition, tokenfiles, topk, warc)
 from .common import table
+from .sql import ORACLE
 
 
 def op1_jaccard(spark, sf_dir):
@@ -78,7 +80,22 @@ def op10_repetition(spark, sf_dir):
     return repetition.judge(repetition.measure(table(spark, sf_dir, "documents")))
 
 
+def op11_divergence(spark, sf_dir):
+    """Divergence of every two sources of a language, and the terms that set each source apart."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_near_vectors(spark, sf_dir):
+    """Links and component of every vector among those of its label."""
+    return quantised.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op13_centroids(spark, sf_dir):
+    """Cluster of every vector after three rounds from sixteen centroids."""
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_jaccard, op2_warc, op3_packing, op4_language, op5_topk, op6_bpe, op7_token_files, op8_quality, op9_repeats,
-    op10_repetition)}
-ORACLE: dict[str, str] = {}
+    op10_repetition, op11_divergence, op12_near_vectors, op13_centroids)}
+__all__ = ["ORACLE", "QUERIES"]
