@@ -1,22 +1,12 @@
 """Sinks: append-only history, import log, rebuilt tables."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowtide import schemas
+from flowtide.sources.files import read_or_empty
 from flowtide.sources.readers import snapshot_date
 
 
-def read_or_empty(spark: SparkSession, path, schema) -> DataFrame:
-    """A Parquet table, or an empty one where nothing has been written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def with_lineage(rows: DataFrame, loaded_at) -> DataFrame:
     """Replace the place in the file by one ordering column that also grows over loads."""
     at = F.lit(loaded_at).cast("timestamp")

@@ -1,17 +1,20 @@
 """The same ingest as a Structured Streaming job over a landing folder."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming.state import GroupStateTimeout
 
-from flowtide.operators.history import newer_only
-from flowtide.sources.ingest import Feed, load_rows
+from flowtide.operators.history import is_incremental, newer_only
+from flowtide.sources import files
+from flowtide.sources.ingest import SNAPSHOTS, Feed, load_landed
 from flowtide.sources.readers import lineage, with_position
 
 
 def ingest_stream(spark: SparkSession, feed: Feed, raw, prefix=None, multi_line=True, max_files=None) -> DataFrame:
     """Rows of new files, each file once; progress lives in the query's checkpoint.
 
-    Files of one micro-batch count in name order. ``max_files`` bounds a batch
-    for a long backlog; batches then follow the order in which files landed.
+    ``max_files`` bounds what a micro-batch reads. Micro-batches follow the order
+    in which files landed; :func:`write_history` loads them in name order.
     """
     reader = (
         spark.readStream.schema(feed.raw_schema)
@@ -26,28 +29,51 @@ def ingest_stream(spark: SparkSession, feed: Feed, raw, prefix=None, multi_line=
     return rows.filter(name.startswith(f"{prefix or feed.name}_") & ~name.endswith(".meta.json"))
 
 
-def write_history(stream: DataFrame, feed: Feed, history_path, log_path, checkpoint, loaded_at):
-    """Run the stream over all waiting files and stop.
+class HistoryRun:
+    """A stream that lands files, and the loading of what has landed once it has ended."""
 
-    Each micro-batch replays its files in name order against the stored marks.
-    A batch run twice after a failure replaces its own partitions. There is no
-    watermark: an old version that arrives late is dropped however late it is,
-    and the marks per id live in the history itself.
+    def __init__(self, query, load):
+        self.query, self._load = query, load
+
+    def awaitTermination(self) -> None:  # noqa: N802 - as the stream's own
+        self.query.awaitTermination()
+        self._load()
+
+
+def write_history(stream: DataFrame, feed: Feed, history_path, log_path, checkpoint, loaded_at, *, marks_path=None,
+                  most=SNAPSHOTS) -> HistoryRun:
+    """Land all waiting files and, when the run is awaited, load them into the history.
+
+    A micro-batch is parsed once and lands beside the checkpoint under its own number, so one that runs twice after a
+    failure replaces itself. What has landed is then admitted snapshot by snapshot in name order, at most ``most`` in a
+    pass, so neither the size of the micro-batches nor the order in which files landed within a run changes what is
+    kept. Landed batches go when they are loaded; a run that stops before that leaves them to the next one. There is no
+    watermark: an old version that arrives late is dropped however late it is, by its id's mark in the marks table.
     """
-    def load(batch: DataFrame, batch_id: int) -> None:
-        # The batch is read several times below; keep its rows for that long.
-        batch = with_position(batch).persist()
-        # One short string per snapshot of the batch.
-        names = [r[0] for r in batch.select("_snapshot_file").distinct().collect()]
-        load_rows(feed.flatten(batch), names, feed, history_path, log_path, loaded_at)
-        batch.unpersist()
-
-    return (
-        stream.writeStream.foreachBatch(load)
+    landing = f"{checkpoint.rstrip('/')}_landing"
+    spark = stream.sparkSession
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        feed.flatten(with_position(batch)).write.mode("overwrite").parquet(f"{landing}/batch={batch_id}")
+
+    def load() -> None:
+        waiting = files.children(spark, landing)
+        if not waiting:
+            return
+        rows = spark.read.parquet(*[f"{landing}/{name}" for name in waiting])
+        # One short string per snapshot.
+        names = [r[0] for r in rows.select("_snapshot_file").distinct().collect()]
+        load_landed(rows, names, feed, history_path, log_path, loaded_at, marks_path, most)
+        for name in waiting:
+            files.remove(spark, f"{landing}/{name}")
+
+    query = (
+        stream.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    return HistoryRun(query, load)
 
 
 def newer_only_batch(batch: DataFrame, stored: DataFrame, key="id", ts="updated_at") -> DataFrame:
@@ -58,3 +84,48 @@ def newer_only_batch(batch: DataFrame, stored: DataFrame, key="id", ts="updated_
 def high_water_stream(stream: DataFrame, key="id", ts="updated_at") -> DataFrame:
     """Greatest time per key as running state; one row of state per key, kept for good."""
     return stream.groupBy(key).agg(F.max(ts).alias("high_water"))
+
+
+def newer_only_stream(stream: DataFrame, key="id", ts="updated_at", file="_snapshot_file") -> DataFrame:
+    """Rows of a stream that the keep-only-newer rule keeps, with a state per key and no history at all.
+
+    The state holds the newest file of the key, the greatest time of the files before it and that of the file itself, so
+    parts of one snapshot may come in several micro-batches and do not outdate each other. Files of a micro-batch count in
+    name order, and a file that comes after one of a later name is judged against all before it. Files that are not
+    incremental are kept whole; so is a row without a key. States stay for good, in the state store of the checkpoint.
+
+    A key's rows of one micro-batch are handled in one task. Where an id may hold a large share of all rows,
+    :func:`write_history` splits it and keeps the same.
+    """
+    fields = T.StructType([T.StructField(c, stream.schema[c].dataType) for c in stream.columns])
+    # The rest of a row travels as text: whole numbers beside nulls would turn into floating point.
+    written = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "true"}
+    rows = stream.select(
+        F.col(key).cast("string").alias("_key"), F.coalesce(F.col(ts).cast("string"), F.lit("")).alias("_time"),
+        F.coalesce(F.col(file), F.lit("")).alias("_file"), is_incremental(file).alias("_rule"),
+        F.to_json(F.struct(*stream.columns), written).alias("_row"))
+
+    def judge(group, frames, state):
+        rows = pd.concat(list(frames), ignore_index=True).sort_values("_file", kind="stable")
+        if group[0] is None:
+            yield rows[["_row"]]
+            return
+        known, newest, top = state.get if state.exists else (None, None, None)
+        for name, part in rows.groupby("_file", sort=True):
+            if newest is None or name > newest:
+                known, newest, top = _later(known, top), name, None
+            # A file out of order is judged against all that came before it.
+            mark = known if name == newest else _later(known, top)
+            keep = part if mark is None else part[~part["_rule"].fillna(False).astype(bool) | (part["_time"] > mark)]
+            top = _later(top, part["_time"].max())
+            yield keep[["_row"]]
+        state.update((known, newest, top))
+
+    kept = rows.groupBy("_key").applyInPandasWithState(
+        judge, "_row string", "known string, newest string, top string", "append", GroupStateTimeout.NoTimeout)
+    return kept.select(F.from_json("_row", fields, written).alias("row")).select("row.*")
+
+
+def _later(a, b):
+    """The greater of two times, of which either may be unknown."""
+    return b if a is None else a if b is None else max(a, b)

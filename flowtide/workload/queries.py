@@ -11,7 +11,7 @@ from flowtide.functions import dates, labels, periods, text
 from flowtide.operators import calendar, current, history, joins, measures as m, profiling, quality, series
 from flowtide.plans import reports
 from flowtide.session import scratch_dir
-from flowtide.sources import ingest, readers, sinks
+from flowtide.sources import ingest, marks, readers, sinks
 from flowtide.streaming import ingest as stream
 from flowtide.workload import adapters as a
 
@@ -324,13 +324,13 @@ def _(spark, sf):
     return sinks.file_counts(files, kept, "tickets", "2024-02-01 00:00:00")
 
 
-def _land(spark, sf):
-    """Write the nightly files as JSON Lines folders below a fresh scratch folder."""
-    folder = scratch_dir(spark)
+def _land(spark, sf, keep="true", folder=None):
+    """Write the nightly files, or those that ``keep`` picks, as JSON Lines folders below a scratch folder."""
+    folder = folder or scratch_dir(spark)
     rows = a.ticket_snapshots(spark, sf).select(
         "id", F.lit("s").alias("subject"), "status", "updated_at", F.col("pos").alias("product_id"),
-        F.col("_snapshot_file").alias("f"))
-    rows.write.partitionBy("f").mode("overwrite").option("pathGlobFilter", "*").json(f"{folder}/raw")
+        F.col("_snapshot_file").alias("f")).filter(keep)
+    rows.write.partitionBy("f").mode("append").option("pathGlobFilter", "*").json(f"{folder}/raw")
     return folder
 
 
@@ -358,6 +358,58 @@ def _(spark, sf):
         *LOADED_COLUMNS)
 
 
+#: Name ranges of the nightly files that land one after the other.
+NIGHTS = ("f < 'tickets_snapshot'", "f BETWEEN 'tickets_snapshot' AND 'tickets_snapshot_20240115'",
+          "f > 'tickets_snapshot_20240115'")
+
+
+@query("ingest_loads", LOADED)
+def _(spark, sf):
+    """Three loads one after the other: marks of the former ones come from the marks table."""
+    folder = scratch_dir(spark)
+    for some in NIGHTS:
+        _land(spark, sf, some, folder)
+        ingest.load_files(spark, ingest.TICKETS, f"{folder}/raw", f"{folder}/history", f"{folder}/log",
+                          "2024-02-01 00:00:00", multi_line=False)
+    return sinks.read_or_empty(spark, f"{folder}/history", sinks.history_schema(schemas.TICKET_HISTORY)).select(
+        *LOADED_COLUMNS)
+
+
+@query("ingest_stream_batches", LOADED)
+def _(spark, sf):
+    """Micro-batches of three files, loaded twelve snapshots at a time, in name order."""
+    folder = _land(spark, sf)
+    rows = stream.ingest_stream(spark, ingest.TICKETS, f"{folder}/raw", multi_line=False, max_files=3)
+    stream.write_history(rows, ingest.TICKETS, f"{folder}/history", f"{folder}/log", f"{folder}/checkpoint",
+                         "2024-02-01 00:00:00", most=12).awaitTermination()
+    return sinks.read_or_empty(spark, f"{folder}/history", sinks.history_schema(schemas.TICKET_HISTORY)).select(
+        *LOADED_COLUMNS)
+
+
+@query("newer_only_stream", LOADED)
+def _(spark, sf):
+    """The rule with a state per id, over three runs of a stream."""
+    folder = scratch_dir(spark)
+    for some in NIGHTS:
+        _land(spark, sf, some, folder)
+        rows = stream.ingest_stream(spark, ingest.TICKETS, f"{folder}/raw", multi_line=False)
+        kept = stream.newer_only_stream(rows).select(*LOADED_COLUMNS)
+        kept.writeStream.format("parquet").option("path", f"{folder}/kept").option(
+            "checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/kept")
+
+
+@query("marks_table", f"""WITH {a.SNAPSHOTS}
+SELECT id, max(coalesce(updated_at, '')) AS high_water FROM sn GROUP BY id""")
+def _(spark, sf):
+    """Marks per id, folded in by three parts of the files."""
+    table = marks.Marks(spark, f"{scratch_dir(spark)}/marks", T.LongType())
+    rows = a.ticket_snapshots(spark, sf).withColumn("f", F.col("_snapshot_file"))
+    for i, some in enumerate(NIGHTS):
+        table = table.fold(rows.filter(some), [f"part {i}"])
+    return table.read()
+
+
 @query("backfill_merge_latest", f"""WITH {a.SNAPSHOTS}, x AS (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY coalesce(updated_at, '') DESC, _snapshot_file, pos) AS rn
   FROM sn) SELECT id, updated_at, status, pos, _snapshot_file FROM x WHERE rn = 1""")
