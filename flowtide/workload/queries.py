@@ -1239,6 +1239,43 @@ def _(spark, sf):
         "field", "inferred_type", "missing_rate", "unique_count", "max_array_len")
 
 
+_READ_AS = {
+    "boolean": "regexp_full_match({c}, 'true|false')", "numeric": "regexp_full_match({c}, '[0-9.]+')",
+    "timestamp": "regexp_full_match({c}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}T.*')", "array": "{c}[1] = '['",
+    "json": "{c}[1] = '{{'"}
+_TEXT_COLUMNS = ("key_text", "price_text", "day_text", "urgent_text", "list_text", "object_text", "words", "mixed")
+
+
+def _inferred_sql():
+    rows = []
+    for c in _TEXT_COLUMNS:
+        kind = " ".join(f"WHEN bool_and({test.format(c=c)}) THEN '{name}'" for name, test in _READ_AS.items())
+        rows.append(f"""SELECT 'orders' AS source, '{c}' AS field, CASE {kind} ELSE 'string' END AS inferred_type,
+  round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 6) AS missing_rate, {n(f'count(DISTINCT {c})', 'unique_count')},
+  CASE WHEN '{c}' = 'list_text' THEN 2 END AS max_array_len FROM x""")
+    return """WITH x AS (SELECT CAST(o_orderkey AS VARCHAR) AS key_text,
+  CASE WHEN o_orderkey % 9 <> 0 THEN CAST(o_orderkey % 97 AS VARCHAR) || '.5' END AS price_text,
+  strftime(o_orderdate, '%Y-%m-%d') || 'T00:00:00Z' AS day_text,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN 'true' ELSE 'false' END AS urgent_text,
+  '["' || o_orderstatus || '", 1]' AS list_text, '{"s": "' || o_orderstatus || '"}' AS object_text,
+  o_orderpriority AS words, CASE WHEN o_orderkey % 2 = 0 THEN '1' ELSE o_orderpriority END AS mixed FROM orders)
+""" + "\nUNION ALL ".join(rows)
+
+
+@query("inferred_types", _inferred_sql())
+def _(spark, sf):
+    """Types of text columns by what their values can be read as."""
+    rows = a.table(spark, sf, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS key_text",
+        "CASE WHEN o_orderkey % 9 <> 0 THEN concat(o_orderkey % 97, '.5') END AS price_text",
+        "date_format(o_orderdate, \"yyyy-MM-dd'T00:00:00Z'\") AS day_text",
+        "CASE WHEN o_orderpriority = '1-URGENT' THEN 'true' ELSE 'false' END AS urgent_text",
+        "concat('[\"', o_orderstatus, '\", 1]') AS list_text", "concat('{\"s\": \"', o_orderstatus, '\"}') AS object_text",
+        "o_orderpriority AS words", "CASE WHEN o_orderkey % 2 = 0 THEN '1' ELSE o_orderpriority END AS mixed")
+    return profiling.profile(rows, source="orders").select(
+        "source", "field", "inferred_type", "missing_rate", "unique_count", "max_array_len")
+
+
 def _describe_sql(table, numeric, texts):
     rows = []
     for c in numeric:

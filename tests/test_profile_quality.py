@@ -24,21 +24,65 @@ def test_profile(spark):
     assert got["flag"].suggested_handling == "normalize to boolean"
 
 
-@pytest.mark.parametrize("levels", [1, 2])
-def test_quantiles_are_exact(spark, levels):
+@pytest.mark.parametrize("most", [profiling.MOST, 40, 1])
+def test_quantiles_are_exact(spark, most):
     rnd = random.Random(7)
     hot = [3.0] * 700
     rows = [(x, rnd.lognormvariate(0, 3), None if i % 3 else float(i)) for i, x in enumerate(
         hot + [rnd.choice([1.0, 2.0, 9.5, -4.25]) for _ in range(1300)])]
     df = spark.createDataFrame(rows, "a double, b double, c double").repartition(5)
     qs = {"q01": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "q999": 0.999, "lo": 0.0, "hi": 1.0}
-    got = {r.field: r for r in profiling.exact_quantiles(df, ["a", "b", "c"], qs, levels).collect()}
+    got = {r.field: r for r in profiling.exact_quantiles(df, ["a", "b", "c"], qs, most).collect()}
     for i, name in enumerate("abc"):
         values = [r[i] for r in rows if r[i] is not None]
         for q, v in qs.items():
             assert got[name][q] == pytest.approx(np.quantile(values, v), rel=1e-12), (name, q)
 
 
+def test_quantiles_where_one_value_fills_nearly_all(spark):
+    rng = random.Random(4)
+    values = [5.0] * 6000 + [rng.uniform(4.999, 5.0) for _ in range(300)] + [rng.uniform(-1e9, 1e9) for _ in range(100)]
+    df = spark.createDataFrame([(x,) for x in values], "a double").repartition(4)
+    qs = {"q001": 0.001, "q01": 0.01, "q02": 0.02, "p50": 0.5, "q99": 0.995}
+    got = profiling.exact_quantiles(df, ["a"], qs, most=3).first()
+    assert [got[q] for q in qs] == [pytest.approx(np.quantile(values, v), rel=1e-12) for v in qs.values()]
+
+
+def test_types_are_inferred_from_content(spark):
+    df = spark.sql("""select * from values
+      ('true', '1', '2026-01-01', '[1, 2, 3]', '{"a": 1}', 'x', '1', cast(null as string), '2026-01-01T10:00:00Z'),
+      ('FALSE', ' -2.5e3', '2026-02-01T00:00:00Z', '[]', '{}', '2026-01-01', 'true', null, 'soon'),
+      (null, '.5', null, '["a"]', null, '1', '[', null, '2026-01-03')
+      as t(flag, num, day, arr, obj, s, mixed, none, most)""")
+    kinds = lambda **o: {r.field: r.inferred_type for r in profiling.profile(df, **o).collect()}
+    want = {"flag": "boolean", "num": "numeric", "day": "timestamp", "arr": "array", "obj": "json", "s": "string",
+            "mixed": "string", "none": "string", "most": "string"}
+    assert kinds() == want
+    assert kinds(tolerance=0.4) == want | {"most": "timestamp"}
+    assert set(kinds(infer=False).values()) == {"string"}
+    got = {r.field: r for r in profiling.profile(df, tolerance=0.4, source="t", notes={"s": "free"},
+                                                 handling={"numeric": "cast", "s": "trim"}).collect()}
+    assert got["arr"].max_array_len == 3 and got["num"].max_array_len is None
+    assert (got["most"].parse_errors, str(got["most"].max_date)[:10], got["day"].parse_errors) == (1, "2026-01-03", 0)
+    assert (got["s"].source, got["s"].notes, got["s"].suggested_handling, got["num"].suggested_handling) == (
+        "t", "free", "trim", "cast")
+    assert got["none"].missing_rate == 1.0 and got["none"].unique_count == 0 and got["flag"].unique_count == 2
+
+
+def test_profile_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "a int, `b.c` string, d array<int>, e timestamp")
+    got = [(r.field, r.inferred_type, r.missing_rate, r.unique_count) for r in profiling.profile(df).collect()]
+    assert sorted(got) == [("a", "numeric", None, 0), ("b.c", "string", None, 0), ("d", "array", None, 0), ("e", "timestamp", None, 0)]
+
+
+def test_profile_shuffles_no_text(spark):
+    df = spark.createDataFrame([("x" * 50_000 + str(i % 40),) for i in range(400)], "s string").repartition(4)
+    assert profiling.profile(df).first().unique_count == 40
+    plan = profiling.distinct_counts(df.select("s"))._jdf.queryExecution().executedPlan().toString()
+    keys = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert keys and all("s#" not in line for line in keys)
+
+
 def test_describe(spark):
     df = spark.createDataFrame([(1, "b"), (2, "a"), (4, "a"), (None, "b"), (5, None)], "n int, s string")
     got = {r.field: r.asDict() for r in profiling.describe_all(df).collect()}
