@@ -138,24 +138,40 @@ def report_columns(dim: DataFrame, as_of) -> DataFrame:
     })
 
 
-def calendar_summary(dim: DataFrame) -> DataFrame:
-    return dim.agg(
-        F.count("*").alias("total_days"),
-        F.count_if("is_weekend").alias("weekend_days"),
-        F.count_if("is_public_holiday").alias("public_holidays"),
-        F.count_if("is_working_day").alias("working_days"),
-    )
-
-
-def last_date(dim: DataFrame, as_of) -> DataFrame:
-    """Newest calendar day before ``as_of``."""
-    return dim.filter(F.col("date_key") < F.lit(as_date(as_of))).agg(F.max("date_key").alias("last_date"))
-
-
-def last_completed_week(dim: DataFrame, as_of) -> DataFrame:
-    """ISO week of the last complete week, looked up in the calendar."""
-    start = period_bounds(as_of, "week").start
-    return dim.filter(F.col("date_key") == F.lit(start)).select("iso_week", "year_week")
+def with_day_volume(dim: DataFrame, rows: DataFrame, day, name="volume") -> DataFrame:
+    """The calendar with the number of ``rows`` of each day, 0 on days without any; rows outside it are left out."""
+    per_day = rows.groupBy(F.col(day).cast("date").alias("date_key")).agg(F.count("*").alias(name))
+    return dim.join(per_day, "date_key", "left").fillna(0, [name])
+
+
+def calendar_summary(dim: DataFrame, volume=None) -> DataFrame:
+    """Days by kind; with the name of a ``volume`` column of the calendar also what fell on each kind."""
+    kinds = {"weekend_days": "is_weekend", "public_holidays": "is_public_holiday", "working_days": "is_working_day"}
+    days = [F.count("*").alias("total_days"), *[F.count_if(flag).alias(name) for name, flag in kinds.items()]]
+    if volume is None:
+        return dim.agg(*days)
+    amount = lambda flag: F.coalesce(F.sum(F.when(flag, F.col(volume))), F.lit(0))
+    return dim.agg(*days, amount(F.lit(True)).alias(f"{volume}_total"),
+                   *[amount(F.col(flag)).alias(f"{volume}_on_{name}") for name, flag in kinds.items()])
+
+
+def last_date(dim: DataFrame, as_of, volume=None) -> DataFrame:
+    """Newest calendar day before ``as_of``; with a ``volume`` column also the newest one that has any, and how much."""
+    before = dim.filter(F.col("date_key") < F.lit(as_date(as_of)))
+    newest = F.max("date_key").alias("last_date")
+    if volume is None:
+        return before.agg(newest)
+    day = F.when(F.col(volume) > 0, F.col("date_key"))
+    return before.agg(newest, F.max(day).alias("last_active"), F.max_by(volume, day).alias(volume))
+
+
+def last_completed_week(dim: DataFrame, as_of, volume=None) -> DataFrame:
+    """ISO week of the last complete week, looked up in the calendar; with a ``volume`` column also its sum."""
+    week = period_bounds(as_of, "week")
+    if volume is None:
+        return dim.filter(F.col("date_key") == F.lit(week.start)).select("iso_week", "year_week")
+    days = dim.filter(F.col("date_key").between(F.lit(week.start), F.lit(week.end)))
+    return days.groupBy("iso_week", "year_week").agg(F.sum(volume).alias(volume))
 
 
 def per_working_day(volume: DataFrame, dim: DataFrame, count_col="count") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowtide import codes
 from flowtide.functions.text import in_codes
+from flowtide.sources import files
 
 ORDER = ("updated_at", "_row_id")
 
@@ -128,51 +129,98 @@ def merge_latest(chunks: DataFrame, key="id", ts="updated_at", order=("_snapshot
     return first_at_time.groupBy(key).agg(F.max_by("_row", "_time").alias("_row")).select(key, "_row.*")
 
 
-def state_transitions(history: DataFrame, key="id", state="status", ts="updated_at", order=ORDER,
-                      bucket=10) -> DataFrame:
+def state_transitions(history: DataFrame, key="id", state="status", ts="updated_at", order=ORDER) -> DataFrame:
     """Changes of state per key with the time each state held.
 
-    Versions are compared with the one before within a key and day; the state
-    carried in from earlier days, and the next change on later days, come from
-    a summary with one row per key and day. ``bucket`` is the length of the time
-    text that makes a day; 13 splits a busy key by hour, 16 by minute.
+    Versions are dealt out in ranges of (key, order), so a key, or a day of a
+    key, may hold any share of them. One pass over each range finds the changes
+    within it. What crosses ranges can only be the first key of a range and the
+    last one, so one row per range carries the state in and the next change back.
     """
-    day = F.coalesce(F.left(F.col(ts), F.lit(bucket)), F.lit("")).alias("_day")
-    in_day = Window.partitionBy(key, "_day").orderBy(*order)
-    rows = (
-        history.select(key, day, F.col(state).alias("_state"), *dict.fromkeys([ts, *order]))
-        .withColumn("_before", F.lag(F.struct("_state")).over(in_day))
+    found = files.landed(_range_changes(history, key, state, ts, order))
+    ends = found.filter("_last").select("_range", F.col("_key").alias("_last_key"), F.col("_state").alias("_last_state"))
+    # One row per range from here on, as many as a shuffle has partitions.
+    edges = found.filter("_first").select("_range", "_key", "_state", "_ts", "_more", "_next").join(ends, "_range")
+    before = F.lag(F.struct("_last_key", "_last_state")).over(Window.orderBy("_range"))
+    carried = F.col("_before").isNotNull() & F.col("_before._last_key").eqNullSafe(F.col("_key"))
+    changes = ~(F.col("_carried") & F.col("_before._last_state").eqNullSafe(F.col("_state")))
+    edges = (
+        edges.withColumn("_before", before).withColumn("_carried", carried).withColumn("_changes", changes)
+        .withColumn("_change", F.when(F.col("_changes"), F.struct(F.col("_ts").alias("t")))
+                    .when(F.col("_more"), F.struct(F.col("_next").alias("t"))))
     )
-    differs = ~F.col("_before._state").eqNullSafe(F.col("_state"))
-    place = F.struct(*order)
-    summary = rows.groupBy(key, "_day").agg(
-        F.min_by(F.struct("_state"), place).alias("_first"),
-        F.max_by(F.struct("_state"), place).alias("_last"),
-        F.min_by(F.struct(F.col(ts).alias("t")), place).alias("_first_at"),
-        F.min_by(F.struct(F.col(ts).alias("t")),
-                 F.when(F.col("_before").isNotNull() & differs, place)).alias("_inner_at"),
-    )
-    by_day = Window.partitionBy(key).orderBy("_day")
-    later_days = (
-        Window.partitionBy(key).orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1))
-    carried_same = F.col("_carry").isNotNull() & F.col("_carry._state").eqNullSafe(F.col("_first._state"))
-    summary = (
-        summary.withColumn("_carry", F.lag("_last").over(by_day))
-        .withColumn("_change", F.when(carried_same, F.col("_inner_at")).otherwise(F.col("_first_at")))
-        .withColumn("_next", F.last("_change", ignorenulls=True).over(later_days))
-        .select(key, "_day", "_carry", "_next")
-    )
-    before = F.coalesce(F.col("_before"), F.col("_carry"))
-    return (
-        rows.join(summary, [key, "_day"])
-        .withColumn("_before", before)
-        .filter(F.col("_before").isNull() | differs)
-        .withColumn("_following", F.coalesce(F.lead(F.struct(F.col(ts).alias("t"))).over(in_day), F.col("_next")))
-        .select(
-            key,
-            F.col("_before._state").alias(f"previous_{state}"),
-            F.col("_state").alias(state),
-            F.col(ts).alias("valid_from"),
-            F.col("_following.t").alias("valid_to"),
-        )
+    none = F.lit(None).cast(edges.schema["_change"].dataType)
+    asked = edges.select(F.col("_last_key").alias("_key"), "_range", none.alias("_change"), F.lit(True).alias("_ask"))
+    later = Window.partitionBy("_key").orderBy("_range", "_ask").rowsBetween(1, Window.unboundedFollowing)
+    after = edges.select("_key", "_range", "_change", F.lit(False).alias("_ask")).unionByName(asked).withColumn(
+        "_after", F.first("_change", ignorenulls=True).over(later)).filter("_ask").select("_range", "_after")
+    edges = edges.select("_range", "_carried", "_changes", F.col("_before._last_state").alias("_carry")).join(after, "_range")
+    return found.join(F.broadcast(edges), "_range").filter(~F.col("_first") | F.col("_changes")).select(
+        F.col("_key").alias(key),
+        F.when(F.col("_first") & F.col("_carried"), F.col("_carry")).otherwise(F.col("_previous")).alias(f"previous_{state}"),
+        F.col("_state").alias(state),
+        F.col("_ts").alias("valid_from"),
+        F.when(F.col("_more"), F.col("_next")).when(F.col("_last"), F.col("_after.t")).alias("valid_to"),
     )
+
+
+def _range_changes(history: DataFrame, key, state, ts, order) -> DataFrame:
+    """Per range of (key, order): its first row and every row whose key or state is not that of the row before, with the
+    state before and the time of the next change of the same key, as far as the range shows them."""
+    rows = history.select(F.col(key).alias("_key"), F.col(state).alias("_state"), F.col(ts).alias("_ts"),
+                          *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order)])
+    place = ["_key", *[f"_order{i}" for i in range(len(order))]]
+    ranged = rows.repartitionByRange(*place).sortWithinPartitions(*place).select("_key", "_state", "_ts")
+    kind = {f.name: f.dataType.simpleString() for f in ranged.schema.fields}
+    def changes(batches):
+        """One pass over the sorted rows of a range, a batch at a time."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId()
+        names = ["_range", "_key", "_previous", "_state", "_ts", "_more", "_next", "_first", "_last"]
+
+        def same(a, b):
+            return pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+
+        def shifted(column, last):
+            return pa.concat_arrays([last if last is not None else pa.nulls(1, column.type), column.slice(0, len(column) - 1)])
+
+        def where(condition, column):
+            """The column's values where the condition holds, else missing."""
+            no = ~condition.to_numpy(zero_copy_only=False)
+            return column.take(pa.array(np.arange(len(no)), mask=no))
+
+        def out(rows, more, following, last):
+            """Rows with what follows each of them."""
+            of_range = pa.array([number] * len(rows[0]), pa.int32())
+            key, previous, _, now, time, first = rows
+            return pa.RecordBatch.from_arrays([of_range, key, previous, now, time, more, following, first, pa.array(last)], names)
+
+        last_key = last_state = held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, now, time = batch.columns
+            first = pa.array([i == 0 and last_key is None for i in range(batch.num_rows)])
+            same_key = pc.and_(pc.invert(first), same(key, shifted(key, last_key)))
+            before = shifted(now, last_state)
+            change = pc.invert(pc.and_(same_key, same(now, before)))
+            last_key, last_state = key.slice(len(key) - 1), now.slice(len(now) - 1)
+            rows = [c.filter(change) for c in (key, where(same_key, before), same_key, now, time, first)]
+            if held is not None:
+                rows = [pa.concat_arrays([a, b]) for a, b in zip(held, rows)]
+            # The last one waits: what follows it comes with a later batch.
+            done, n = [c.slice(0, len(c) - 1) for c in rows], len(rows[0]) - 1
+            held = [c.slice(n) for c in rows]
+            if n:
+                more = rows[2].slice(1)
+                yield out(done, more, where(more, rows[4].slice(1)), [False] * n)
+        if held is not None:
+            yield out(held, pa.array([False]), pa.nulls(1, held[4].type), [True])
+
+    return ranged.mapInArrow(changes, (
+        f"_range int, _key {kind['_key']}, _previous {kind['_state']}, _state {kind['_state']}, _ts {kind['_ts']}, "
+        f"_more boolean, _next {kind['_ts']}, _first boolean, _last boolean"))

@@ -105,6 +105,10 @@ def newer_only_stream(stream: DataFrame, key="id", ts="updated_at", file="_snaps
         F.coalesce(F.col(file), F.lit("")).alias("_file"), is_incremental(file).alias("_rule"),
         F.to_json(F.struct(*stream.columns), written).alias("_row"))
 
+    def later(a, b):
+        """The greater of two times, of which either may be unknown."""
+        return b if a is None else a if b is None else max(a, b)
+
     def judge(group, frames, state):
         rows = pd.concat(list(frames), ignore_index=True).sort_values("_file", kind="stable")
         if group[0] is None:
@@ -113,19 +117,14 @@ def newer_only_stream(stream: DataFrame, key="id", ts="updated_at", file="_snaps
         known, newest, top = state.get if state.exists else (None, None, None)
         for name, part in rows.groupby("_file", sort=True):
             if newest is None or name > newest:
-                known, newest, top = _later(known, top), name, None
+                known, newest, top = later(known, top), name, None
             # A file out of order is judged against all that came before it.
-            mark = known if name == newest else _later(known, top)
+            mark = known if name == newest else later(known, top)
             keep = part if mark is None else part[~part["_rule"].fillna(False).astype(bool) | (part["_time"] > mark)]
-            top = _later(top, part["_time"].max())
+            top = later(top, part["_time"].max())
             yield keep[["_row"]]
         state.update((known, newest, top))
 
     kept = rows.groupBy("_key").applyInPandasWithState(
         judge, "_row string", "known string, newest string, top string", "append", GroupStateTimeout.NoTimeout)
     return kept.select(F.from_json("_row", fields, written).alias("row")).select("row.*")
-
-
-def _later(a, b):
-    """The greater of two times, of which either may be unknown."""
-    return b if a is None else a if b is None else max(a, b)

@@ -1034,17 +1034,26 @@ def _order_calendar(spark, sf, **options):
     return calendar.date_dim(spark, lo, hi, **options)
 
 
+def _active_days(spark, sf):
+    """The calendar with the orders of each day."""
+    return calendar.with_day_volume(_order_calendar(spark, sf), a.table(spark, sf, "orders"), "o_orderdate", "orders")
+
+
+ACTIVE = f"""{a.CALENDAR}, o AS (
+  SELECT CAST(o_orderdate AS DATE) AS date_key, count(*) AS c FROM orders GROUP BY 1),
+active AS (SELECT dim.*, CAST(coalesce(c, 0) AS BIGINT) AS orders FROM dim LEFT JOIN o USING (date_key))"""
+
+
 @query("date_dim", f"""WITH {a.CALENDAR}, o AS (
   SELECT CAST(o_orderdate AS DATE) AS date_key, count(*) AS c FROM orders GROUP BY 1)
 SELECT dim.* REPLACE (CAST(dim.date_key AS VARCHAR) AS date_key), {n('coalesce(c, 0)', 'orders')}
 FROM dim LEFT JOIN o USING (date_key)""")
 def _(spark, sf):
-    per_day = _order_days(spark, sf).groupBy(F.col("created_at").alias("date_key")).agg(F.count("*").alias("orders"))
-    return _order_calendar(spark, sf).join(per_day, "date_key", "left").fillna(0, ["orders"])
+    return _active_days(spark, sf)
 
 
-@query("calendar_labels", f"""WITH {a.CALENDAR}
-SELECT {d('date_key')}, CAST(date_key <= DATE '1998-06-12' AS INTEGER) AS is_past_or_today,
+@query("calendar_labels", f"""WITH {ACTIVE}
+SELECT {d('date_key')}, orders, CAST(date_key <= DATE '1998-06-12' AS INTEGER) AS is_past_or_today,
   CAST(month_sort = 199806 AS INTEGER) AS is_current_month,
   month_short || ' ''' || strftime(date_key, '%y') AS month_label,
   day(date_trunc('week', date_key)) || ' ' || left(monthname(date_trunc('week', date_key)), 3) AS week_starting,
@@ -1054,20 +1063,23 @@ SELECT {d('date_key')}, CAST(date_key <= DATE '1998-06-12' AS INTEGER) AS is_pas
   CAST(CAST(date_trunc('month', date_key) AS DATE) AS VARCHAR) AS month_start,
   CAST(CAST(last_day(date_key) AS DATE) AS VARCHAR) AS month_end, strftime(date_key, '%d') AS day_number,
   h.name AS holiday_name, h.name_sv AS holiday_name_sv
-FROM dim LEFT JOIN (SELECT holiday, min(name) AS name, min(name_sv) AS name_sv FROM hol GROUP BY holiday) h
+FROM active LEFT JOIN (SELECT holiday, min(name) AS name, min(name_sv) AS name_sv FROM hol GROUP BY holiday) h
   ON h.holiday = date_key""")
 def _(spark, sf):
-    return calendar.report_columns(_order_calendar(spark, sf), a.ISSUE_AS_OF).select(
-        "date_key", "is_past_or_today", "is_current_month", "month_label", "week_starting", "quarter_label",
+    return calendar.report_columns(_active_days(spark, sf), a.ISSUE_AS_OF).select(
+        "date_key", "orders", "is_past_or_today", "is_current_month", "month_label", "week_starting", "quarter_label",
         "quarter_sort", "date_key_int", "month_start", "month_end", "day_number", "holiday_name", "holiday_name_sv")
 
 
-@query("calendar_summary", f"""WITH {a.CALENDAR}
-SELECT {n('count(*)', 'total_days')}, {n('count(*) FILTER (is_weekend)', 'weekend_days')},
+@query("calendar_summary", f"""WITH {ACTIVE}
+SELECT {n('sum(orders)', 'orders_total')}, {n('coalesce(sum(orders) FILTER (is_weekend), 0)', 'orders_on_weekend_days')},
+  {n('coalesce(sum(orders) FILTER (is_public_holiday), 0)', 'orders_on_public_holidays')},
+  {n('coalesce(sum(orders) FILTER (is_working_day), 0)', 'orders_on_working_days')},
+  {n('count(*)', 'total_days')}, {n('count(*) FILTER (is_weekend)', 'weekend_days')},
   {n('count(*) FILTER (is_public_holiday)', 'public_holidays')},
-  {n('count(*) FILTER (is_working_day)', 'working_days')} FROM dim""")
+  {n('count(*) FILTER (is_working_day)', 'working_days')} FROM active""")
 def _(spark, sf):
-    return calendar.calendar_summary(_order_calendar(spark, sf))
+    return calendar.calendar_summary(_active_days(spark, sf), "orders")
 
 
 @query("holidays", f"""WITH {a.CALENDAR}
@@ -1100,12 +1112,13 @@ def _(spark, sf):
         dates.month_name(c, "sv").alias("month_sv"), dates.day_short(c, "sv").alias("day_sv")).distinct()
 
 
-@query("working_days_by_week", f"""WITH {a.CALENDAR}
-SELECT year_week, CAST(max(working_days_in_week) AS INTEGER) AS working_days,
-  {n('count(*) FILTER (is_working_day)', 'in_range')} FROM dim GROUP BY year_week""")
+@query("working_days_by_week", f"""WITH {ACTIVE}
+SELECT year_week, CAST(max(working_days_in_week) AS INTEGER) AS working_days, {n('sum(orders)', 'orders')},
+  {n('count(*) FILTER (is_working_day)', 'in_range')} FROM active GROUP BY year_week""")
 def _(spark, sf):
-    return _order_calendar(spark, sf).groupBy("year_week").agg(
-        F.max("working_days_in_week").alias("working_days"), F.count_if("is_working_day").alias("in_range"))
+    return _active_days(spark, sf).groupBy("year_week").agg(
+        F.max("working_days_in_week").alias("working_days"), F.count_if("is_working_day").alias("in_range"),
+        F.sum("orders").alias("orders"))
 
 
 @query("volume_per_working_day", f"""WITH {a.CALENDAR}, o AS (
@@ -1179,16 +1192,18 @@ def _(spark, sf):
         F.count("*").alias("orders"))
 
 
-@query("last_date", f"""WITH {a.CALENDAR}
-SELECT CAST(max(date_key) AS VARCHAR) AS last_date FROM dim WHERE date_key < DATE '{a.ISSUE_AS_OF}'""")
+@query("last_date", f"""WITH {ACTIVE}
+SELECT CAST(max(date_key) AS VARCHAR) AS last_date, CAST(max(date_key) FILTER (orders > 0) AS VARCHAR) AS last_active,
+  arg_max(orders, date_key) FILTER (orders > 0) AS orders FROM active WHERE date_key < DATE '{a.ISSUE_AS_OF}'""")
 def _(spark, sf):
-    return calendar.last_date(_order_calendar(spark, sf), a.ISSUE_AS_OF)
+    return calendar.last_date(_active_days(spark, sf), a.ISSUE_AS_OF, "orders")
 
 
-@query("last_completed_week", f"""WITH {a.CALENDAR}
-SELECT iso_week, year_week FROM dim WHERE date_key = DATE '1998-06-01'""")
+@query("last_completed_week", f"""WITH {ACTIVE}
+SELECT iso_week, year_week, {n('sum(orders)', 'orders')} FROM active
+WHERE date_key BETWEEN DATE '1998-06-01' AND DATE '1998-06-07' GROUP BY ALL""")
 def _(spark, sf):
-    return calendar.last_completed_week(_order_calendar(spark, sf), a.ISSUE_AS_OF)
+    return calendar.last_completed_week(_active_days(spark, sf), a.ISSUE_AS_OF, "orders")
 
 
 @query("union_distinct", """SELECT CAST(o_orderdate AS DATE)::VARCHAR AS day FROM orders

@@ -85,9 +85,21 @@ def test_regression_equals_definition(spark, seed):
     assert {r.id: r.regressed_on for r in got} == {k: v[:10] for k, v in wanted.items()}
 
 
-@pytest.mark.parametrize("bucket", [10, 13])
-def test_transitions_equal_definition(spark, bucket):
-    rows = random_history(3)
+@pytest.fixture(params=[1, 4, 40])
+def ranges(spark, request):
+    """Ranges that rows are dealt out in: far more than there are keys, too."""
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("seed", [3, None])
+def test_transitions_equal_definition(spark, ranges, seed):
+    # Without a seed: one id on one day holds most rows, in long runs of one state, some ids and states are missing.
+    rows = random_history(seed) if seed else [
+        (1 if i % 9 else (i % 7 or None), [5, None, 6][i // 70 % 3] if i % 9 else i % 4, f"2026-01-01T{i:05}") for i in range(600)]
     by_key = {}
     for pos, (key, status, time) in enumerate(rows):
         by_key.setdefault(key, []).append((time or "", pos, status, time))
@@ -98,10 +110,27 @@ def test_transitions_equal_definition(spark, bucket):
         for i, c in enumerate(changes):
             after = changes[i + 1][3] if i + 1 < len(changes) else None
             wanted.append((key, changes[i - 1][2] if i else None, c[2], c[3], after))
-    got = history.state_transitions(versions(spark, rows), order=ORDER, bucket=bucket).collect()
+    got = history.state_transitions(versions(spark, rows), order=ORDER).collect()
     assert sorted((tuple(r) for r in got), key=str) == sorted(wanted, key=str)
 
 
+def test_transitions_of_an_empty_history(spark):
+    assert history.state_transitions(versions(spark, []), order=ORDER).collect() == []
+
+
+def test_ranges_are_balanced_where_one_day_of_an_id_holds_a_third(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", 12)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS id", "CAST(id % 2 AS INT) AS status",
+        "concat('2026-01-01T', lpad(id, 8, '0')) AS updated_at", "id AS pos").repartition(6)
+    found = history._range_changes(rows, "id", "status", "updated_at", ("updated_at", "pos"))
+    sizes = [r["count"] for r in found.groupBy("_range").count().collect()]
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) >= 2 and max(sizes) < 60_000 / 4
+
+
 def replay_by_hand(files, stored):
     """The rule as it reads: one file after the other."""
     known, kept = dict(stored), []
