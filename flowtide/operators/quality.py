@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from flowtide.functions.periods import as_date
 from flowtide.functions.text import first_set
@@ -90,3 +90,44 @@ def fk_coverage(fact: DataFrame, col, dim: DataFrame, key="date_key") -> DataFra
     """Values without a row in the dimension and how many fact rows carry them."""
     used = fact.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias(key)).agg(F.count("*").alias("row_count"))
     return used.join(dim.select(key), key, "left_anti")
+
+
+def load_reconciliation(manifest: DataFrame, arrived: DataFrame, log: DataFrame, history: DataFrame) -> DataFrame:
+    """Per snapshot: rows fetched (sidecar), arrived, surplus by id, logged and stored, and the first fault, if any.
+
+    ``manifest`` has ``snapshot_file`` and the sidecar's totals, ``arrived`` is the output of
+    :func:`flowtide.sources.sinks.arrivals`, ``log`` the import log, ``history`` has ``_source_file``. A snapshot that
+    only some of them know has a row, too. Rows logged must be rows stored; that they are fewer than arrived is the rule.
+    """
+    fetched = manifest.groupBy(F.col("snapshot_file").alias("file_name")).agg(
+        F.max(F.coalesce("total_tickets", "total_nodes")).alias("fetched"))
+    came = arrived.select("file_name", F.col("row_count").alias("arrived"), F.col("duplicate_count").alias("duplicates"))
+    logged = log.groupBy("file_name").agg(F.sum("row_count").alias("logged"))
+    stored = history.groupBy(F.col("_source_file").alias("file_name")).agg(F.count("*").alias("stored"))
+    out = fetched
+    for part in (came, logged, stored):
+        out = out.join(part, "file_name", "full")
+    fault = (
+        F.when(F.col("arrived").isNull(), "never arrived")
+        .when(F.col("fetched") != F.col("arrived"), "not as fetched")
+        .when(F.col("logged").isNull(), "not logged")
+        .when(F.col("logged") != F.coalesce("stored", F.lit(0)), "not as logged"))
+    return out.select("file_name", "fetched", "arrived", "duplicates", "logged", F.coalesce("stored", F.lit(0)).alias("stored"),
+                      fault.alias("fault"))
+
+
+def field_drift(df: DataFrame, raw, expected) -> DataFrame:
+    """Fields of JSON objects held as text against the expected names: how many objects have each, and whether it is
+    ``added``, ``removed`` (expected, but in none) or ``partial`` (in some only). Texts that are no objects have none."""
+    keys = F.json_object_keys(F.col(raw))
+    # A missing name beside an object's own counts the objects. One row per field and task before the shuffle.
+    each = F.array_distinct(F.concat(F.array(F.lit(None).cast("string")), keys))
+    seen = df.select(F.explode(each).alias("field")).groupBy("field").agg(F.count("*").alias("found"))
+    names = df.sparkSession.createDataFrame([(n,) for n in expected], "field string").withColumn("wanted", F.lit(True))
+    # One row per field.
+    objects = F.max(F.when(F.col("field").isNull(), F.col("found"))).over(Window.partitionBy(F.lit(0)))
+    found = seen.join(names, "field", "full").withColumn("objects", F.coalesce(objects, F.lit(0))).filter("field IS NOT NULL")
+    drift = (
+        F.when(F.col("wanted").isNull(), "added").when(F.col("found").isNull(), "removed")
+        .when(F.col("found") < F.col("objects"), "partial"))
+    return found.select("field", F.coalesce("found", F.lit(0)).alias("found"), "objects", drift.alias("drift"))

@@ -58,6 +58,8 @@ ISSUE_HISTORY = T.StructType(_struct(
 
 IMPORT_LOG = _struct(source=_S, file_name=_S, row_count=_L, imported_at=_TS)
 
+ARRIVALS = _struct(source=_S, file_name=_S, part=_S, row_count=_L, id_count=_L, imported_at=_TS)
+
 CURRENT_TICKET = _struct(
     id=_L, status=_I, created_at=_DATE, updated_at=_DATE, product_id=_L,
     first_waiting_at=_DATE, first_passed_at=_DATE, denied_triage=_B, denied_triage_at=_DATE,

@@ -52,7 +52,11 @@ def load_rows(rows: DataFrame, names, feed: Feed, history_path, log_path, loaded
 
 def load_landed(rows: DataFrame, names, feed: Feed, history_path, log_path, loaded_at, marks_path=None,
                 most=SNAPSHOTS) -> None:
-    """Load whole snapshots in name order, at most ``most`` in a pass, whatever order they landed in."""
+    """Load whole snapshots in name order, at most ``most`` in a pass, whatever order they landed in.
+
+    What came is counted beside the log, for :func:`flowtide.operators.quality.load_reconciliation`.
+    """
+    sinks.log_arrivals(rows, feed.name, f"{log_path.rstrip('/')}_arrivals", loaded_at)
     names = sorted(names)
     for i in range(0, len(names), most):
         some = names[i:i + most]

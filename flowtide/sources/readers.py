@@ -84,11 +84,14 @@ def read_issues(spark: SparkSession, paths, multi_line=True) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path) -> DataFrame:
-    """Sidecar files written beside each snapshot."""
-    return (
-        spark.read.schema(schemas.MANIFEST).option("multiLine", True).json(path)
-        .select("*", F.col("_metadata.file_name").alias("file_name"))
+    """Sidecar files written beside each snapshot, with the snapshot each belongs to; no rows where there are none."""
+    name = F.regexp_extract("_metadata.file_path", r"([^/=]+\.meta\.json)(/|$)", 1)
+    rows = (
+        spark.read.schema(schemas.MANIFEST).option("multiLine", True).option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.json").json(path).select("*", name.alias("file_name"))
     )
+    snapshot = F.regexp_replace("file_name", r"\.meta\.json$", ".json").alias("snapshot_file")
+    return rows.filter("file_name <> ''").select("*", snapshot)
 
 
 def explode_json(df: DataFrame, col, schema) -> DataFrame:

@@ -1,10 +1,13 @@
 """Sinks: append-only history, import log, rebuilt tables."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowtide import schemas
+from flowtide.sources import files
 from flowtide.sources.files import read_or_empty
-from flowtide.sources.readers import snapshot_date
+from flowtide.sources.readers import expired_snapshots, snapshot_date
 
 
 def with_lineage(rows: DataFrame, loaded_at) -> DataFrame:
@@ -63,18 +66,70 @@ def log_import(entries: DataFrame, path) -> None:
     fresh.select(*schemas.IMPORT_LOG.fieldNames()).coalesce(1).write.mode("append").parquet(path)
 
 
-def overwrite_table(df: DataFrame, path, build) -> None:
-    """Rebuild a table under a new build name, then point to it.
+BUILDS = T.StructType([
+    T.StructField("seq", T.LongType()), T.StructField("build", T.StringType()), T.StructField("folder", T.StringType())])
+
+
+def _pointers(spark: SparkSession, path) -> list:
+    """Builds pointed to, the live one last; one short row per build that is still there."""
+    return read_or_empty(spark, f"{path}/_builds", BUILDS).orderBy("seq").collect()
+
 
-    Readers see the former build until the new one is whole. ``build`` names
-    the run and sorts by time, for instance ``20260614T050000Z``.
+def overwrite_table(df: DataFrame, path, build, keep=2) -> None:
+    """Rebuild a table in a folder of its own, then point to it.
+
+    Readers see the former build until the new one is whole. ``build`` names the run; every attempt writes a new folder,
+    so a second one under the same name never touches what is being read. The newest pointer counts. The ``keep`` newest
+    builds stay for readers that have begun; older ones, and attempts that were never pointed to, are removed. There is
+    one writer of a table at a time.
     """
-    df.write.mode("overwrite").parquet(f"{path}/build={build}")
-    pointer = df.sparkSession.createDataFrame([(build,)], "build string")
-    pointer.coalesce(1).write.mode("append").parquet(f"{path}/_builds")
+    spark = df.sparkSession
+    pointers = _pointers(spark, path)
+    folder = f"build={build}/attempt={uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{folder}")
+    seq = pointers[-1].seq + 1 if pointers else 1
+    spark.createDataFrame([(seq, build, folder)], BUILDS).coalesce(1).write.mode("append").parquet(f"{path}/_builds")
+    live = {p.folder for p in pointers[len(pointers) - keep + 1:] if keep > 1} | {folder}
+    for name in files.children(spark, path):
+        if name.startswith("build="):
+            attempts = files.children(spark, f"{path}/{name}")
+            dead = [x for x in attempts if f"{name}/{x}" not in live]
+            for x in [""] if len(dead) == len(attempts) else dead:
+                files.remove(spark, f"{path}/{name}/{x}".rstrip("/"))
 
 
 def read_table(spark: SparkSession, path) -> DataFrame:
     """The newest whole build of a table."""
-    build = spark.read.schema("build string").parquet(f"{path}/_builds").agg(F.max("build")).first()[0]
-    return spark.read.parquet(f"{path}/build={build}")
+    return spark.read.parquet(f"{path}/{_pointers(spark, path)[-1].folder}")
+
+
+def log_arrivals(rows: DataFrame, source, path, loaded_at) -> None:
+    """Append how many rows and different ids each part file of a load had, whatever of it is kept."""
+    per_id = rows.groupBy("_snapshot_file", "_part", "id").agg(F.count("*").alias("n"))
+    per_id.groupBy(F.col("_snapshot_file").alias("file_name"), F.col("_part").alias("part")).agg(
+        F.sum("n").alias("row_count"), F.count("*").alias("id_count")).select(
+        F.lit(source).alias("source"), "file_name", "part", "row_count", "id_count",
+        F.lit(loaded_at).cast("timestamp").alias("imported_at")).write.mode("append").parquet(path)
+
+
+def arrivals(spark: SparkSession, path) -> DataFrame:
+    """Rows and surplus rows of every snapshot that came; of a part that came again the last time counts."""
+    last = F.max_by(F.struct("row_count", "id_count"), "imported_at").alias("x")
+    parts = read_or_empty(spark, path, schemas.ARRIVALS).groupBy("source", "file_name", "part").agg(last)
+    return parts.groupBy("source", "file_name").agg(
+        F.sum("x.row_count").alias("row_count"), F.sum(F.col("x.row_count") - F.col("x.id_count")).alias("duplicate_count"))
+
+
+def drop_expired(spark: SparkSession, listed: DataFrame, log: DataFrame, as_of, days) -> int:
+    """Remove snapshots older than ``days`` that have been loaded, with their sidecars; returns how many.
+
+    ``listed`` is the output of :func:`flowtide.sources.readers.list_files`. Files that are no nightly snapshots stay, and
+    so do those not logged.
+    """
+    old = expired_snapshots(listed, as_of, days).join(log.select("file_name").distinct(), "file_name", "left_semi")
+    # One path per expired snapshot.
+    paths = [r.path for r in old.select("path").distinct().collect()]
+    for path in paths:
+        files.remove(spark, path)
+        files.remove(spark, path.removesuffix(".json") + ".meta.json")
+    return len(paths)

@@ -440,6 +440,84 @@ def _(spark, sf):
     return readers.expired_snapshots(files, "2024-04-15", codes.RETENTION_DAYS)
 
 
+@query("retention_drops", f"""WITH {a.SNAPSHOTS}
+SELECT DISTINCT _snapshot_file AS file_name FROM sn WHERE NOT contains(_snapshot_file, '_snapshot_')
+  OR strptime(substr(_snapshot_file, 18, 16), '%Y%m%dT%H%M%SZ') >= TIMESTAMP '2024-04-15' - INTERVAL 90 DAY
+  OR _snapshot_file = 'tickets_snapshot_20240103T001500Z.json'""")
+def _(spark, sf):
+    """What is left of the nightly files: expired ones go, unless they are no snapshots or not logged yet."""
+    folder = _land(spark, sf)
+    listed = readers.list_files(spark, f"{folder}/raw", "tickets")
+    log = listed.filter("file_name <> 'tickets_snapshot_20240103T001500Z.json'")
+    sinks.drop_expired(spark, listed, log, "2024-04-15", codes.RETENTION_DAYS)
+    return readers.list_files(spark, f"{folder}/raw", "tickets").select("file_name")
+
+
+@query("load_reconciliation", f"""WITH {a.SNAPSHOTS},
+c AS (SELECT _snapshot_file AS file_name, count(*) AS arrived, count(*) - count(DISTINCT id) AS duplicates FROM sn GROUP BY 1),
+k AS (SELECT _snapshot_file AS file_name, count(*) AS kept FROM loaded GROUP BY 1),
+x AS (SELECT file_name, arrived + CASE WHEN arrived % 3 = 0 THEN 1 ELSE 0 END AS fetched, arrived, duplicates,
+  coalesce(kept, 0) AS logged FROM c LEFT JOIN k USING (file_name))
+SELECT file_name, CAST(fetched AS BIGINT) AS fetched, arrived, duplicates, CAST(logged AS BIGINT) AS logged,
+  CAST(logged AS BIGINT) AS stored, CASE WHEN fetched <> arrived THEN 'not as fetched' END AS fault FROM x""")
+def _(spark, sf):
+    """Sidecars, arrivals, log and history of one load, some sidecars with one row more than came."""
+    folder = _land(spark, sf)
+    rows = a.ticket_snapshots(spark, sf).groupBy("_snapshot_file").agg(F.count("*").alias("c"))
+    sidecars = rows.select((F.col("c") + F.when(F.col("c") % 3 == 0, 1).otherwise(0)).alias("total_tickets"),
+                           F.regexp_replace("_snapshot_file", r"\.json$", ".meta.json").alias("f"))
+    sidecars.write.partitionBy("f").mode("append").json(f"{folder}/raw")
+    ingest.load_files(spark, ingest.TICKETS, f"{folder}/raw", f"{folder}/history", f"{folder}/log",
+                      "2024-02-01 00:00:00", multi_line=False)
+    return quality.load_reconciliation(
+        readers.read_manifest(spark, f"{folder}/raw"), sinks.arrivals(spark, f"{folder}/log_arrivals"),
+        sinks.read_or_empty(spark, f"{folder}/log", schemas.IMPORT_LOG),
+        sinks.read_or_empty(spark, f"{folder}/history", sinks.history_schema(schemas.TICKET_HISTORY)))
+
+
+@query("field_drift", """WITH k AS (SELECT unnest(json_keys(props)) AS field FROM events),
+f AS (SELECT field, count(*) AS found FROM k GROUP BY field)
+SELECT coalesce(f.field, w.field) AS field, CAST(coalesce(found, 0) AS BIGINT) AS found,
+  (SELECT count(*) FROM events WHERE props IS NOT NULL) AS objects, CASE WHEN w.field IS NULL THEN 'added'
+  WHEN found IS NULL THEN 'removed' WHEN found < (SELECT count(*) FROM events WHERE props IS NOT NULL) THEN 'partial' END AS drift
+FROM f FULL JOIN (VALUES ('gone')) w(field) ON w.field = f.field""")
+def _(spark, sf):
+    return quality.field_drift(a.table(spark, sf, "events"), "props", ["gone"])
+
+
+@query("blank_times", """SELECT event_id, CASE WHEN event_id % 7 > 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS at FROM events""")
+def _(spark, sf):
+    """Blank times and missing ones are the same."""
+    times = "CASE event_id % 7 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") END AS at"
+    rows = a.table(spark, sf, "events").selectExpr("event_id", times)
+    return rows.select("event_id", text.blank_to_null("at").alias("at"))
+
+
+@query("date_formats", """SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, strftime(o_orderdate, '%d.%m.%Y') AS dotted,
+  strftime(o_orderdate, '%y-%j') AS day_of_year FROM orders""")
+def _(spark, sf):
+    return a.table(spark, sf, "orders").select(
+        F.col("o_orderdate").cast("date").cast("string").alias("day"),
+        dates.format_date("o_orderdate", "dd.MM.yyyy").alias("dotted"),
+        dates.format_date("o_orderdate", "yy-DDD").alias("day_of_year")).distinct()
+
+
+@query("months_in_order", """SELECT monthname(o_orderdate) AS month_name, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS
+  month_sort, count(*) AS orders FROM orders GROUP BY ALL ORDER BY month_sort""")
+def _(spark, sf):
+    """Month names in calendar order, by the key carried beside them."""
+    rows = a.table(spark, sf, "orders").groupBy(
+        dates.month_name("o_orderdate").alias("month_name"), dates.month_sort("o_orderdate").alias("month_sort")).agg(
+        F.count("*").alias("orders"))
+    return joins.order_by_sort_key(rows, "month_sort")
+
+
+@query("gated_counts", """SELECT event_type, count(*) AS events FROM events GROUP BY event_type""")
+def _(spark, sf):
+    """Counts that are only made of a table that has rows."""
+    return quality.require_rows(a.table(spark, sf, "events"), "events").groupBy("event_type").agg(F.count("*").alias("events"))
+
+
 @query("plan_files", f"""WITH {a.SNAPSHOTS}, f AS (SELECT DISTINCT _snapshot_file AS file_name FROM sn)
 SELECT file_name, contains(file_name, '_snapshot_') AS incremental,
   CASE WHEN contains(file_name, '_snapshot_')

@@ -5,9 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowtide import schemas
+from flowtide.operators import quality
 from flowtide.operators.current import current_tickets
 from flowtide.plans.pipeline import register_views, run_pipeline
-from flowtide.sources import ingest, readers, sinks
+from flowtide.sources import files, ingest, readers, sinks
 from flowtide.streaming import ingest as stream
 
 AT = dt.datetime(2026, 6, 14, 5)
@@ -219,6 +220,68 @@ def test_overwrite_table(spark, tmp_path):
     assert sinks.read_table(spark, path).count() == 5
 
 
+def test_a_second_attempt_never_touches_the_live_build(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.overwrite_table(spark.range(3), path, "1")
+    before = sinks.read_table(spark, path)
+    broken = spark.range(4).select(F.raise_error(F.lit("stopped")).alias("id"))
+    with pytest.raises(Exception, match="stopped"):
+        sinks.overwrite_table(broken, path, "1")
+    assert before.count() == 3 and sinks.read_table(spark, path).count() == 3
+    sinks.overwrite_table(spark.range(7), path, "1")
+    # The former build stays for readers that have begun; the newest pointer counts, not the greatest name.
+    assert before.count() == 3 and sinks.read_table(spark, path).count() == 7
+    sinks.overwrite_table(spark.range(8), path, "0")
+    assert sinks.read_table(spark, path).count() == 8
+    assert len(files.children(spark, f"{path}/build=1")) == 1 and len(files.children(spark, f"{path}/build=0")) == 1
+    sinks.overwrite_table(spark.range(9), path, "3", keep=1)
+    assert [n for n in files.children(spark, path) if n.startswith("build=")] == ["build=3"]
+
+
+def test_expired_snapshots_go_when_they_are_logged(spark, tmp_path):
+    raw = tmp_path / "raw"
+    for name in ("tickets_snapshot_20260101T001500Z.json", "tickets_snapshot_20260102T001500Z.json",
+                 "tickets_snapshot_20260601T001500Z.json", "tickets_backfill_20260101.json"):
+        put(raw, name, [ticket(1, "a")])
+        put(raw, name.replace(".json", ".meta.json"), {"total_tickets": 1})
+    listed = readers.list_files(spark, str(raw), "tickets")
+    log = listed.filter("file_name not like '%0102T%'")
+    assert sinks.drop_expired(spark, listed, log, "2026-06-14", 90) == 1
+    assert sorted(p.name for p in raw.iterdir() if "0101T" in p.name) == []
+    assert len([p for p in raw.iterdir() if p.suffix == ".json"]) == 6
+    assert sinks.drop_expired(spark, listed.limit(0), log, "2026-06-14", 90) == 0
+
+
+def test_load_reconciliation(spark, tmp_path):
+    raw, name = tmp_path / "raw", "tickets_snapshot_2026060{}T001500Z.json".format
+    put(raw, name(1), [ticket(1, "b"), ticket(1, "b"), ticket(2, "b")])
+    put(raw, name(2), [ticket(1, "b"), ticket(2, "c")])
+    for i, total in ((1, 3), (2, 5), (3, 1)):
+        put(raw, name(i).replace(".json", ".meta.json"), {"total_tickets": total})
+    load(spark, tmp_path)
+    log = lambda: sinks.read_or_empty(spark, str(tmp_path / "log"), schemas.IMPORT_LOG)
+    by_file = {r.file_name: tuple(r)[1:] for r in quality.load_reconciliation(
+        readers.read_manifest(spark, str(raw)), sinks.arrivals(spark, str(tmp_path / "log_arrivals")), log(),
+        stored(spark, tmp_path)).collect()}
+    assert by_file == {name(1): (3, 3, 1, 3, 3, None), name(2): (5, 2, 0, 1, 1, "not as fetched"),
+                       name(3): (1, None, None, None, 0, "never arrived")}
+    lost = stored(spark, tmp_path).filter(F.col("_source_file") != name(1))
+    by_file = {r.file_name: r.fault for r in quality.load_reconciliation(
+        readers.read_manifest(spark, str(raw)), sinks.arrivals(spark, str(tmp_path / "log_arrivals")), log(), lost).collect()}
+    assert by_file[name(1)] == "not as logged"
+    # A part that comes again counts once.
+    ingest.load_files(spark, ingest.TICKETS, str(raw), str(tmp_path / "history"), str(tmp_path / "log3"), AT)
+    assert sum(r.row_count for r in sinks.arrivals(spark, str(tmp_path / "log3_arrivals")).collect()) == 5
+
+
+def test_field_drift(spark):
+    df = spark.createDataFrame([('{"a": 1, "b": 2}',), ('{"a": null}',), ("junk",), (None,), ("[1]",)], "raw string")
+    got = {r.field: (r.found, r.objects, r.drift) for r in quality.field_drift(df, "raw", ["a", "c"]).collect()}
+    assert got == {"a": (2, 2, None), "b": (1, 2, "added"), "c": (0, 2, "removed")}
+    empty = quality.field_drift(df.limit(0), "raw", ["a"]).collect()
+    assert [tuple(r) for r in empty] == [("a", 0, 0, "removed")]
+
+
 def test_pipeline(spark, tmp_path):
     raw, out = tmp_path / "raw", str(tmp_path / "out")
     put(raw / "tickets", "tickets_snapshot_20260601T001500Z.json",
@@ -240,3 +303,11 @@ def test_pipeline(spark, tmp_path):
     run_pipeline(spark, str(raw), out, "2026-06-12", AT + dt.timedelta(days=1), names=["summary_week"])
     assert report("summary_week").first().issue_closed == 2
     assert sinks.read_table(spark, f"{out}/current/issues").count() == 2
+    faults = {r.file_name: r.fault for r in sinks.read_table(spark, f"{out}/checks/issues_loads").collect()}
+    assert faults == {"issues_snapshot_20260601T001500Z.json": None, "issues_snapshot_20260613T001500Z.json": None}
+    assert {r.table_name for r in sinks.read_table(spark, f"{out}/checks/freshness").collect()} == {"tickets", "issues"}
+    assert sum(r.violations for r in sinks.read_table(spark, f"{out}/checks/tickets_keys").collect()) == 0
+    # What has been loaded goes after the retention time, and the tables stay.
+    run_pipeline(spark, str(raw), out, "2026-09-05", AT + dt.timedelta(days=2), names=["summary_week"])
+    assert [p.name for p in (raw / "issues").iterdir() if p.suffix == ".json"] == ["issues_snapshot_20260613T001500Z.json"]
+    assert sinks.read_table(spark, f"{out}/current/issues").count() == 2
