@@ -58,6 +58,42 @@ def texts(df: DataFrame, *keep, text="text", empty=True) -> DataFrame:
     return df.select(*keep, (F.coalesce(t, F.lit("")) if empty else t).alias("__text"))
 
 
+def kept_texts(df: DataFrame, id_cols, text="text") -> tuple[DataFrame, str]:
+    """``id_cols`` as ``__id0``, ``__id1``, ... with the text, and the text's column: one of these where the text is kept
+    anyway, so it is sent once. There, a missing text stays missing."""
+    kept = [F.col(c).alias(f"__id{i}") for i, c in enumerate(id_cols)]
+    if text in id_cols and df.schema[text].dataType.simpleString() == "string":
+        return df.select(*kept), f"__id{list(id_cols).index(text)}"
+    return texts(df, *kept, text=text), "__text"
+
+
+_KEPT: dict = {}
+
+
+def kept_in_worker(key, make):
+    """``make()``, kept by this worker for its later tasks until it is asked for something else: one stage's tables do
+    not stay beside the next one's."""
+    if key not in _KEPT:
+        if _KEPT:
+            _KEPT.clear()
+            _give_back()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def _give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 def vocabulary(name: str) -> str:
     """Place of a public tokenizer's file, by the installed package; an existing path is taken as it is."""
     if os.path.exists(name):

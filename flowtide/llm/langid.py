@@ -13,6 +13,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from . import common
@@ -26,11 +27,10 @@ LONGEST, UNKNOWN, PRIOR = 16, 1e-7, 0.05
 #: Words of more characters are handled together with somewhat longer ones.
 WORD = 32
 #: Most words a scorer keeps, and as many times WORD characters.
-CACHE = 300_000
+CACHE = 150_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.cumprod(np.append(np.ones(1, np.uint64), np.full(LONGEST, _BASE)))
-_SCORERS: dict = {}
 
 
 def learned(df: DataFrame, text_col="text", lang_col="lang", vocabulary=VOCABULARY, sample=SAMPLE, rounds=ROUNDS):
@@ -115,27 +115,23 @@ def predict(df: DataFrame, model, id_cols=("doc_id",), text_col="text") -> DataF
     A missing text, one without a letter, or a model without languages gives ``und`` and 0. Of equally probable
     languages the first in order is taken. Repeated rows and ids each give their row; other columns are dropped.
     """
-    kept = [F.col(c).alias(f"__id{i}") for i, c in enumerate(id_cols)]
-    source = common.texts(df, *kept, text=text_col)
+    source, text = common.kept_texts(df, id_cols, text_col)
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "__text"]
-    scored = common.mapped(source, _predictor(df.sparkSession, model),
+    scored = common.mapped(source, _predictor(df.sparkSession, model, text),
                            ", ".join([*kinds, "lang_pred string", "score double"]))
     return scored.withColumnsRenamed({f"__id{i}": c for i, c in enumerate(id_cols)})
 
 
-def _predictor(spark, model):
+def _predictor(spark, model, text):
     languages = [*model[0], "und"]
     sent = spark.sparkContext.broadcast(model[1:])
     key = uuid.uuid4().hex
 
     def run(batches):
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(*sent.value)
-        scorer = _SCORERS[key]
-        for batch in common.slices(batches, "__text"):
-            best, score = scorer.best(batch.column("__text").to_pylist())
-            rest = batch.drop_columns(["__text"])
+        scorer = common.kept_in_worker(key, lambda: Scorer(*sent.value))
+        for batch in common.slices(batches, text):
+            best, score = scorer.best(pc.fill_null(batch.column(text), "").to_pylist())
+            rest = batch.drop_columns(["__text"]) if text == "__text" else batch
             yield pa.RecordBatch.from_arrays(
                 [*rest.columns, pa.array([languages[i] for i in best]), pa.array(score)],
                 [*rest.schema.names, "lang_pred", "score"])

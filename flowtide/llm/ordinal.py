@@ -108,22 +108,21 @@ def score(df: DataFrame, model, id_cols=("doc_id",), text_col="text") -> DataFra
     """``id_cols`` with ``expected_grade`` and ``reaches``: an array of the probabilities of reaching each grade above
     the lowest. A missing text counts as empty and has the position 0. Repeated rows and ids each give their row; other
     columns are dropped."""
-    kept = [F.col(c).alias(f"__id{i}") for i, c in enumerate(id_cols)]
-    source = common.texts(df, *kept, text=text_col)
+    source, text = common.kept_texts(df, id_cols, text_col)
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         chosen, weights, thresholds, grades = sent.value
         table = np.zeros(1 << BITS, np.float32)
         table[chosen] = weights
-        for batch in common.slices(batches, "__text"):
-            features, values, ends = featured(batch.column("__text"))
+        for batch in common.slices(batches, text):
+            features, values, ends = featured(batch.column(text))
             owner = np.repeat(np.arange(batch.num_rows), np.diff(ends))
             position = np.bincount(owner, values * table[features], batch.num_rows)
             reach = _sigmoid(position[:, None] - thresholds)
             grade = grades[0] + reach @ np.diff(grades)
             ends = np.arange(batch.num_rows + 1, dtype=np.int32) * len(thresholds)
-            rest = batch.drop_columns(["__text"])
+            rest = batch.drop_columns(["__text"]) if text == "__text" else batch
             yield pa.RecordBatch.from_arrays(
                 [*rest.columns, pa.array(grade.astype(np.float64)), pa.ListArray.from_arrays(ends, reach.ravel())],
                 [*rest.schema.names, "expected_grade", "reaches"])

@@ -16,19 +16,15 @@ import numpy as np
 from . import common
 
 #: Most entries of each of the two generations of a worker's lookup table.
-CACHE = 400_000
+CACHE = 200_000
 _TAIL = frozenset(".,;:!?")
 _GAP = re.compile(r"\s\s|^\s|\s$|[^\S \n]")
 _CUT = re.compile(r"(?<=\S)(?= )")
-_ENCODERS: dict = {}
 
 
 def encoder(path: str, make):
-    """This worker's encoder for a vocabulary file; it stays for later tasks."""
-    key = (path, make)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Chunks(make(path), spaced(path))
-    return _ENCODERS[key]
+    """This worker's encoder for a vocabulary file; it stays for later tasks of the same kind."""
+    return common.kept_in_worker((path, make), lambda: Chunks(make(path), spaced(path)))
 
 
 def spaced(path: str) -> bool:
