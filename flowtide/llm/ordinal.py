@@ -139,13 +139,36 @@ def selected(least=LEAST_GOOD):
 
 
 def rated(docs: DataFrame, labels: DataFrame, sample=SAMPLE) -> DataFrame:
-    """Texts and grades of a bounded sample of rated documents: 0 for low quality, 1 for good but toxic, 2 for good."""
-    rows = labels.select("doc_id", (F.col("quality") * (2 - F.col("toxic"))).cast("int").alias("grade")).dropna()
-    total = rows.count()
-    share = min(1.0, sample / max(total, 1))
-    some = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000)
-    # Bounded by the sample's size.
-    return docs.select(F.col("doc_id"), F.col("text")).join(F.broadcast(some), "doc_id")
+    """Ids, texts and grades of a bounded sample of rated documents: 0 for low quality, 1 for good but toxic, 2 for good.
+
+    About ``sample`` different pairs of id and text are drawn by their hash, or all if there are no more. Of several
+    ratings of an id the lowest counts; ratings that lack the id, the quality or, where it is good, the toxicity do not.
+    Documents that repeat in id and text are one, a missing text is an empty one. Empty tables give no rows.
+    """
+    grade = F.when(F.col("quality") == 0, 0).otherwise(F.col("quality") * (2 - F.col("toxic"))).cast("int")
+    grades = labels.select("doc_id", grade.alias("grade")).dropna().groupBy("doc_id").agg(F.min("grade").alias("grade"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    named = docs.select("doc_id", text).withColumn("__hash", F.xxhash64("text"))
+    pairs = common.staged(named.select("doc_id", "__hash").distinct().join(grades, "doc_id"), "rated-pairs")
+    share = min(1.0, sample / max(pairs.count(), 1))
+    drawn = pairs.where(F.pmod(F.xxhash64("doc_id", "__hash", F.lit(7)), F.lit(1_000_000)) < share * 1_000_000)
+    # At most about ``sample`` rows of numbers, however often an id or a text occurs.
+    found = named.join(F.broadcast(drawn), ["doc_id", "__hash"])
+    kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, __hash bigint, text string, grade int"
+    once = common.mapped(found.select("doc_id", "__hash", "text", "grade"), _once, kinds)
+    return once.dropDuplicates(["doc_id", "__hash"]).select("doc_id", "text", "grade")
+
+
+def _once(batches):
+    """The rows without those whose id and text this task met before: at most as many are kept as were drawn."""
+    seen = set()
+    for batch in batches:
+        keep = []
+        for i, key in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("__hash").to_pylist())):
+            if key not in seen:
+                seen.add(key)
+                keep.append(i)
+        yield batch.take(pa.array(keep, pa.int64()))
 
 
 def featured(column):
