@@ -241,6 +241,8 @@ def transactions(records: DataFrame, payload=True) -> DataFrame:
     name = F.regexp_extract("metadata.fields", r"(?m)^page: (\S+)\r", 1)
     captures = main.join(said, F.col("record_id") == F.col("concurrent_to"), "left").drop("concurrent_to").withColumns(
         {"page_id": F.when(page != "", page.cast("bigint")), "__page": name})
+    # Put together once: both the rows and the names below come from it.
+    captures = common.staged(captures, "captures")
     # Responses by the name that revisits give: one row each, however often it is referred to.
     named = captures.where("record_type = 'response'").groupBy("__page").agg(F.max("page_id").alias("refers_to"))
     return captures.drop("__page").join(named, F.col("__refers") == F.col("__page"), "left").select(
