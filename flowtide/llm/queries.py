@@ -22,7 +22,8 @@ def op2_warc(spark, sf_dir):
     path = f"{scratch_dir(spark)}/warc"
     archives = warc.write(warc.deduplicated(table(spark, sf_dir, "pages")), path)
     captures = warc.transactions(warc.read(spark, path, archives), payload=False)
-    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri")
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri",
+                           "request", "response", "metadata")
 
 
 def op3_packing(spark, sf_dir):
@@ -77,7 +78,9 @@ def op9_repeats(spark, sf_dir):
 
 def op10_repetition(spark, sf_dir):
     """Repetition measures and verdict for every document."""
-    return repetition.judge(repetition.measure(table(spark, sf_dir, "documents")))
+    judged = repetition.judge(repetition.measure(table(spark, sf_dir, "documents")))
+    first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judged.select(*first, *(c for c in judged.columns if c not in first))
 
 
 def op11_divergence(spark, sf_dir):
