@@ -61,12 +61,21 @@ def texts(df: DataFrame, *keep, text="text", empty=True) -> DataFrame:
 def kept_texts(df: DataFrame, id_cols, text="text") -> tuple[DataFrame, str]:
     """``id_cols`` as ``__id0``, ``__id1``, ... with the text, and the text's column: one of these where the text is kept
     anyway, so it is sent once. There, a missing text stays missing."""
+    small_batches(df.sparkSession)
     kept = [F.col(c).alias(f"__id{i}") for i, c in enumerate(id_cols)]
     if text in id_cols and df.schema[text].dataType.simpleString() == "string":
         return df.select(*kept), f"__id{list(id_cols).index(text)}"
     return texts(df, *kept, text=text), "__text"
 
 
+def small_batches(spark) -> None:
+    """Let Spark send batches of a few megabytes where the session has its default of 64: beside a batch, a task needs
+    several times its size. Results do not depend on it."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(setting) in ("67108864b", "64MB", "64m"):
+        spark.conf.set(setting, str(2 * BATCH_BYTES))
+
+
 _KEPT: dict = {}
 
 

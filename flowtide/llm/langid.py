@@ -38,6 +38,7 @@ def learned(df: DataFrame, text_col="text", lang_col="lang", vocabulary=VOCABULA
 
     Rows without a text or language are left out. Without any, the model has no language.
     """
+    common.small_batches(df.sparkSession)
     rows = common.texts(df, F.col(lang_col).cast("string").alias("__lang"), text=text_col, empty=False).where(
         F.col("__lang").isNotNull() & F.col("__text").isNotNull())
     rows = rows.withColumn("__hash", F.xxhash64("__text"))
@@ -189,7 +190,7 @@ def by_length(words: list[str]):
     while start < len(order):
         least = int(size[order[start]])
         most = least if least <= WORD else least + least // 4
-        stop = min(int(np.searchsorted(size, most, "right", sorter=order)), start + max(1, 50_000 * WORD // max(most, WORD)))
+        stop = min(int(np.searchsorted(size, most, "right", sorter=order)), start + max(1, 20_000 * WORD // max(most, WORD)))
         some = order[start:stop]
         width = int(size[some[-1]])
         data = "".join([words[i].ljust(width, "\0") for i in some.tolist()]).encode("utf-32-le", "surrogatepass")

@@ -145,6 +145,7 @@ def rated(docs: DataFrame, labels: DataFrame, sample=SAMPLE) -> DataFrame:
     ratings of an id the lowest counts; ratings that lack the id, the quality or, where it is good, the toxicity do not.
     Documents that repeat in id and text are one, a missing text is an empty one. Empty tables give no rows.
     """
+    common.small_batches(docs.sparkSession)
     grade = F.when(F.col("quality") == 0, 0).otherwise(F.col("quality") * (2 - F.col("toxic"))).cast("int")
     grades = labels.select("doc_id", grade.alias("grade")).dropna().groupBy("doc_id").agg(F.min("grade").alias("grade"))
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")

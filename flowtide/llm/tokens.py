@@ -127,6 +127,7 @@ def encoded(df, id_cols, text_col, tokenizer, make=library, end_id=None, then=No
     from pyspark.sql import functions as F
 
     path = common.vocabulary(tokenizer)
+    common.small_batches(df.sparkSession)
     source = common.texts(df, *(F.col(c).alias(f"__id{i}") for i, c in enumerate(id_cols)), text=text_col)
     end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
