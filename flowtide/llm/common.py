@@ -26,10 +26,21 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def mapped(df: DataFrame, run, schema: str) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand on the executors."""
+def mapped(df: DataFrame, run, schema: str, keeps=False) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand on the executors. Unless ``run`` keeps tables in its worker, those of
+    an earlier stage go when it begins."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run if keeps else _alone(run), schema)
+
+
+def _alone(run):
+    def begin(batches):
+        if _KEPT:
+            _KEPT.clear()
+            _give_back()
+        yield from run(batches)
+
+    return begin
 
 
 def ship(spark) -> None:

@@ -119,7 +119,7 @@ def predict(df: DataFrame, model, id_cols=("doc_id",), text_col="text") -> DataF
     source, text = common.kept_texts(df, id_cols, text_col)
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "__text"]
     scored = common.mapped(source, _predictor(df.sparkSession, model, text),
-                           ", ".join([*kinds, "lang_pred string", "score double"]))
+                           ", ".join([*kinds, "lang_pred string", "score double"]), keeps=True)
     return scored.withColumnsRenamed({f"__id{i}": c for i, c in enumerate(id_cols)})
 
 

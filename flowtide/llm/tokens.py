@@ -144,5 +144,5 @@ def encoded(df, id_cols, text_col, tokenizer, make=library, end_id=None, then=No
                 yield pa.RecordBatch.from_arrays([*rest.columns, *columns], [*rest.schema.names, *names])
 
     kinds = [f"`__id{i}` {source.schema[f'__id{i}'].dataType.simpleString()}" for i in range(len(id_cols))]
-    out = common.mapped(source, run, ", ".join([*kinds, fields or "ids binary"]))
+    out = common.mapped(source, run, ", ".join([*kinds, fields or "ids binary"]), keeps=True)
     return out.withColumnsRenamed({f"__id{i}": c for i, c in enumerate(id_cols)})
