@@ -28,7 +28,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-INGEST = {"ingest_files", "ingest_stream"}
+INGEST = {"ingest_files", "ingest_stream", "ingest_loads", "ingest_stream_batches", "newer_only_stream"}
 
 
 @pytest.mark.parametrize("name", [q for q in QUERIES if q not in INGEST])
