@@ -222,7 +222,7 @@ def model(path: str) -> Vocabulary:
 
 
 def prefix_encoder(path: str):
-    """list of chunks -> list of id lists, for a vocabulary with an end mark."""
+    """list of chunks -> list of their ids (little-endian unsigned 32-bit), for a vocabulary with an end mark."""
     import regex
 
     vocabulary, pattern = model(path), regex.compile(WORDS.replace(r"\s", r"\p{White_Space}"))
@@ -244,8 +244,8 @@ def prefix_encoder(path: str):
                 elif part:
                     plan += [pieces.setdefault(p, len(pieces)) for p in pattern.findall(tokens.composed_lower(part))]
             plans.append(plan)
-        ids = [x.tolist() for x in vocabulary.encode([symbols(p) for p in pieces])]
-        return [[i for p in plan for i in ([-1 - p] if p < 0 else ids[p])] for plan in plans]
+        ids = [np.asarray(x, "<u4").tobytes() for x in vocabulary.encode([symbols(p) for p in pieces])]
+        return [b"".join((-1 - p).to_bytes(4, "little") if p < 0 else ids[p] for p in plan) for plan in plans]
 
     return encode
 

@@ -18,7 +18,6 @@ from . import common
 #: Most entries of each of the two generations of a worker's lookup table.
 CACHE = 200_000
 _TAIL = frozenset(".,;:!?")
-_GAP = re.compile(r"\s\s|^\s|\s$|[^\S \n]")
 _CUT = re.compile(r"(?<=\S)(?= )")
 
 
@@ -33,19 +32,59 @@ def spaced(path: str) -> bool:
         return not json.load(f)["model"].get("end_of_word_suffix")
 
 
+#: Chunks that go to the library as one string.
+TOGETHER = 100
+
+
 def library(path: str):
-    """list of chunks -> list of id lists, by the tokenizers library."""
+    """list of chunks -> list of their ids (little-endian unsigned 32-bit), by the tokenizers library.
+
+    Chunks are joined by a special token, which the library takes out of the raw text before it does anything else, so
+    each of them is encoded as if alone. One that holds a character of the token's edges goes alone.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    return lambda chunks: [e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+    mark = None
+    for number, token in tokenizer.get_added_tokens_decoder().items():
+        if token.special and not (token.normalized or token.lstrip or token.rstrip or token.single_word):
+            mark, edges = (number, token.content), (token.content[0], token.content[-1])
+
+    def alone(chunks):
+        found = tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def encode(chunks):
+        if mark is None:
+            return alone(chunks)
+        odd = [c for c in chunks if edges[0] in c or edges[1] in c]
+        if odd:
+            known = dict(zip(odd, alone(odd)))
+            rest = [c for c in chunks if c not in known]
+            known.update(zip(rest, together(rest)))
+            return [known[c] for c in chunks]
+        return together(chunks)
+
+    def together(chunks):
+        if not chunks:
+            return []
+        number, content = mark
+        joined = [content.join([*chunks[i:i + TOGETHER], ""]) for i in range(0, len(chunks), TOGETHER)]
+        ids = [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+        ids = np.concatenate(ids)
+        ends = 4 * np.flatnonzero(ids == number)
+        assert len(ends) == len(chunks)
+        data, starts = ids.tobytes(), np.append(0, ends[:-1] + 4).tolist()
+        return [data[a:b] for a, b in zip(starts, ends.tolist())]
+
+    return encode
 
 
 class Chunks:
-    """Encode texts chunk by chunk. ``encode``: list of chunks -> list of id lists. Ids come as little-endian unsigned
+    """Encode texts chunk by chunk. ``encode``: list of chunks -> list of their ids. Ids are little-endian unsigned
     32-bit integers."""
 
     def __init__(self, encode, spaced: bool):
@@ -54,26 +93,24 @@ class Chunks:
         self.old: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        parts = [self.split(t) for t in texts]
-        wanted = set()
-        for p in parts:
-            wanted.update(p)
+        parts = [self.keys(t) for t in texts]
         if len(self.new) > CACHE:
             self.old, self.new = self.new, {}
         new, old = self.new, self.old
         missing = []
-        for w in wanted:
-            if w not in new:
-                if (ids := old.get(w)) is not None:
-                    new[w] = ids
-                else:
-                    missing.append(w)
+        for w in set().union(*parts).difference(new):
+            if (ids := old.get(w)) is not None:
+                new[w] = ids
+            else:
+                missing.append(w)
         self._fill(missing)
-        look = self.new.__getitem__
+        look = new.__getitem__
         return [b"".join(map(look, p)) for p in parts]
 
-    def split(self, text: str) -> list[str]:
-        """Chunks that can be encoded alone. With white space kept, a chunk starts with the white space before it."""
+    def keys(self, text: str) -> list[str]:
+        """Keys of the chunks that can be encoded alone. With white space kept, a chunk starts with the white space
+        before it: a key is a word, for the chunk of a blank and it, or starts with a line end, for itself, or with a
+        blank, for what follows that."""
         if not self.spaced:
             # Lower case first makes more chunks equal; within Latin-1 it commutes with composition. Special tokens are
             # matched in the raw text, where case counts, so a text that may hold one is left as it is.
@@ -84,32 +121,41 @@ class Chunks:
                 except UnicodeEncodeError:
                     pass
             return text.replace("\n", " ").split(" ")
-        if _GAP.search(text):
-            return _CUT.split(text)
-        head, *rest = text.replace("\n", " \n").split(" ")
-        return [head, *[w if w[:1] == "\n" else " " + w for w in rest]]
+        parts = text.replace("\n", " ").split(" ")
+        if parts != text.split():
+            # White space other than single blanks and line ends between words.
+            return [" " + c for c in _CUT.split(text)]
+        if "\n" in text:
+            parts = text.replace("\n", " \n").split(" ")
+        parts[0] = " " + parts[0]
+        return parts
+
+    def _chunk(self, key: str) -> str:
+        if not self.spaced or key[:1] == "\n":
+            return key
+        return key[1:] if key[:1] == " " else " " + key
 
     def _fill(self, missing: list[str]) -> None:
         """A chunk that ends in a letter and one mark of punctuation is its letters' ids and the mark's."""
         new, tails = self.new, []
         plain = set()
+        alone = " " if self.spaced else ""
         for w in missing:
             # The letter may not grow in lower case: a combining mark would join the punctuation after it.
             if len(w) > 2 and w[-1] in _TAIL and w[-2] < "ƀ" and w[-2].lower().isalnum():
                 tails.append(w)
                 if w[:-1] not in new:
                     plain.add(w[:-1])
-                if w[-1] not in new:
-                    plain.add(w[-1])
+                if alone + w[-1] not in new:
+                    plain.add(alone + w[-1])
             else:
                 plain.add(w)
         plain = list(plain)
         for i in range(0, len(plain), 20_000):
             some = plain[i:i + 20_000]
-            for w, ids in zip(some, self.encode(some)):
-                new[w] = np.array(ids, "<u4").tobytes()
+            new.update(zip(some, self.encode([self._chunk(w) for w in some])))
         for w in tails:
-            new[w] = new[w[:-1]] + new[w[-1]]
+            new[w] = new[w[:-1]] + new[alone + w[-1]]
 
 
 def composed_lower(text: str) -> str:
