@@ -28,17 +28,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def mapped(df: DataFrame, run, schema: str, keeps=False) -> DataFrame:
     """``df.mapInArrow`` with this package at hand on the executors. Unless ``run`` keeps tables in its worker, those of
-    an earlier stage go when it begins."""
+    an earlier stage go when it begins. A task's own memory goes back to the system when it ends, as its worker waits
+    for others beside them."""
     ship(df.sparkSession)
-    return df.mapInArrow(run if keeps else _alone(run), schema)
+    return df.mapInArrow(_tidy(run, keeps), schema)
 
 
-def _alone(run):
+def _tidy(run, keeps):
     def begin(batches):
-        if _KEPT:
+        if _KEPT and not keeps:
             _KEPT.clear()
             _give_back()
         yield from run(batches)
+        _give_back()
 
     return begin
 

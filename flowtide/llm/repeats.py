@@ -22,6 +22,8 @@ from . import common
 LEAST = 400
 #: Different surroundings that one transform takes of one region; more are split. Bytes that it takes of all regions.
 REGION, TRANSFORM_BYTES = 256, 150_000
+#: Bytes of text whose anchors are looked for at once; each needs over a hundred bytes then.
+ANCHOR_BYTES = 500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 #: ``n`` windows of text ``tk`` from byte ``lo`` on, under a key. Under it, windows are numbered alike in all texts, and
@@ -165,7 +167,7 @@ def _anchored(least):
     width = least - k + 1
 
     def run(batches):
-        for batch in common.slices(batches, "__text"):
+        for batch in common.slices(batches, "__text", ANCHOR_BYTES):
             data, offsets = common.buffers(batch.column("__text"))
             digests = pa.array([hashlib.md5(data[a:b]).digest() for a, b in zip(offsets[:-1], offsets[1:])], pa.binary())
             if len(data) < least:
