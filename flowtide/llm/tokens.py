@@ -16,7 +16,7 @@ import numpy as np
 from . import common
 
 #: Most entries of each of the two generations of a worker's lookup table.
-CACHE = 200_000
+CACHE = 300_000
 _TAIL = frozenset(".,;:!?")
 _CUT = re.compile(r"(?<=\S)(?= )")
 
