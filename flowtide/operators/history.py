@@ -62,25 +62,37 @@ def with_state_dates(history: DataFrame, keep: Column, columns, *, order=ORDER,
 
     ``keep`` limits which versions may become the current row; the state dates
     read all versions. By default a key whose newest version is not kept falls
-    back to an older one; ``filter_after`` drops it instead. Both the newest
-    version and the state dates come from one scan and one shuffle by key.
+    back to an older one; ``filter_after`` drops it instead.
+
+    The history is read once. It becomes one row per key and day, spread by both,
+    so a hot key meets in one task only as a row for each of its days; from these
+    the newest version, the first dates and the regression (see
+    :func:`first_regression`) follow in one more shuffle, by key.
     """
     rank = F.struct(*order)
     kept = F.coalesce(keep, F.lit(False))
-    payload = F.struct(*columns, kept.alias("_kept"))
-    newest = F.max_by(payload, rank if filter_after else F.when(kept, rank))
-    per_key = (
-        history.groupBy(key)
+    rank = rank if filter_after else F.when(kept, rank)
+    moment = F.col(ts)
+    per_day = history.groupBy(key, F.left(moment, F.lit(10)).alias("_day")).agg(
+        F.max_by(F.struct(*columns, kept.alias("_kept")), rank).alias("_row"),
+        F.max(rank).alias("_rank"),
+        F.min(F.when(in_codes(state, waiting), moment)).alias("_first_to"),
+        F.max(F.when(in_codes(state, waiting), moment)).alias("_to"),
+        F.min(F.when(in_codes(state, passed), moment)).alias("_from"),
+    )
+    first_from = F.min("_from").over(Window.partitionBy(key))
+    return (
+        per_day.withColumn("_first_from", first_from)
+        .groupBy(key)
         .agg(
-            newest.alias("_row"),
-            F.min(F.when(in_codes(state, waiting), F.col(ts))).alias("first_waiting"),
-            F.min(F.when(in_codes(state, passed), F.col(ts))).alias("first_passed"),
+            F.max_by("_row", "_rank").alias("_row"),
+            F.min("_first_to").alias("first_waiting"),
+            F.min("_from").alias("first_passed"),
+            F.min(F.when(F.col("_to") > F.col("_first_from"), F.col("_day"))).alias("regressed_on"),
         )
         .filter(F.col("_row._kept"))
+        .select(key, *[F.col(f"_row.{c}") for c in columns], "first_waiting", "first_passed", "regressed_on")
     )
-    regressed = first_regression(history, passed, waiting, key, ts, state)
-    return per_key.join(regressed, key, "left").select(
-        key, *[F.col(f"_row.{c}") for c in columns], "first_waiting", "first_passed", "regressed_on")
 
 
 def is_incremental(file="_snapshot_file") -> Column:

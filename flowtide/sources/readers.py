@@ -9,6 +9,7 @@ from flowtide.functions.text import blank_to_null, join_labels
 from flowtide.operators.calendar import month_series
 from flowtide.operators.history import is_incremental
 from flowtide.operators.joins import not_loaded
+from flowtide.sources import arrays
 
 
 LINEAGE_COLUMNS = ("_snapshot_file", "_part", "_block", "_pos")
@@ -36,10 +37,16 @@ def snapshot_name(path) -> Column:
 def read_json(spark: SparkSession, paths, schema, multi_line=True) -> DataFrame:
     """Rows of JSON files or folders with their origin.
 
-    A JSON array is read by one task per file; land large feeds as JSON Lines
-    (``multi_line=False``), which Spark splits.
+    ``multi_line=True`` reads a JSON array in one task per file, ``"split"`` in
+    one task per byte range, with a second pass over the files; ``False`` is for
+    JSON Lines, which Spark splits itself.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    if multi_line == "split":
+        item = F.from_json("_text", schema).alias("item")
+        return arrays.read_objects(spark, paths).select(
+            item, snapshot_name("_path").alias("_snapshot_file"), F.element_at(F.split("_path", "/"), -1).alias("_part"),
+            "_block", "_pos").select("item.*", *LINEAGE_COLUMNS)
     reader = spark.read.schema(schema).option("multiLine", multi_line).option("recursiveFileLookup", True)
     return with_position(reader.json(paths).select("*", *lineage()))
 

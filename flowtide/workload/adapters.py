@@ -6,6 +6,7 @@ against and goes its own way: DISTINCT ON, exact time joins, range joins.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from flowtide import codes
 from flowtide.functions.text import contains_flag
 from flowtide.operators.current import current_issues, current_tickets
 from flowtide.operators.facts import fact_issues, fact_tickets
@@ -20,6 +21,21 @@ TICKET_ORDER = ("updated_at", "pos")
 ISSUE_ORDER = ("updated_at", "pos", "part", "supplier")
 
 
+def sql_text(value) -> str:
+    """A Python value as a literal in SQL."""
+    return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else str(value)
+
+
+def sql_lookup(column, labels, otherwise) -> str:
+    """SQL for the label of a code; ``otherwise`` is SQL for the codes without one."""
+    keys, names = (f"[{', '.join(map(sql_text, x))}]" for x in (labels, labels.values()))
+    return f"coalesce({names}[list_position({keys}, {column})], {otherwise})"
+
+
+def sql_codes(values) -> str:
+    return f"({', '.join(map(sql_text, values))})"
+
+
 def table(spark: SparkSession, sf, name) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -65,14 +81,16 @@ def ticket_fact(spark, sf) -> DataFrame:
     return fact_tickets(tickets(spark, sf))
 
 
-TICKETS = TH + """,
+WAITING, PASSED = sql_codes(codes.WAITING_CODES), sql_codes(codes.PASSED_CODES)
+
+TICKETS = TH + f""",
 firsts AS (
-  SELECT id, min(updated_at) FILTER (status = 17) AS waited, min(updated_at) FILTER (status IN (6, 7, 12)) AS passed
+  SELECT id, min(updated_at) FILTER (status IN {WAITING}) AS waited, min(updated_at) FILTER (status IN {PASSED}) AS passed
   FROM th GROUP BY id
 ),
 back AS (
   SELECT th.id, min(updated_at) AS t FROM th JOIN firsts ON firsts.id = th.id AND updated_at > passed
-  WHERE status = 17 GROUP BY th.id
+  WHERE status IN {WAITING} GROUP BY th.id
 ),
 newest AS (
   SELECT DISTINCT ON (id) * FROM th WHERE group_id IS NULL OR group_id % 10 <> 3
@@ -85,12 +103,9 @@ tickets AS (
   FROM newest JOIN firsts USING (id) LEFT JOIN back USING (id)
 ),
 tf AS (
-  SELECT *,
-         coalesce(MAP {2: 'Open', 3: 'Pending', 4: 'Resolved', 5: 'Closed', 6: 'Passed triage', 7: 'Passed triage',
-                       12: 'Passed triage', 17: 'Waiting for triage'}[status],
-                  format('Other ({})', status)) AS status_label,
-         coalesce(MAP {6: 'Passed', 7: 'Passed', 12: 'Passed', 17: if(denied_triage, 'Denied', 'Waiting')}[status],
-                  'Other') AS triage_status
+  SELECT *, {sql_lookup("status", codes.STATUS_LABELS, "format('Other ({})', status)")} AS status_label,
+         if(status IN {PASSED}, 'Passed', if(status IN {WAITING}, if(denied_triage, 'Denied', 'Waiting'), 'Other'))
+           AS triage_status
   FROM tickets
 )"""
 
@@ -173,10 +188,8 @@ def issue_fact(spark, sf, people=False, clean=True, as_of=ISSUE_AS_OF) -> DataFr
     return fact_issues(issues(spark, sf, people, clean), as_of, projects=PROJECTS)
 
 
-STATE_LABEL = """coalesce(MAP {'backlog': 'Backlog / Unstarted', 'unstarted': 'Backlog / Unstarted',
-  'started': 'In Progress', 'completed': 'Completed', 'cancelled': 'Cancelled', 'canceled': 'Cancelled'}[state_type],
-  'Other')"""
-PRIORITY_LABEL = "coalesce(['No priority', 'Urgent', 'High', 'Medium', 'Low'][priority + 1], 'Unknown')"
+STATE_LABEL = sql_lookup("state_type", {**codes.STATE_LABELS, **codes.STATE_SPELLINGS}, sql_text(codes.OTHER))
+PRIORITY_LABEL = sql_lookup("priority", codes.PRIORITY_LABELS, "'Unknown'")
 
 
 def _issues_sql(closed):
@@ -224,15 +237,19 @@ f AS (
 )"""
 
 
+def _lead_time_cases(c, field):
+    """SQL for the label (field 0) or sort key (1) of a day count that is not missing."""
+    whens = [f"WHEN {c} = 1 THEN {sql_text(codes.LEAD_TIME_SAME_DAY[field])}"]
+    whens += [f"WHEN {c} <= {bucket[0]} THEN {sql_text(bucket[field + 1])}" for bucket in codes.LEAD_TIME_BUCKETS]
+    return f"{' '.join(whens)} ELSE {sql_text(codes.LEAD_TIME_OVER[field])} END"
+
+
 def lead_time_sql(c):
-    return (f"CASE WHEN {c} IS NULL THEN NULL WHEN {c} = 1 THEN 'Same day' WHEN {c} <= 7 THEN '2–7 days' "
-            f"WHEN {c} <= 14 THEN '8–14 days' WHEN {c} <= 30 THEN '15–30 days' "
-            f"WHEN {c} <= 90 THEN '31–90 days' ELSE '+90 days' END")
+    return f"CASE WHEN {c} IS NULL THEN NULL {_lead_time_cases(c, 0)}"
 
 
 def lead_time_sort_sql(c):
-    return (f"CASE WHEN {c} IS NULL THEN 99 WHEN {c} = 1 THEN 1 WHEN {c} <= 7 THEN 2 WHEN {c} <= 14 THEN 3 "
-            f"WHEN {c} <= 30 THEN 4 WHEN {c} <= 90 THEN 5 ELSE 6 END")
+    return f"CASE WHEN {c} IS NULL THEN {codes.LEAD_TIME_OPEN_SORT} {_lead_time_cases(c, 1)}"
 
 
 ISSUES = _issues_sql("CASE WHEN last_ship >= CAST(o_orderdate AS DATE) THEN last_ship END")
@@ -324,8 +341,12 @@ ci AS (
   FROM kept
 )"""
 
+def sql_rows(rows) -> str:
+    return ", ".join(f"({', '.join(map(sql_text, row))})" for row in rows)
+
+
 # Calendar over the order dates, in SQL.
-CALENDAR = """
+CALENDAR = f"""
 bounds AS (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders),
 yrs AS (SELECT unnest(generate_series(year(lo) - 1, year(hi) + 1)) AS y FROM bounds),
 e0 AS (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM yrs),
@@ -335,19 +356,14 @@ e3 AS (SELECT *, h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114 AS n FROM e2),
 easter AS (SELECT y, make_date(y, n // 31, n % 31 + 1) AS d FROM e3),
 hol AS (
   SELECT CAST(d + o.off AS DATE) AS holiday, o.name, o.name_sv
-  FROM easter, (VALUES (-2, 'Good Friday', 'Långfredagen'), (0, 'Easter Sunday', 'Påskdagen'),
-    (1, 'Easter Monday', 'Annandag påsk'), (39, 'Ascension Day', 'Kristi himmelsfärd'),
-    (49, 'Whit Sunday', 'Pingstdagen')) AS o(off, name, name_sv)
+  FROM easter, (VALUES {sql_rows(codes.EASTER_HOLIDAYS)}) AS o(off, name, name_sv)
   UNION ALL
   SELECT make_date(y, m, dd), name, name_sv
-  FROM yrs, (VALUES (1, 1, 'New Year''s Day', 'Nyårsdagen'), (1, 6, 'Epiphany', 'Trettondagen'),
-    (5, 1, 'Labour Day', 'Första maj'), (6, 6, 'National Day', 'Nationaldagen'),
-    (12, 25, 'Christmas Day', 'Juldagen'), (12, 26, 'Boxing Day', 'Annandag jul')) AS x(m, dd, name, name_sv)
+  FROM yrs, (VALUES {sql_rows(codes.FIXED_HOLIDAYS)}) AS x(m, dd, name, name_sv)
   UNION ALL
   SELECT CAST(s + CAST((13 - isodow(s)) % 7 AS INTEGER) AS DATE), name, name_sv
   FROM (SELECT make_date(y, m, dd) AS s, name, name_sv
-        FROM yrs, (VALUES (6, 20, 'Midsummer Day', 'Midsommardagen'),
-                          (10, 31, 'All Saints'' Day', 'Alla helgons dag')) AS x(m, dd, name, name_sv))
+        FROM yrs, (VALUES {sql_rows(codes.SATURDAY_HOLIDAYS)}) AS x(m, dd, name, name_sv))
 ),
 alldays AS (
   SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP) - INTERVAL 6 DAY, CAST(hi AS TIMESTAMP) + INTERVAL 6 DAY,

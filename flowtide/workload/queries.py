@@ -4,7 +4,7 @@ Results show dates as text and doubles rounded to six places, so both engines
 compare without regard to their own date and float types.
 """
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from flowtide import codes, schemas
 from flowtide.functions import dates, labels, periods, text
@@ -358,6 +358,24 @@ def _(spark, sf):
         *LOADED_COLUMNS)
 
 
+@query("split_arrays", f"""WITH {a.SNAPSHOTS} SELECT id, updated_at, status, pos AS product_id,
+  '}}, {{"id": ' || pos || ' \\"[' AS subject, _snapshot_file FROM sn""")
+def _(spark, sf):
+    """Nightly files as JSON arrays, one array a file, whose strings hold brackets and quotes."""
+    folder = scratch_dir(spark)
+    subject = F.concat(F.lit('}, {"id": '), F.col("pos").cast("string"), F.lit(' \\"['))
+    place = Window.partitionBy("f").orderBy("pos")
+    rows = a.ticket_snapshots(spark, sf).select(
+        F.col("_snapshot_file").alias("f"), "pos",
+        F.to_json(F.struct("id", subject.alias("subject"), "status", "updated_at", F.col("pos").alias("product_id")))
+        .alias("item"))
+    first, last = F.row_number().over(place) == 1, F.lead("pos").over(place).isNull()
+    lines = rows.select("f", F.concat(F.when(first, "[").otherwise(","), "item", F.when(last, "]").otherwise("")))
+    lines.write.partitionBy("f").text(f"{folder}/raw")
+    return readers.read_tickets(spark, f"{folder}/raw", "split").select(
+        "id", "updated_at", "status", "product_id", "subject", "_snapshot_file")
+
+
 #: Name ranges of the nightly files that land one after the other.
 NIGHTS = ("f < 'tickets_snapshot'", "f BETWEEN 'tickets_snapshot' AND 'tickets_snapshot_20240115'",
           "f > 'tickets_snapshot_20240115'")
@@ -679,16 +697,16 @@ def _(spark, sf):
         F.count("*").alias("versions"))
 
 
+def _kpi_category_sql():
+    whens = []
+    for category, types, words in codes.KPI_RULES:
+        tests = [f"state_type IN {a.sql_codes(types)}"] + [f"contains(lower(state_name), {a.sql_text(w)})" for w in words]
+        whens.append(f"WHEN {' OR '.join(tests)} THEN {a.sql_text(category)}")
+    return f"CASE {' '.join(whens)} ELSE {a.sql_text(codes.OTHER)} END"
+
+
 @query("kpi_category", f"""WITH {a.IH}
-SELECT CASE WHEN state_type IN ('unstarted', 'available') OR lower(state_name) LIKE '%todo%'
-         OR lower(state_name) LIKE '%backlog%' THEN 'Unassigned'
-       WHEN state_type = 'started' OR lower(state_name) LIKE '%in progress%' OR lower(state_name) LIKE '%started%'
-         THEN 'Assigned'
-       WHEN state_type IN ('available', 'backlog') OR lower(state_name) LIKE '%waiting%'
-         OR lower(state_name) LIKE '%backlog%' THEN 'WaitingForTeam'
-       WHEN state_type IN ('completed', 'canceled') OR lower(state_name) LIKE '%done%'
-         OR lower(state_name) LIKE '%duplicate%' THEN 'Done'
-       ELSE 'Other' END AS category, {n('count(*)', 'versions')} FROM ih GROUP BY 1""")
+SELECT {_kpi_category_sql()} AS category, {n('count(*)', 'versions')} FROM ih GROUP BY 1""")
 def _(spark, sf):
     return a.issue_history(spark, sf).groupBy(labels.kpi_category("state_type", "state_name").alias("category")).agg(
         F.count("*").alias("versions"))

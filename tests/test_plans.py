@@ -39,11 +39,12 @@ def test_no_cross_join_and_no_python(no_broadcast, name):
         assert node not in text, node
 
 
-def test_rebuild_shuffles_once_per_branch(no_broadcast):
+def test_rebuild_reads_the_history_once(no_broadcast):
     text = plan(a.tickets(no_broadcast, SF))
-    # One for the rows by id, two narrow ones for the regression; the join adds none.
-    assert text.count("Exchange hashpartitioning") == 3
-    assert "BroadcastExchange" not in text
+    assert text.count("FileScan") == 1 and "Join" not in text
+    # By id and day, so that no id is one task's, and then the days by id.
+    assert len(re.findall(r"Exchange hashpartitioning\(id#\d+L, \w+#\d+, ", text)) == 1
+    assert text.count("Exchange hashpartitioning") == 2
 
 
 def test_no_window_over_raw_versions_of_an_id(no_broadcast):

@@ -8,7 +8,7 @@ from flowtide import schemas
 from flowtide.operators import quality
 from flowtide.operators.current import current_tickets
 from flowtide.plans.pipeline import register_views, run_pipeline
-from flowtide.sources import files, ingest, readers, sinks
+from flowtide.sources import arrays, files, ingest, readers, sinks
 from flowtide.streaming import ingest as stream
 
 AT = dt.datetime(2026, 6, 14, 5)
@@ -311,3 +311,59 @@ def test_pipeline(spark, tmp_path):
     run_pipeline(spark, str(raw), out, "2026-09-05", AT + dt.timedelta(days=2), names=["summary_week"])
     assert [p.name for p in (raw / "issues").iterdir() if p.suffix == ".json"] == ["issues_snapshot_20260613T001500Z.json"]
     assert sinks.read_table(spark, f"{out}/current/issues").count() == 2
+
+
+@pytest.fixture
+def small_blocks(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "211")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield spark
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("most", [arrays.BROADCAST_BLOCKS, 0])
+@pytest.mark.parametrize("indent", [None, 2])
+def test_split_array_equals_the_reader_of_whole_files(small_blocks, tmp_path, monkeypatch, indent, most):
+    monkeypatch.setattr(arrays, "BROADCAST_BLOCKS", most)
+    spark = small_blocks
+    texts = ['}, {"id": 5}', '\\', '\\"}]', '[[{{', '"', 'å}ö', '', 'x' * 700, '\\"' * 90 + '}' * 300, '{"a":"}"}\n']
+    rows = [issue(f"i{i}", title=texts[i % len(texts)], labels={"nodes": [{"name": texts[i % 7]}]}) for i in range(60)]
+    for name, some in (("a", rows), ("b", rows[:1]), ("c", [])):
+        (tmp_path / f"issues_snapshot_{name}.json").write_text(json.dumps(some, indent=indent, ensure_ascii=False) + "\n",
+                                                               encoding="utf-8")
+    found = readers.read_issues(spark, str(tmp_path), "split")
+    whole = readers.read_issues(spark, str(tmp_path), True)
+    own = [c for c in whole.columns if c not in ("_block", "_pos")]
+    assert sorted(found.select(own).collect(), key=str) == sorted(whole.select(own).collect(), key=str)
+    big = found.filter("_snapshot_file = 'issues_snapshot_a.json'").orderBy("_block", "_pos").collect()
+    assert [r.id for r in big] == [r["id"] for r in rows]
+    assert [r.id for r in sorted(big, key=lambda r: r._pos)] == [r["id"] for r in rows]
+    assert len({r._block for r in big}) > 20
+
+
+def test_split_array_leaves_out_other_elements_and_finds_cut_files(small_blocks, tmp_path):
+    spark = small_blocks
+    deep = [[{"id": 100 + i} for i in range(60)], None, 3, "{", {"id": 1, "subject": "a" * 300}, [[{}], "}"], {"id": 2}]
+    (tmp_path / "tickets_snapshot_x.json").write_text(json.dumps(deep))
+    (tmp_path / "tickets_snapshot_y.json").write_text('\ufeff {"id": 3}{"id": 4}')
+    rows = readers.read_tickets(spark, str(tmp_path), "split").collect()
+    assert sorted(r.id for r in rows) == [1, 2, 3, 4]
+    for i, cut in enumerate(('[{"id": 1}', '[{"id": 1}\n', '[{"id": 1}, {"id": "x', '[{"id": 1}, {"id": 2', '{"id": {"a": 1}')):
+        put(tmp_path / f"cut{i}", "tickets_snapshot_z.json", [])
+        (tmp_path / f"cut{i}" / "tickets_snapshot_z.json").write_text(cut)
+        with pytest.raises(Exception, match="ends within"):
+            readers.read_tickets(spark, str(tmp_path / f"cut{i}"), "split").collect()
+
+
+def test_load_of_split_arrays(small_blocks, tmp_path):
+    rows = [ticket(i, f"2026-06-01T10:00:{i % 60:02d}Z", subject='"}{[') for i in range(40)]
+    put(tmp_path / "raw", "tickets_snapshot_20260601T001500Z.json", rows)
+    put(tmp_path / "raw", "tickets_snapshot_20260602T001500Z.json", rows[:5] + [ticket(99, "2026-06-02T00:00:00Z")])
+    kept = []
+    for mode in ("split", True):
+        out = str(tmp_path / str(mode))
+        ingest.load_files(small_blocks, ingest.TICKETS, str(tmp_path / "raw"), f"{out}/h", f"{out}/l", AT, multi_line=mode)
+        stored = sinks.read_or_empty(small_blocks, f"{out}/h", sinks.history_schema(schemas.TICKET_HISTORY))
+        kept.append(sorted(map(str, stored.select("id", "updated_at", "subject", "_source_file").collect())))
+    assert kept[0] == kept[1] and len(kept[0]) == 41
