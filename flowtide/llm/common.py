@@ -61,6 +61,17 @@ def ship(spark) -> None:
     context._flowtide_shipped = True
 
 
+def qualified(spark, path: str) -> str:
+    """``path`` with the scheme that Spark gives it, for readers and writers that know nothing of Spark's default one."""
+    java = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf, place = spark.sparkContext._jsc.hadoopConfiguration(), java.Path(path)
+    if place.toUri().getScheme() is not None:
+        return path
+    if not place.isAbsolute():
+        return place.getFileSystem(conf).makeQualified(place).toString()
+    return place.makeQualified(java.FileSystem.getDefaultUri(conf), java.Path("/")).toString()
+
+
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -118,7 +118,9 @@ def links(texts: DataFrame, sets: DataFrame, n=SHINGLE, share=SHARE) -> DataFram
     fits = (F.col("size") <= REGION) & (F.col("shingles") <= REGION_SHINGLES)
     member = common.staged(member.join(sizes.select("lead", fits.alias("fits")), "lead"), "regions")
     asked = member.groupBy("th").agg(F.first("node").alias("node"), F.collect_set(F.struct("lead", "fits")).alias("asked"))
-    wanted = texts.withColumn("th", F.xxhash64("__text")).join(asked, "th").dropDuplicates(["th"])
+    # One text a node. The copies of a text join by its hash; as they are told apart by the node, there is a shuffle after
+    # the join, and adaptive execution may split a hash that very many rows have.
+    wanted = texts.withColumn("th", F.xxhash64("__text")).join(asked, "th").dropDuplicates(["node"])
     items = common.mapped(wanted.select("__text", "node", "asked"), _items(n), ITEM + ", fits boolean")
     made = common.staged(_joined(items, share), "joined")
     found = [made.where("region IS NULL").select("a", "b")]

@@ -36,6 +36,7 @@ def write(df: DataFrame, path: str, id_col="doc_id", text_col="text", tokenizer=
     their text. A missing or empty text is the end id alone. A task's files have names of their own, so a task that runs twice does no harm.
     """
     spark = df.sparkSession
+    path = common.qualified(spark, path)
     place = common.vocabulary(tokenizer)
     with open(place) as f:
         spec = json.load(f)
@@ -94,6 +95,7 @@ def _partitions(spark: SparkSession) -> int:
 def read(spark: SparkSession, path: str, files: DataFrame | None = None) -> DataFrame:
     """Documents of token files: ``doc_id``, ``start`` (tokens of all documents before it), ``n_tokens`` and ``ids``
     (binary, little-endian unsigned 32-bit). No files give no rows."""
+    path = common.qualified(spark, path)
     files = spark.read.parquet(f"{path}/files") if files is None else files
 
     def run(batches):

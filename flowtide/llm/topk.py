@@ -9,6 +9,8 @@ lengths can reach that score, and within a block, whole products are taken only
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -37,12 +39,17 @@ def search(vectors: DataFrame, is_query, k=20) -> DataFrame:
     """For the rows of ``vectors`` (``id``, ``v`` array of whole numbers) where ``is_query`` holds, the ``k`` other rows
     of the greatest inner product: ``query_id``, ``rank`` from 1, ``vec_id``, ``score``.
 
-    Equal scores go to the smaller id. All vectors have one length of array. Fewer candidates give fewer rows. Rows that
+    Equal scores go to the smaller id. Vectors meet only those of as many components; each number of components is a
+    search of its own. Scores are exact; one that 64 bits cannot hold is an error. Fewer candidates give fewer rows. Rows that
     repeat an id are one candidate each for other queries and none for a query of their id; repeated queries of equal id
     and vector are one.
     """
     spark = vectors.sparkSession
     vectors = common.staged(vectors, "vectors")
+    widths = [r[0] for r in vectors.select(F.size("v")).distinct().collect()]
+    if len(widths) > 1:
+        found = [search(vectors.where(F.size("v") == w), is_query, k) for w in sorted(widths)]
+        return functools.reduce(DataFrame.unionByName, found)
     rotation, count = _rotation(vectors)
     if not count:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
@@ -160,10 +167,13 @@ def _met(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         ids, v, r = left["id"].to_numpy(), _matrix(left["v"]), _matrix(left["r"])
         norm, tail = left["norm"].to_numpy(), left["tail"].to_numpy()
         order = np.argsort(-norm, kind="stable")
-        ids, v, r, norm, tail = ids[order], v[order].astype(np.float64), r[order], norm[order], tail[order]
-        head = _head(r.shape[1])
-        asked, qv, qr = right["id"].to_numpy(), _matrix(right["v"]).astype(np.float64), _matrix(right["r"])
+        ids, v, r, norm, tail = ids[order], v[order], r[order], norm[order], tail[order]
+        # No sum within a product exceeds the product of the lengths: doubles are exact below 2**53, else whole numbers.
+        kind = np.float64 if norm.max() * right["norm"].to_numpy().max() < 2.0**52 else object
+        head, v = _head(r.shape[1]), v.astype(kind)
+        asked, qv, qr = right["id"].to_numpy(), _matrix(right["v"]), _matrix(right["r"])
         qnorm, qtail, least = (right[c].to_numpy() for c in ("norm", "tail", "least"))
+        qv = qv.astype(kind)
         partial = qr[:, :head] @ r[:, :head].T
         out = []
         for i in range(len(asked)):
@@ -176,12 +186,11 @@ def _met(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             if len(could) > 4 * k:
                 # The best bounds first; what they score raises the mark for the others.
                 some = could[np.argpartition(-upper[could], 2 * k)[:2 * k]]
-                mark = np.sort(v[some] @ qv[i])[-k]
+                mark = np.sort((v[some] @ qv[i]).astype(np.float64))[-k]
                 could = could[upper[could] >= mark]
-            # Components are whole numbers below 2**20 or so, and their products are exact in doubles.
-            score = v[could] @ qv[i]
+            score = (v[could] @ qv[i]).astype(np.int64)
             best = np.lexsort((ids[could], -score))[:k]
-            out.append((np.full(len(best), asked[i]), ids[could[best]], score[best].astype(np.int64)))
+            out.append((np.full(len(best), asked[i]), ids[could[best]], score[best]))
         return pa.Table.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out)], names)
 
     common.ship(candidates.sparkSession)

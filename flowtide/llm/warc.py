@@ -76,6 +76,7 @@ def write(captures: DataFrame, path: str) -> DataFrame:
     (name, records, bytes), those of the tasks that succeeded. Every record is a gzip member of its own. No rows give no
     archive."""
     spark = captures.sparkSession
+    path = common.qualified(spark, path)
 
     def run(batches):
         store, folder = _store(path)
@@ -145,6 +146,7 @@ def _packed(record: bytes) -> bytes:
 def read(spark: SparkSession, path: str, archives: DataFrame | None = None) -> DataFrame:
     """One row per record of the listed archives: its place (file and number), the headers that join records, the HTTP
     head and what follows it (for other records, the block). An archive is a task's unit and is read as a stream."""
+    path = common.qualified(spark, path)
     archives = spark.read.parquet(f"{path}/archives") if archives is None else archives
 
     def run(batches):

@@ -455,3 +455,27 @@ def test_topk(spark, monkeypatch, block):
         want += [(q, n + 1, int(ids[j]), int(score[j])) for n, j in enumerate(order)]
     assert got == sorted(want, key=repr)
     assert topk.search(topk.quantised(table.limit(0)), F.col("id") % 20 == 0).collect() == []
+
+
+def test_topk_of_several_lengths_and_large_numbers(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, [int(x) for x in rng.integers(-2**29, 2**29, 3 + i % 2)]) for i in range(90)]
+    vectors = spark.createDataFrame(rows, "id bigint, v array<bigint>")
+    want = []
+    for q, a in rows[::20]:
+        scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in rows if i != q and len(a) == len(b))
+        want += [(q, n + 1, i, -score) for n, (score, i) in enumerate(scores[:5])]
+    assert rows_of(topk.search(vectors, F.col("id") % 20 == 0, 5)) == sorted(want, key=repr)
+
+
+def test_paths_without_a_scheme_are_those_of_spark(spark):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    try:
+        conf.set("fs.defaultFS", "hdfs://name:9000")
+        assert common.qualified(spark, "/a/b") == "hdfs://name:9000/a/b"
+        assert common.qualified(spark, "file:/a/b") == "file:/a/b"
+        assert common.qualified(spark, "s3a://a/b") == "s3a://a/b"
+    finally:
+        conf.set("fs.defaultFS", before)
+    assert common.qualified(spark, "/a/b") in ("file:/a/b", "file:///a/b")
