@@ -66,8 +66,12 @@ def backlog_series(fact: DataFrame, as_of, grain="month", by=()) -> DataFrame:
     group from its first change to ``as_of``. The ordered step sees one row per
     calendar group and ``by`` value.
     """
+    return running_backlog(backlog_changes(fact, grain, by, until=as_of), as_of, grain, by)
+
+
+def running_backlog(changes: DataFrame, as_of, grain, by=()) -> DataFrame:
+    """Changes per calendar group (``delta``) as the open count at the end of every group up to ``as_of``."""
     as_of = as_date(as_of)
-    changes = backlog_changes(fact, grain, by, until=as_of)
     in_order = Window.partitionBy(*by).orderBy(grain)
     step = F.expr({"day": "interval 1 day", "week": "interval 7 day",
                    "month": "interval 1 month", "quarter": "interval 3 month"}[grain])
@@ -96,7 +100,11 @@ def moving_volume(fact: DataFrame, roles, months=3, by=(), end=None) -> DataFram
 
     Months whose whole window is empty have no row.
     """
-    monthly = role_volume(fact, roles, "month", by)
+    return trailing_volume(role_volume(fact, roles, "month", by), roles, months, by, end)
+
+
+def trailing_volume(monthly: DataFrame, roles, months=3, by=(), end=None) -> DataFrame:
+    """Monthly counts as their averages over the trailing months."""
     total = _trailing(monthly, list(roles), months, by, end)
     # A role with nothing in the window is missing, not zero.
     return total.select(
@@ -109,19 +117,22 @@ def moving_average(fact: DataFrame, durations, role="closed_at", months=3, by=()
     ``durations`` maps a result name to (value column, condition). Sums and
     counts are carried apart, so busy months weigh more than quiet ones.
     """
-    sums, picked = [], {}
-    for name, (value, where) in durations.items():
-        picked[name] = F.when(where, value) if where is not None else value
-        sums += [f"{name}_sum", f"{name}_n"]
+    picked = {name: F.when(where, value) if where is not None else value
+              for name, (value, where) in durations.items()}
     monthly = (
         fact.filter(is_set(role))
         .groupBy(dates.month_start(role).alias("month"), *by)
         .agg(*[agg for name, v in picked.items()
                for agg in (F.sum(v).alias(f"{name}_sum"), F.count(v).alias(f"{name}_n"))])
     )
-    total = _trailing(monthly, sums, months, by, end)
+    return trailing_average(monthly, list(durations), months, by, end)
+
+
+def trailing_average(monthly: DataFrame, names, months=3, by=(), end=None) -> DataFrame:
+    """Monthly sums and counts (``name_sum``, ``name_n``) as averages over the trailing months."""
+    total = _trailing(monthly, [f"{n}_{part}" for n in names for part in ("sum", "n")], months, by, end)
     return total.select(
-        *by, "month", *[F.try_divide(F.col(f"{n}_sum"), F.col(f"{n}_n")).alias(n) for n in durations])
+        *by, "month", *[F.try_divide(F.col(f"{n}_sum"), F.col(f"{n}_n")).alias(n) for n in names])
 
 
 def lifecycle_averages(fact: DataFrame, months=3, by=(), end=None) -> DataFrame:

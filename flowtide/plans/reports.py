@@ -6,7 +6,7 @@ from flowtide import codes
 from flowtide.functions import dates, labels
 from flowtide.functions.periods import as_date, period_bounds
 from flowtide.functions.text import is_open, is_set
-from flowtide.operators import measures as m, series
+from flowtide.operators import cube, measures as m, series
 from flowtide.operators.joins import exclude_values, last_months, ranked_table
 
 
@@ -28,22 +28,27 @@ def ticket_page(tickets: DataFrame, as_of, period="week", days=codes.WAIT_THRESH
         tickets, [*[f(p) for f in m.TICKET_MEASURES], m.waited_longest(p), m.waiting_over(p, days)])
 
 
-def overview_series(issues: DataFrame, as_of, months=4) -> DataFrame:
-    """Created and closed per month with the backlog at its end, for the latest months."""
-    flow = last_months(series.created_closed_series(issues), "month", months, as_of)
-    backlog = last_months(series.backlog_series(issues, as_of), "month", months, as_of)
+def overview_series(issues: DataFrame, as_of, months=4, days: DataFrame | None = None) -> DataFrame:
+    """Created and closed per month with the backlog at its end, for the latest months.
+
+    ``days`` is the fact's :func:`flowtide.operators.cube.daily_cube`, if there is one already.
+    """
+    days = cube.daily_cube(issues) if days is None else days
+    flow = last_months(cube.volume(days), "month", months, as_of)
+    backlog = last_months(cube.backlog(days, as_of), "month", months, as_of)
     return backlog.join(flow, "month", "full").select(
         "month", F.coalesce("created", F.lit(0)).alias("created"),
         F.coalesce("closed", F.lit(0)).alias("closed"), F.coalesce("open", F.lit(0)).alias("open"))
 
 
-def trends(issues: DataFrame, as_of) -> DataFrame:
-    """Trailing volumes, lifecycle averages and close statistics per month."""
-    roles = {"created": "created_at", "closed": "closed_at"}
-    volume = series.moving_volume(issues, roles, end=as_of).withColumnsRenamed(
-        {"created": "created_3m", "closed": "closed_3m"})
-    stages = series.lifecycle_averages(issues, end=as_of)
-    closing = m.close_stats(issues, [dates.month_start("closed_at").alias("month")])
+def trends(issues: DataFrame, as_of, days: DataFrame | None = None) -> DataFrame:
+    """Trailing volumes, lifecycle averages and close statistics per month; ``days`` as in :func:`overview_series`."""
+    days = cube.daily_cube(issues) if days is None else days
+    roles = [cube.CREATED, cube.CLOSED]
+    volume = series.trailing_volume(cube.volume(days), roles, end=as_of).withColumnsRenamed(
+        {r: f"{r}_3m" for r in roles})
+    stages = cube.lifecycle(days, end=as_of)
+    closing = cube.close_stats(days, [["month"]], ["month"]).drop("grouping", "closed")
     return volume.join(stages, "month", "left").join(closing, "month", "left")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from flowtide import codes, schemas
 from flowtide.functions import dates, labels, periods, text
-from flowtide.operators import calendar, current, history, joins, measures as m, profiling, quality, series
+from flowtide.operators import calendar, cube, current, history, joins, measures as m, profiling, quality, series
 from flowtide.plans import reports
 from flowtide.session import scratch_dir
 from flowtide.sources import ingest, marks, readers, sinks
@@ -1018,6 +1018,18 @@ def _(spark, sf):
     return reports.overview_series(a.issue_fact(spark, sf), a.ISSUE_AS_OF)
 
 
+@query("close_totals", f"""WITH {a.ISSUES}
+SELECT CAST(date_trunc('month', closed_at) AS DATE)::VARCHAR AS month, project_group,
+  CAST(grouping(date_trunc('month', closed_at), project_group) AS INTEGER) AS grouping, {n('count(*)', 'closed')},
+  {r('avg(days_to_close)', 'avg_days_to_close')}, {r('median(days_to_close)', 'median_days_to_close')}
+FROM f WHERE closed_at IS NOT NULL
+GROUP BY GROUPING SETS ((date_trunc('month', closed_at), project_group), (project_group), ())""")
+def _(spark, sf):
+    """Close statistics per month and project group, per project group, and of all, from the daily cube."""
+    days = cube.daily_cube(a.issue_fact(spark, sf, people=True), ["project_group"])
+    return cube.close_stats(days, [["month", "project_group"], ["project_group"], []], ["month", "project_group"])
+
+
 @query("trends", f"""WITH {a.ISSUES}, {VOLUME}, {LIFE},
 cs AS (SELECT CAST(date_trunc('month', closed_at) AS DATE) AS month, avg(days_to_close) AS av, median(days_to_close) AS md
        FROM f WHERE closed_at IS NOT NULL GROUP BY 1)
