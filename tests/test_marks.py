@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import random
+from time import perf_counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -170,6 +171,26 @@ def test_landed_rows_wait_for_the_next_run(spark, tmp_path):
     assert stored(spark, tmp_path) == [(NAMES[1], 1, "b", 2)]
 
 
+def test_a_key_of_very_many_files_is_judged_in_one_pass():
+    rng = random.Random(3)
+    rows = [(f"tickets_{rng.choice(['backfill', 'snapshot'])}_{i:06}.json", rng.choice(["", *"abcdef"]) + f"{i:06}")
+            for i in range(30_000)]
+    given = [(name, time, "snapshot" in name, i) for i, (name, time) in enumerate(rows)]
+    order = sorted(given, key=lambda r: r[0])
+    state, kept, expected, begin = (None, None, None), [], set(), perf_counter()
+    for part in (order[:10_000], order[10_000:]):
+        keep, state = stream.newer_rows(rng.sample(part, len(part)), state)
+        kept += keep
+    # A frame for each file takes over ten seconds.
+    assert perf_counter() - begin < 3
+    top = None
+    for name, time, rule, i in order:
+        if not rule or top is None or time > top:
+            expected.add(i)
+        top = time if top is None else max(top, time)
+    assert sorted(kept) == sorted(expected)
+
+
 @pytest.mark.parametrize("runs", [[NAMES], [NAMES[:1], NAMES[1:4], NAMES[4:]]])
 def test_stateful_filter_equals_a_replay(spark, tmp_path, runs):
     rows = feed(7)
