@@ -15,10 +15,17 @@ ORDER = ("updated_at", "_row_id")
 
 
 def latest_version(history: DataFrame, key="id", order=ORDER, columns=None) -> DataFrame:
-    """Newest version per key; a missing time loses against any other."""
+    """Newest version per key; a missing time loses against any other.
+
+    Text in the aggregate makes it sort its input, and a scan task may hold far more rows than it can sort in memory. So
+    versions are dealt out first: by a hash of the key, which makes them few per key, and in parts of bounded size, which
+    splits a hot key; as this is not a partitioning by the key itself, the rows left of a key meet in another shuffle.
+    """
     columns = columns or [c for c in history.columns if c != key]
     newest = F.max_by(F.struct(*columns), F.struct(*order)).alias("_row")
-    return history.groupBy(key).agg(newest).select(key, "_row.*")
+    rows = history.select(*dict.fromkeys([key, *order, *columns]), F.xxhash64(key).alias("_dealt"))
+    dealt = rows.hint("rebalance", F.col("_dealt"))
+    return dealt.groupBy(key).agg(newest).select(key, "_row.*")
 
 
 def high_water_mark(history: DataFrame, key="id", ts="updated_at") -> DataFrame:

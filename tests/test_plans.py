@@ -47,6 +47,16 @@ def test_rebuild_reads_the_history_once(no_broadcast):
     assert text.count("Exchange hashpartitioning") == 2
 
 
+def test_newest_versions_are_dealt_out_before_they_are_sorted(no_broadcast):
+    """A scan task may hold more versions than it can sort; parts of the shuffle are bounded, also those of a hot key."""
+    for options in ({}, {"filter_after": True}):
+        text = plan(a.current_issue_table(no_broadcast, SF, **options))
+        steps = re.findall(r"SortAggregate|Exchange hashpartitioning\(\w+#\d+L?, \d+\), \w+", text)
+        assert [re.sub(r"#\d+L?, \d+", "", x) for x in steps] == [
+            "SortAggregate", "Exchange hashpartitioning(id), ENSURE_REQUIREMENTS", "SortAggregate",
+            "Exchange hashpartitioning(_dealt), REBALANCE_PARTITIONS_BY_COL"]
+
+
 def test_no_window_over_raw_versions_of_an_id(no_broadcast):
     for df in (a.tickets(no_broadcast, SF),
                history.replay_snapshots(a.ticket_snapshots(no_broadcast, SF)),
