@@ -34,13 +34,18 @@ def spaced(path: str) -> bool:
 
 #: Chunks that go to the library as one string.
 TOGETHER = 100
+#: A blank, then Latin letters and visible ASCII without the mark that added tokens have. In a row, byte-level vocabularies
+#: part such chunks at the blanks: a blank before anything visible goes with it, and nothing in a chunk takes the next one.
+_WORD = re.compile(" [!-;=-~À-ÖØ-öø-ɏ]+")
 
 
 def library(path: str):
     """list of chunks -> list of their ids (little-endian unsigned 32-bit), by the tokenizers library.
 
     Chunks are joined by a special token, which the library takes out of the raw text before it does anything else, so
-    each of them is encoded as if alone. One that holds a character of the token's edges goes alone.
+    each of them is encoded as if alone. One that holds a character of the token's edges goes alone. Where the library
+    itself parts words at their blanks and keeps these, words are joined by nothing, which costs a third less: each
+    begins at the one token of it that has the blank.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -57,16 +62,38 @@ def library(path: str):
         found = tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    with open(path) as f:
+        spec = json.load(f)
+    cut = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    begins = None
+    marked = all("<" in token.content for token in tokenizer.get_added_tokens_decoder().values())
+    if marked and spec.get("normalizer") is None and cut.items() <= (spec.get("pre_tokenizer") or {}).items():
+        vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+        begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        begins[[number for token, number in vocabulary.items() if token[0] == "Ġ"]] = True  # the blank's byte
+
     def encode(chunks):
-        if mark is None:
-            return alone(chunks)
-        odd = [c for c in chunks if edges[0] in c or edges[1] in c]
-        if odd:
-            known = dict(zip(odd, alone(odd)))
+        known, rest = {}, chunks
+        if begins is not None:
+            words = [c for c in chunks if _WORD.fullmatch(c)]
+            known = dict(zip(words, in_a_row(words)))
             rest = [c for c in chunks if c not in known]
-            known.update(zip(rest, together(rest)))
-            return [known[c] for c in chunks]
-        return together(chunks)
+        odd = rest if mark is None else [c for c in rest if edges[0] in c or edges[1] in c]
+        known.update(zip(odd, alone(odd)))
+        rest = [c for c in rest if c not in known]
+        known.update(zip(rest, together(rest)))
+        return [known[c] for c in chunks]
+
+    def in_a_row(words):
+        if not words:
+            return []
+        joined = ["".join(words[i:i + TOGETHER]) for i in range(0, len(words), TOGETHER)]
+        ids = np.concatenate([
+            np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(joined, add_special_tokens=False)])
+        starts = 4 * np.flatnonzero(begins[ids])
+        assert len(starts) == len(words)
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(data)])]
 
     def together(chunks):
         if not chunks:

@@ -31,3 +31,19 @@ def test_chunks_equal_the_library(name, make):
     chunks = tokens.Chunks(make(path), tokens.spaced(path))
     wrong = [t for t, got, ids in zip(texts, chunks.ids(texts), want) if np.frombuffer(got, "<u4").tolist() != ids]
     assert wrong == []
+
+
+def test_words_in_a_row_equal_the_library_one_by_one():
+    """Words that the library parts at their blanks go to it without a special token between them."""
+    path = common.vocabulary("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    rng = random.Random(2)
+    parts = ["a", "É", "ñ", "ßen", "'", "'s", "'LL", "1", "23", "#", "***", "|>", ">", "endoftext", ".", "_", "-", "×", "<", "<|",
+             "<|endoftext|>", "日", " ", "́", " ", "\n", "ɐ"]
+    chunks = sorted({rng.choice([" ", " ", " ", "\n", ""]) + "".join(rng.choices(parts, k=rng.randint(1, 5)))
+                     for _ in range(5_000)})
+    rng.shuffle(chunks)
+    assert 400 < sum(tokens._WORD.fullmatch(c) is not None for c in chunks) < len(chunks)
+    assert not tokens._WORD.fullmatch(" a b") and not tokens._WORD.fullmatch(" <|endoftext|>")
+    want = [library.encode(c, add_special_tokens=False).ids for c in chunks]
+    assert [np.frombuffer(x, "<u4").tolist() for x in tokens.library(path)(chunks)] == want
