@@ -397,6 +397,47 @@ def test_repeats(docs, empty, monkeypatch, region):
     assert repeats.removed(empty).collect() == []
 
 
+def test_passages_shorter_than_a_window_need_no_rounds(spark, monkeypatch):
+    """Hundreds of different surroundings of one passage, which is a little shorter than a window: one task settles them."""
+    rng = random.Random(4)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, longer = prose(37), prose(43)
+    texts = [prose(50) + passage + prose(50) for _ in range(400)] + [prose(50) + longer + prose(50) for _ in range(2)]
+    names, staged = [], common.staged
+    monkeypatch.setattr(common, "staged", lambda df, name: names.append(name) or staged(df, name))
+    cut = repeats.removed(spark.createDataFrame(enumerate(texts), "doc_id bigint, text string"), least=40)
+    # A byte or two beside a passage may be equal by chance.
+    assert {r.doc_id: r.n_removed for r in cut.collect() if r.n_removed >= 43}.keys() >= {400, 401}
+    assert "surroundings" in names and "halves" not in names
+
+
+@pytest.mark.parametrize("least", [2, 3, 8, 20])
+def test_blocks_lose_no_repeat(monkeypatch, least):
+    """Surroundings that share an anchor against all their windows, with small transforms."""
+    rng = random.Random(least)
+    k = least // 2
+    for _ in range(60):
+        monkeypatch.setattr(repeats, "TRANSFORM_BYTES", rng.choice([10, 200, 150_000]))
+        sides = [bytes(rng.choice(b"abcd") for _ in range(least - k)) for _ in range(4)]
+        rows = []
+        for i in range(rng.randint(2, 12)):
+            left = rng.choice(sides)[rng.randint(0, least - k):]
+            right = rng.choice(sides)[:rng.randint(0, least - k)]
+            data, off = left + b"e" * k + right, least - k - len(left)
+            if len(data) >= least:
+                rows.append((rng.randint(0, 1), b"%d" % (i % 5), 1000 * i, off, False, data))
+        places = {}
+        for key, tk, lo, off, _, data in rows:
+            for j in range(len(data) - least + 1):
+                places.setdefault((key, data[j:j + least]), set()).add((tk, lo + j))
+        want = set().union(*(x for x in places.values() if len(x) > 1))
+        got = set()
+        for batch in repeats._spans(rows, least, least - k + 1) if rows else []:
+            for tk, lo, hi in zip(*(c.to_pylist() for c in batch.columns)):
+                got |= {(tk, x) for x in range(lo, hi - least + 1)}
+        assert got == want
+
+
 def test_interval_expansion_finds_every_repeat():
     rng = random.Random(1)
     for _ in range(150):
