@@ -35,6 +35,8 @@ SHARE = 75
 REGION, REGION_SHINGLES, PIVOTS, ROUNDS = 2048, 4_000_000, 16, 4
 #: Counters of the sketch that tells shingles of very many texts: a fixed number, so its size has a bound.
 SKETCH = 1 << 18
+#: Parts of the sieve for texts that are asked for, and its most bits (32 MB): a fixed number, as above.
+SIEVE_PARTS, SIEVE_BITS = 16, 1 << 28
 #: Shingles of the prefixes that one bucket takes.
 BUCKET = 1_000_000
 ITEM = "region bigint, node bigint, shingles binary"
@@ -120,7 +122,7 @@ def links(texts: DataFrame, sets: DataFrame, n=SHINGLE, share=SHARE) -> DataFram
     asked = member.groupBy("th").agg(F.first("node").alias("node"), F.collect_set(F.struct("lead", "fits")).alias("asked"))
     # One text a node. The copies of a text join by its hash; as they are told apart by the node, there is a shuffle after
     # the join, and adaptive execution may split a hash that very many rows have.
-    wanted = texts.withColumn("th", F.xxhash64("__text")).join(asked, "th").dropDuplicates(["node"])
+    wanted = _maybe_asked(texts, member.select("th")).join(asked, "th").dropDuplicates(["node"])
     items = common.mapped(wanted.select("__text", "node", "asked"), _items(n), ITEM + ", fits boolean")
     made = common.staged(_joined(items, share), "joined")
     found = [made.where("region IS NULL").select("a", "b")]
@@ -145,6 +147,59 @@ def links(texts: DataFrame, sets: DataFrame, n=SHINGLE, share=SHARE) -> DataFram
     return common.staged(out.distinct(), "links")
 
 
+def _maybe_asked(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """``texts`` with ``th``, their hash, without almost all of those whose hash is not among ``keys`` (th): the join that
+    follows then sends only texts that are asked for, however many these are. The sieve is a bitmap of bounded size in
+    which every key has two bits; were it too small for the keys, more texts would pass it, and none be lost."""
+    bits = min(max(1 << (16 * keys.count()).bit_length(), SIEVE_PARTS * 8), SIEVE_BITS) // SIEVE_PARTS
+
+    def places(th):
+        h = common.mix(th.to_numpy().view(np.uint64))
+        # Three runs of bits of the hash, which is even.
+        part = (h & np.uint64(SIEVE_PARTS - 1)).astype(np.int64)
+        return part, [((h >> np.uint64(s)) & np.uint64(bits - 1)).astype(np.int64) for s in (4, 36)]
+
+    def mark(batches):
+        made: dict = {}
+        for batch in batches:
+            part, at = places(batch.column("th"))
+            for p in np.unique(part).tolist():
+                own = made.setdefault(p, np.zeros(bits, bool))
+                for x in at:
+                    own[x[part == p]] = True
+        yield pa.RecordBatch.from_arrays([
+            pa.array(list(made), pa.int32()),
+            pa.array([np.packbits(x).tobytes() for x in made.values()], pa.binary())], ["part", "bits"])
+
+    def add(batches):
+        made: dict = {}
+        for batch in batches:
+            for part, data in zip(batch.column("part").to_pylist(), batch.column("bits").to_pylist()):
+                made[part] = made.get(part, np.uint8(0)) | np.frombuffer(data, np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array(list(made), pa.int32()),
+                                          pa.array([x.tobytes() for x in made.values()], pa.binary())], ["part", "bits"])
+
+    schema = "part int, bits binary"
+    # Keys are first dealt to a few tasks, as each makes whole parts.
+    marks = common.mapped(keys.repartition(SIEVE_PARTS), mark, schema).repartition(SIEVE_PARTS, "part")
+    sieve = np.zeros((SIEVE_PARTS, bits // 8), np.uint8)
+    for part, data in common.mapped(marks, add, schema).collect():
+        sieve[part] = np.frombuffer(data, np.uint8)
+    sent = texts.sparkSession.sparkContext.broadcast(sieve)
+
+    def run(batches):
+        for batch in batches:
+            part, at = places(batch.column("th"))
+            keep = np.ones(batch.num_rows, bool)
+            for x in at:
+                keep &= (sent.value[part, x >> 3] >> (7 - (x & 7)).astype(np.uint8) & 1).astype(bool)
+            if keep.any():
+                yield batch.filter(pa.array(keep))
+
+    hashed = texts.select("__text", F.xxhash64("__text").alias("th"))
+    return common.mapped(hashed, run, "__text string, th bigint")
+
+
 def _needed_regions(member: DataFrame) -> DataFrame:
     """``member`` (node, lead, c, need, ...) without the regions that a node can do without.
 
