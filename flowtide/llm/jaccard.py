@@ -2,9 +2,11 @@
 
 1. Every text becomes the set of its word shingles. Equal sets are one node from here on.
 2. A pair that links shares shingles among the first quarter of both sets, in any one order of all shingles; the order
-   used puts those that very many texts have last. Nodes that share one of these get its least node as a pivot; a node
-   that shares too few can link with nothing and is done, and so is one that no region joins with another. A node
-   leaves the regions with which it shares too little to miss a link there.
+   used has those of rare words first, as unrelated texts hardly share these however many texts there are, and those that
+   very many texts have last. Nodes that share one of these get its least node as a pivot; a node that shares too few can
+   link with nothing and is done, and so is one that no region joins with another. A node leaves the regions with which
+   it shares too little to miss a link there, and those where no other is near it in size. Texts go to the regions, and
+   become sets there.
 3. A pivot's region is every node that has it as a pivot. A small region is joined in one task: the nodes are pivots in
    turn, the one with the most common shingles first, and a pivot is compared only with nodes whose distance from the
    first one differs by no more than the linking distance (triangle inequality) and that are not yet connected with it.
@@ -20,6 +22,7 @@ The join is exact, and a component is found without making all of its pairs.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +34,17 @@ from . import common
 SHINGLE = 5
 #: Two sets link from this share of common shingles on, in hundredths.
 SHARE = 75
+#: Prefixes are longer than they need to be by one in so many of the shingles, and links share so many more of them.
+LONGER = 8
 #: Nodes and shingles of a region that one task joins; pivots of a larger one; rounds of cells before blocks are made.
 REGION, REGION_SHINGLES, PIVOTS, ROUNDS = 2048, 4_000_000, 16, 4
-#: Counters of the sketch that tells shingles of very many texts: a fixed number, so its size has a bound.
-SKETCH = 1 << 18
+#: Counters of the sketches that tell shingles of very many texts, and rare words: a fixed number, so their size has a
+#: bound.
+SKETCH, WORDS = 1 << 18, 1 << 16
 #: Parts of the sieve for texts that are asked for, and its most bits (32 MB): a fixed number, as above.
 SIEVE_PARTS, SIEVE_BITS = 16, 1 << 28
-#: Shingles of the prefixes that one bucket takes.
-BUCKET = 1_000_000
+#: Shingles of the prefixes that one bucket takes, and those that a task deals out to the buckets at once.
+BUCKET, DEALT = 2_000_000, 1_000_000
 ITEM = "region bigint, node bigint, shingles binary"
 
 
@@ -47,9 +53,10 @@ ITEM = "region bigint, node bigint, shingles binary"
 def shingle_sets(column, n=SHINGLE) -> list[np.ndarray]:
     """Per text the ascending 64-bit hashes of its runs of ``n`` words (A-Z in lower case); a text of fewer words has
     the whole sequence as its one shingle, a text without words none."""
-    data, offsets = common.buffers(column)
-    starts, ends, first = common.words(data, offsets)
-    hashes = common.hash_spans(common.lowered(data), starts, ends)
+    return _sets_of(*_words(column), n)
+
+
+def _sets_of(hashes, first, n) -> list[np.ndarray]:
     runs = common.windows(hashes, n)
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
@@ -62,6 +69,13 @@ def shingle_sets(column, n=SHINGLE) -> list[np.ndarray]:
     return out
 
 
+def _words(column) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and for each text the number of words before it, as ``common.words``."""
+    data, offsets = common.buffers(column)
+    starts, ends, first = common.words(data, offsets)
+    return common.hash_spans(common.lowered(data), starts, ends), first
+
+
 def node_of(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
@@ -103,10 +117,10 @@ def components(df: DataFrame, id_col="doc_id", text_col="text", n=SHINGLE, share
 
 def links(texts: DataFrame, sets: DataFrame, n=SHINGLE, share=SHARE) -> DataFrame:
     """Links (a, b) between nodes that connect what the join connects."""
-    levels = _levels(texts, n)
+    levels, weights = _sketches(texts, n)
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(1, -(-int(total * (100 - share) * 1.15 / 100) // BUCKET))
-    shared = _pivots(texts, n, share, levels, buckets)
+    shared = _pivots(texts, n, share, levels, weights, buckets)
     shared = common.staged(shared.groupBy("node", "lead").agg(F.sum("c").alias("c")), "pivots")
     nodes = sets.where("node IS NOT NULL").groupBy("node").agg(
         F.first("n_shingles").alias("n"), F.count("*").alias("copies"), F.min("th").alias("th"))
@@ -114,17 +128,19 @@ def links(texts: DataFrame, sets: DataFrame, n=SHINGLE, share=SHARE) -> DataFram
     sums = shared.groupBy("node").agg(F.sum("c").alias("c")).join(nodes, "node")
     need = F.col("copies") * F.expr(_need("n", share))
     able = sums.where(F.col("c") >= need).select("node", "n", "th", need.alias("need"))
-    member = common.staged(shared.join(able, "node"), "members")
+    member = _with_partners(common.staged(shared.join(able, "node"), "members"), share)
     member = _without_inner(common.staged(_needed_regions(member), "needed"))
+    member = _with_partners(common.staged(member, "outer"), share)
     sizes = member.groupBy("lead").agg(F.count("*").alias("size"), F.sum("n").alias("shingles")).where("size > 1")
     fits = (F.col("size") <= REGION) & (F.col("shingles") <= REGION_SHINGLES)
     member = common.staged(member.join(sizes.select("lead", fits.alias("fits")), "lead"), "regions")
     asked = member.groupBy("th").agg(F.first("node").alias("node"), F.collect_set(F.struct("lead", "fits")).alias("asked"))
-    # One text a node. The copies of a text join by its hash; as they are told apart by the node, there is a shuffle after
-    # the join, and adaptive execution may split a hash that very many rows have.
-    wanted = _maybe_asked(texts, member.select("th")).join(asked, "th").dropDuplicates(["node"])
-    items = common.mapped(wanted.select("__text", "node", "asked"), _items(n), ITEM + ", fits boolean")
-    made = common.staged(_joined(items, share), "joined")
+    # A task sends one of the copies of a text, packed; these meet sorted by its hash, and one of them goes on. There is a
+    # shuffle after the join, so adaptive execution may split a hash; a region takes its nodes once.
+    wanted = common.mapped(_maybe_asked(texts, member.select("th")), _packed, "th bigint, packed binary")
+    wanted = wanted.join(asked.hint("merge"), "th").select("th", "packed", "node", "asked")
+    items = common.mapped(wanted, _items, "region bigint, node bigint, packed binary, fits boolean")
+    made = common.staged(_joined(items, share, n), "joined")
     found = [made.where("region IS NULL").select("a", "b")]
     if not member.where(~F.col("fits")).isEmpty():
         left = made.where("region IS NOT NULL").select("region", "node", "shingles")
@@ -149,8 +165,37 @@ def links(texts: DataFrame, sets: DataFrame, n=SHINGLE, share=SHARE) -> DataFram
 
 def _maybe_asked(texts: DataFrame, keys: DataFrame) -> DataFrame:
     """``texts`` with ``th``, their hash, without almost all of those whose hash is not among ``keys`` (th): the join that
-    follows then sends only texts that are asked for, however many these are. The sieve is a bitmap of bounded size in
-    which every key has two bits; were it too small for the keys, more texts would pass it, and none be lost."""
+    follows then sends only texts that are asked for, however many these are."""
+    passes = sieve(keys)
+
+    def run(batches):
+        for batch in batches:
+            keep = passes(batch.column("th"))
+            if keep.any():
+                yield batch.filter(pa.array(keep))
+
+    hashed = texts.select("__text", F.xxhash64("__text").alias("th"))
+    return common.mapped(hashed, run, "__text string, th bigint")
+
+
+def sifted(rows: DataFrame, th, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two parts: those whose hash ``th`` is certainly not among ``keys`` (th), and the others, with few
+    besides."""
+    common.ship(rows.sparkSession)
+    passes = sieve(keys)
+
+    @F.arrow_udf("boolean")
+    def may_be(hashes: pa.Array) -> pa.Array:
+        return pa.array(passes(hashes))
+
+    marked = rows.withColumn("__may", may_be(th))
+    return marked.where("NOT __may").drop("__may"), marked.where("__may").drop("__may")
+
+
+def sieve(keys: DataFrame):
+    """What tells of an Arrow array of hashes which may be among ``keys`` (th): a function for tasks, that is true for all
+    of these and for almost no others. The sieve is a bitmap of bounded size in which every key has two bits; were it too
+    small for the keys, it would be true for more others."""
     bits = min(max(1 << (16 * keys.count()).bit_length(), SIEVE_PARTS * 8), SIEVE_BITS) // SIEVE_PARTS
 
     def places(th):
@@ -182,22 +227,30 @@ def _maybe_asked(texts: DataFrame, keys: DataFrame) -> DataFrame:
     schema = "part int, bits binary"
     # Keys are first dealt to a few tasks, as each makes whole parts.
     marks = common.mapped(keys.repartition(SIEVE_PARTS), mark, schema).repartition(SIEVE_PARTS, "part")
-    sieve = np.zeros((SIEVE_PARTS, bits // 8), np.uint8)
+    marked = np.zeros((SIEVE_PARTS, bits // 8), np.uint8)
     for part, data in common.mapped(marks, add, schema).collect():
-        sieve[part] = np.frombuffer(data, np.uint8)
-    sent = texts.sparkSession.sparkContext.broadcast(sieve)
+        marked[part] = np.frombuffer(data, np.uint8)
+    sent = keys.sparkSession.sparkContext.broadcast(marked)
 
-    def run(batches):
-        for batch in batches:
-            part, at = places(batch.column("th"))
-            keep = np.ones(batch.num_rows, bool)
-            for x in at:
-                keep &= (sent.value[part, x >> 3] >> (7 - (x & 7)).astype(np.uint8) & 1).astype(bool)
-            if keep.any():
-                yield batch.filter(pa.array(keep))
+    def passes(th):
+        part, at = places(th)
+        keep = np.ones(len(th), bool)
+        for x in at:
+            keep &= (sent.value[part, x >> 3] >> (7 - (x & 7)).astype(np.uint8) & 1).astype(bool)
+        return keep
 
-    hashed = texts.select("__text", F.xxhash64("__text").alias("th"))
-    return common.mapped(hashed, run, "__text string, th bigint")
+    return passes
+
+
+def _with_partners(member: DataFrame, share) -> DataFrame:
+    """``member`` (node, lead, n, ...) without the regions in which a node has no other near enough in size to link. Sizes
+    of a link are in the same band or in neighbouring ones, as bands are a little wider than its ratio."""
+    width = -math.log(share / 100) + 1e-6
+    banded = member.withColumn("band", F.floor(F.log("n") / width))
+    reach = banded.groupBy("lead", "band").agg(F.count("*").alias("k")).select(
+        F.col("lead").alias("l"), F.explode(F.array(*(F.col("band") + i for i in (-1, 0, 1)))).alias("near"), "k")
+    reach = reach.groupBy("l", "near").agg(F.sum("k").alias("k")).where("k > 1")
+    return banded.join(reach, (F.col("lead") == F.col("l")) & (F.col("band") == F.col("near"))).select(*member.columns)
 
 
 def _needed_regions(member: DataFrame) -> DataFrame:
@@ -226,25 +279,29 @@ def _without_inner(member: DataFrame) -> DataFrame:
 
 
 def _need(n, share):
-    return f"1 + ceil({n} * {share} / 100) div 32"
+    return f"1 + ceil({n} * {share} / 100) div {LONGER}"
 
 
 # --- pivots --------------------------------------------------------------------------------------------------------
 
-def _levels(texts: DataFrame, n) -> np.ndarray:
-    """For each counter of a sketch over all texts, how far the number of texts that have one of its shingles exceeds
-    the usual number: 0, or the logarithm."""
+def _sketches(texts: DataFrame, n) -> tuple[np.ndarray, np.ndarray]:
+    """For each counter of a sketch of shingles over all texts, how far the number of texts that have one of its shingles
+    exceeds the usual number: 0, or the logarithm. And for each counter of one of words the logarithm, in eighths, of how
+    often its words occur."""
     parts = 16
-    width = SKETCH // parts
+    both = SKETCH + WORDS
+    width = both // parts
 
     def count(batches):
-        total = np.zeros(SKETCH, np.int64)
+        total = np.zeros(both, np.int64)
         for batch in common.slices(batches, "__text"):
-            sets = shingle_sets(batch.column("__text"), n)
-            total += np.bincount((np.concatenate(sets) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+            hashes, first = _words(batch.column("__text"))
+            shingles = np.concatenate(_sets_of(hashes, first, n)) % np.uint64(SKETCH)
+            words = hashes % np.uint64(WORDS) + np.uint64(SKETCH)
+            total += np.bincount(np.concatenate([shingles, words]).astype(np.int64), minlength=both)
         yield pa.RecordBatch.from_arrays([
             pa.array(np.arange(parts, dtype=np.int32)),
-            pa.array([total[i:i + width].tobytes() for i in range(0, SKETCH, width)], pa.binary())], ["part", "n"])
+            pa.array([total[i:i + width].tobytes() for i in range(0, both, width)], pa.binary())], ["part", "n"])
 
     def add(batches):
         total: dict = {}
@@ -256,39 +313,61 @@ def _levels(texts: DataFrame, n) -> np.ndarray:
 
     schema = "part int, n binary"
     summed = common.mapped(common.mapped(texts, count, schema).repartition(parts, "part"), add, schema)
-    total = np.zeros(SKETCH)
+    total = np.zeros(both)
     for part, data in summed.collect():
         total[part * width:(part + 1) * width] = np.frombuffer(data, np.int64)
-    usual = max(total.mean(), 1)
-    return np.floor(np.log2(np.maximum(total / (4 * usual), 1))).astype(np.int8)
+    shingles, words = total[:SKETCH], total[SKETCH:]
+    usual = max(shingles.mean(), 1)
+    return (np.floor(np.log2(np.maximum(shingles / (4 * usual), 1))).astype(np.int8),
+            np.round(8 * np.log2(1 + words)).astype(np.int32))
 
 
-def _prefix(shingles, levels, share):
-    """The shingles by which a set is found: all links of the set share ``_need`` of them."""
-    n = len(shingles)
-    keep = n - -(-n * share // 100) + 1 + n // 32
-    level = levels[(shingles % np.uint64(SKETCH)).astype(np.int64)]
-    if level.any():
-        shingles, level = (x[np.argsort(level, kind="stable")] for x in (shingles, level))
-    return shingles[:keep], level[:keep]
+def _prefixes(column, n, share, levels, weights) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """For each text with words its node and the shingles by which its set is found, with their levels: all links of the
+    set share ``_need`` of them. Shingles are ordered by level, by how often their words occur, and by hash. That is one
+    order of all shingles, as equal ones have equal words."""
+    hashes, first = _words(column)
+    runs = common.windows(hashes, n)
+    sums = np.concatenate([[0], np.cumsum(weights[(hashes % np.uint64(WORDS)).astype(np.int64)])])
+    sums = sums[n:] - sums[:-n] if len(sums) > n else sums[:0]
+    out = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+        if b - a < n:
+            if b > a:
+                shingles = common.windows(hashes[a:b], b - a)
+                out.append((node_of(shingles), shingles, levels[(shingles % np.uint64(SKETCH)).astype(np.int64)]))
+            continue
+        shingles, place = np.unique(runs[a:b - n + 1], return_index=True)
+        size = len(shingles)
+        keep = size - -(-size * share // 100) + 1 + size // LONGER
+        level = levels[(shingles % np.uint64(SKETCH)).astype(np.int64)]
+        order = np.argsort(level.astype(np.int64) << 32 | sums[a + place], kind="stable")[:keep]
+        out.append((node_of(shingles), shingles[order], level[order]))
+    return out
 
 
-def _pivots(texts: DataFrame, n, share, levels, buckets) -> DataFrame:
+def _pivots(texts: DataFrame, n, share, levels, weights, buckets) -> DataFrame:
     """(node, lead, c): the node shares ``c`` of its first shingles with others, of whom ``lead`` is the least.
 
-    A batch of texts sends one row to each bucket of shingles. Shingles that very many texts have go another way, by
-    partial sums, so that no bucket grows with one of them.
+    A task sends rows to each bucket of shingles, each for very many of them. Shingles that very many texts have go
+    another way, by partial sums, so that no bucket grows with one of them.
     """
-    sent = texts.sparkSession.sparkContext.broadcast(levels)
+    sent = texts.sparkSession.sparkContext.broadcast((levels, weights))
 
     def prefixes(batches):
+        held, size = [], 0
         for batch in common.slices(batches, "__text"):
-            sets = [s for s in shingle_sets(batch.column("__text"), n) if len(s)]
-            if sets:
-                found = [_prefix(s, sent.value, share) for s in sets]
-                nodes = np.array([node_of(s) for s in sets], np.int64)
-                s, level = (np.concatenate(x) for x in zip(*found))
-                yield s, np.repeat(nodes, [len(p) for p, _ in found]), level > 0
+            found = _prefixes(batch.column("__text"), n, share, *sent.value)
+            if found:
+                nodes, s, level = zip(*found)
+                held.append((np.concatenate(s), np.repeat(np.array(nodes, np.int64), [len(x) for x in s]),
+                             np.concatenate(level) > 0))
+                size += len(held[-1][0])
+            if size >= DEALT:
+                yield tuple(np.concatenate(x) for x in zip(*held))
+                held, size = [], 0
+        if held:
+            yield tuple(np.concatenate(x) for x in zip(*held))
 
     def many(batches):
         for s, own, hot in prefixes(batches):
@@ -326,6 +405,8 @@ def _pivots(texts: DataFrame, n, share, levels, buckets) -> DataFrame:
     cold = common.mapped(texts, split, "bucket bigint, s binary, place binary, nodes binary")
     cold = cold.repartition(max(buckets, _partitions(texts)), "bucket").sortWithinPartitions("bucket")
     pairs = common.mapped(cold, meet, "node bigint, lead bigint, c bigint")
+    if not levels.any():
+        return pairs
     hot = common.staged(common.mapped(texts, many, "hot bigint, node bigint"), "frequent")
     leads = hot.groupBy("hot").agg(F.min("node").alias("lead"), F.max("node").alias("top")).where("lead < top")
     leads = leads.select(F.col("hot").alias("h"), "lead")
@@ -360,28 +441,60 @@ def _met(held):
 
 # --- regions -------------------------------------------------------------------------------------------------------
 
-def _items(n):
-    def run(batches):
-        for batch in common.slices(batches, "__text", 500_000):
-            sets = shingle_sets(batch.column("__text"), n)
-            asked = batch.column("asked").to_pylist()
-            rows = [(a["lead"], node, s.tobytes(), a["fits"])
-                    for s, node, leads in zip(sets, batch.column("node").to_pylist(), asked) for a in leads]
-            for i in range(0, len(rows), 1024):
-                columns = zip(*rows[i:i + 1024])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.bool_()))],
-                    ["region", "node", "shingles", "fits"])
+def _packed(batches):
+    """Texts with their hash, compressed, as they are sent twice; a task sends copies of a text once."""
+    codec, seen = pa.Codec("zstd", 1), set()
+    for batch in common.slices(batches, "__text"):
+        if len(seen) > 1_000_000:  # more copies go then, and are left out later
+            seen.clear()
+        names, out = [], []
+        for th, text in zip(batch.column("th").to_pylist(), batch.column("__text").to_pylist()):
+            if th not in seen:
+                seen.add(th)
+                data = text.encode()
+                names.append(th)
+                out.append(len(data).to_bytes(8, "little") + codec.compress(data, asbytes=True))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(out, pa.binary())], ["th", "packed"])
+
+
+def _unpacked(packed) -> pa.Array:
+    codec = pa.Codec("zstd", 1)
+    return pa.array([codec.decompress(memoryview(x)[8:], int.from_bytes(x[:8], "little"), asbytes=True).decode()
+                     for x in packed.to_pylist()], pa.string())
+
+
+def _items(batches):
+    """A row for each region that asks for a text; copies of it follow each other, and the first one is taken."""
+    last = None
+    for batch in common.slices(batches, "packed", 500_000):
+        rows = []
+        for th, packed, node, asked in zip(*(batch.column(c).to_pylist() for c in ("th", "packed", "node", "asked"))):
+            if th != last:
+                rows += [(a["lead"], node, packed, a["fits"]) for a in asked]
+            last = th
+        for i in range(0, len(rows), 256):
+            columns = zip(*rows[i:i + 256])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.bool_()))],
+                ["region", "node", "packed", "fits"])
 
-    return run
 
+def _as_sets(batches, n):
+    """Rows with a packed text as rows with its shingles."""
+    for batch in common.slices(batches, "packed", 250_000):
+        data = pa.array([s.tobytes() for s in shingle_sets(_unpacked(batch.column("packed")), n)], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("region"), batch.column("node"), data, batch.column("fits")],
+                                         ["region", "node", "shingles", "fits"])
 
-def _joined(items: DataFrame, share) -> DataFrame:
+
+def _joined(items: DataFrame, share, n=None) -> DataFrame:
     """Links (a, b) within the regions that fit, and the rows of the others as they are; a task sees the regions one
-    after another, and rows that are only passed on are dealt evenly."""
+    after another, and rows that are only passed on are dealt evenly. With ``n`` rows have packed texts, which become sets
+    here: a text is a fraction of its set."""
     def run(batches):
         held, last, out = [], None, []
-        for batch in batches:
+        for batch in batches if n is None else _as_sets(batches, n):
             aside = batch.filter(pc.invert(batch.column("fits"))).select(["region", "node", "shingles"])
             if aside.num_rows:
                 none = pa.nulls(aside.num_rows, pa.int64())

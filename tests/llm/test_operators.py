@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,6 +98,67 @@ def test_texts_not_asked_for_stay_out_of_the_join(spark, monkeypatch):
     assert jaccard._maybe_asked(texts, asked.limit(0)).collect() == []
 
 
+def _asked_regions(spark, monkeypatch, texts):
+    """Components of the texts, and the number of rows that are sent to regions."""
+    sent = []
+    staged = common.staged
+
+    def counted(df, name):
+        out = staged(df, name)
+        if name == "regions":
+            sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(common, "staged", counted)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    found = {r.doc_id: r.component_id for r in jaccard.components(rows).collect()}
+    return found, sent[0]
+
+
+def test_texts_that_share_frequent_words_only_meet_in_no_region(spark, monkeypatch):
+    rng = random.Random(5)
+    # A third of each text is a run of frequent words that a few other texts also have.
+    runs = [" ".join(rng.choice(["the", "of", "and", "in", "to", "is", "a"]) for _ in range(60)) for _ in range(100)]
+    texts = [" ".join(f"w{i}x{j}" for j in range(120)) + " " + runs[i % 100] for i in range(400)]
+    texts += [texts[7] + " end", texts[8].replace("w8x3 ", "")]
+    found, sent = _asked_regions(spark, monkeypatch, texts)
+    assert found == {i: i for i in range(400)} | {400: 7, 401: 8}
+    assert sent == 4
+
+
+def test_texts_of_other_sizes_meet_in_no_region(spark, monkeypatch):
+    passage = " ".join(f"p{j}" for j in range(40))
+    texts = [passage + " " + " ".join(f"w{i}x{j}" for j in range(45 * 2**i)) for i in range(6)]
+    want = {i: i for i in range(6)}
+    # Sizes at the limit itself link: a text with three quarters of the shingles of the other. One fewer does not.
+    for n in (4, 12, 40, 400, 4000):
+        for fewer in (0, 1):
+            words = [f"v{n}x{fewer}x{j}" for j in range(n + 4)]
+            want |= {len(texts): len(texts), len(texts) + 1: len(texts) + fewer}
+            texts += [" ".join(words), " ".join(words[:n * 3 // 4 + 4 - fewer])]
+            assert len(shingles(texts[-1])) == n * 3 // 4 - fewer and len(shingles(texts[-2])) == n
+    found, sent = _asked_regions(spark, monkeypatch, texts)
+    # Those that are too far by one shingle may meet, if their sizes are in neighbouring bands.
+    assert found == want and 10 <= sent <= 20
+
+
+def test_a_task_sends_copies_of_a_text_once():
+    texts = ["", "one two", "é" * 5000, "one two"]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 2]), pa.array(texts)], ["th", "__text"])
+    out = pa.Table.from_batches(jaccard._packed([batch, batch]))
+    assert out.column("th").to_pylist() == [1, 2, 3]
+    assert jaccard._unpacked(out.column("packed").combine_chunks()).to_pylist() == texts[:3]
+    assert out.column("packed").nbytes < 1000
+
+
+def test_sifted_keeps_all_rows_and_few_of_them_in_doubt(spark):
+    rows = spark.createDataFrame([(i, f"text {i}") for i in range(4000)] * 2, "i bigint, text string").repartition(5)
+    asked = rows.where("i IN (3, 17, 444)").select(F.xxhash64("i").alias("th"))
+    sure, rest = jaccard.sifted(rows, F.xxhash64("i"), asked)
+    assert rows_of(sure.unionByName(rest)) == rows_of(rows)
+    assert sure.where("i IN (3, 17, 444)").isEmpty() and rest.count() < 400
+
+
 def test_region_links_connect_what_all_pairs_connect():
     rng = random.Random(5)
     for _ in range(60):
