@@ -8,6 +8,7 @@ next one's ``docs``. All but the last return the columns of ``docs``, whatever t
 from pyspark.sql import functions as F
 
 from flowtide.llm import jaccard, langid, ordinal, packing, repeats
+from flowtide.llm.common import staged
 from flowtide.session import scratch_dir
 
 #: A document's language must have at least this probability.
@@ -41,14 +42,19 @@ def classify_quality(spark, docs, sf_dir):
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    """Keep the document of the least id of each component, and one of rows that are equal in every column."""
+    """Keep the document of the least id of each component, and one of rows that are equal in every column. Documents that
+    are certainly kept, those with a key of their own and the least in their component, stay where they are."""
     plain, names, text, back = _numbered(docs)
     own = names[docs.columns.index("doc_id")]
     key = F.struct(F.col(own).isNull().alias("missing"), F.col(own).alias("id"), F.xxhash64(*names).alias("hash"))
     rows = plain.withColumn("key", key)
     found = jaccard.components(rows, "key", text)
-    kept = found.where(F.col("key") == F.col("component_id")).select("key").distinct()
-    return rows.join(kept, "key", "left_semi").dropDuplicates(["key"]).select(*back)
+    least = F.coalesce(F.col("key") == F.col("component_id"), F.lit(False)).alias("least")
+    found = staged(found.groupBy("key", least).agg(F.count("*").alias("copies")), "least")
+    kept = found.where("least").select("key")
+    doubt = found.where("NOT least OR copies > 1").select(F.col("key.hash").alias("th"))
+    sure, rest = jaccard.sifted(rows, F.col("key.hash"), doubt)
+    return sure.unionByName(rest.join(kept, "key", "left_semi").dropDuplicates(["key"])).select(*back)
 
 
 def remove_repeats(spark, docs, sf_dir):

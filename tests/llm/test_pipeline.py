@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
+from flowtide.llm import jaccard
 from flowtide.session import scratch_dir
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, key string, lang_pred int, kept int"
@@ -51,6 +52,30 @@ def test_stages(spark, sf_dir):
     assert {r.doc_id for r in packed} == left.keys()
 
 
+def test_documents_that_are_certainly_kept_are_not_joined(spark, monkeypatch):
+    word = lambda i, j: f"w{i}x{j}"
+    texts = [" ".join(word(i, j) for j in range(30)) for i in range(300)]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    rows += [rows[5], rows[5], (None, texts[6], "en"), (None, texts[6], "en"), (900, texts[7] + " end", "en"),
+             (8, texts[8], "de"), (901, None, "en"), (902, "", "en"), (902, "", "en"), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    joined = []
+    sifted = jaccard.sifted
+
+    def counted(*args):
+        sure, rest = sifted(*args)
+        joined.append(rest.count())
+        return sure, rest
+
+    monkeypatch.setattr(jaccard, "sifted", counted)
+    kept = Counter(tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, docs, None).collect())
+    # Of the two rows of id 8 one is the least by its hash.
+    eight = [r for r in kept if r[0] == 8]
+    want = Counter({r: 1 for r in rows[:300] + [rows[306], rows[307], rows[309]] if r[0] != 8})
+    assert len(eight) == 1 and kept == want + Counter(eight)
+    assert 10 <= joined[0] < 60
+
+
 def test_run_equals_its_stages(spark, sf_dir):
     rows = corpus_pipeline.run(spark, sf_dir)
     assert rows.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
